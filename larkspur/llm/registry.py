@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larkspur.llm import packing, token_files
+from larkspur.llm import html, langid, packing, pii, secrets, spans, tiff, token_files
 from larkspur.llm.common import new_path, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -18,14 +19,48 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_crc32(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"), new_path(spark, "ledger"))
+    marks = F.coalesce("spans", F.array().cast(spans.SPANS_SQL))
+    return found.select("doc_id", *spans.digests(marks, secrets.BASE_KINDS))
+
+
+def held_out(id_column: str) -> Column:
+    return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def op5_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(langid.training_rows(docs.where(~held_out("doc_id"))))
+    return langid.predict(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op6_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiff.payload_digests(tiff.encode_texts(table(spark, sf_dir, "documents")), key="doc_id")
+
+
+def op7_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.spans_of(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *spans.digests(F.col("spans"), pii.BASE_KINDS))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = token_files.write_token_files(table(spark, sf_dir, "documents"), new_path(spark, "tokens"), public_tokenizers.path(TOKENIZER))
     return token_files.document_digests(spark, store)
 
 
+def op10_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_secret_ledger": op3_secret_ledger,
+    "op5_language_crf": op5_language_crf,
+    "op6_tiff": op6_tiff,
+    "op7_pii_anchors": op7_pii_anchors,
     "op9_token_files": op9_token_files,
+    "op10_tag_paths": op10_tag_paths,
 }
 
 #: DuckDB SQL; a query that SQL cannot express is tested in tests/llm instead.
