@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import html, langid, packing, pii, secrets, spans, tiff, token_files
+from larkspur.llm import html, langid, ngram_join, packing, pii, secrets, spans, tiff, token_files
 from larkspur.llm.common import new_path, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -19,6 +19,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_crc32(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"), new_path(spark, "ledger"))
     marks = F.coalesce("spans", F.array().cast(spans.SPANS_SQL))
@@ -55,6 +59,7 @@ def op10_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_secret_ledger": op3_secret_ledger,
     "op5_language_crf": op5_language_crf,
     "op6_tiff": op6_tiff,
