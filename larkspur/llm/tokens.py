@@ -9,15 +9,16 @@ and keeps its ids in a bounded cache.
 from __future__ import annotations
 
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
 
-#: Chunks in each of the two generations that a worker keeps, of about 200 bytes each.
-CACHE_CHUNKS = 500_000
+#: Chunks in each of the two generations that a worker keeps, of about 250 bytes each.
+CACHE_CHUNKS = 250_000
 
-#: Letters of one code point in either case and in NFC, then at most one mark.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+#: Letters of one code point in either case and in NFC, with marks (no apostrophe) around them.
+_PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 #: ``str.split`` takes these for white space, the tokenizers' ``\s`` does not.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -33,11 +34,23 @@ def _byte_letters() -> dict[int, str]:
     return {c: "".join(spelt[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
 
-class WordTokenizer(dict):
+class _Generation(dict):
+    """Ids by chunk; what it lacks it asks of its owner."""
+
+    def __init__(self, owner: WordTokenizer) -> None:
+        super().__init__()
+        self.owner = owner
+
+    def __missing__(self, chunk: str) -> bytes:
+        found = self[chunk] = self.owner.ids_of(chunk)
+        return found
+
+
+class WordTokenizer:
     """Ids of texts as little-endian unsigned integers of ``dtype``.
 
-    Itself the younger generation of the cache, from chunk to ids: when it is full it
-    becomes the older one, from which what occurs again is taken over.
+    The cache has two generations: when the younger is full it becomes the older one,
+    from which what occurs again is taken over.
 
     White space must not matter to the tokenizer but as a separator
     (``tests/llm/test_tokens.py`` compares with the library's own ids of whole texts).
@@ -46,48 +59,55 @@ class WordTokenizer(dict):
     def __init__(self, path: str, end_id: int | None = 1, cache_chunks: int = CACHE_CHUNKS) -> None:
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.library = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.end = b"" if end_id is None else self._packed([end_id])
-        self.older: dict[str, bytes] = {}
+        self.younger, self.older = _Generation(self), {}
         self.cache_chunks = cache_chunks
         self.letters = _byte_letters()
+        self.added = [x.content for x in self.library.get_added_tokens_decoder().values()]
         # Straight to the merges only where that is the whole of what the library does.
         probe = "straße"
         self.direct = [x.id for x in self.library.model.tokenize(probe.translate(self.letters))] == self.library.encode(probe.capitalize(), add_special_tokens=False).ids
 
     def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def _whole(self, text: str) -> bytes:
         return self._packed(self.library.encode(text, add_special_tokens=False).ids)
 
     def _core(self, core: str) -> bytes:
         """Ids of lower-case letters; a chunk of its own in the cache."""
-        found = self.get(core)
+        found = self.younger.get(core) or self.older.get(core)
         if found is None:
-            found = self.older.get(core) or self._packed([x.id for x in self.library.model.tokenize(core.translate(self.letters))])
-            self[core] = found
+            spelt = core if core.isascii() else core.translate(self.letters)
+            found = self.younger[core] = self._packed([x.id for x in self.library.model.tokenize(spelt)])
         return found
 
-    def __missing__(self, chunk: str) -> bytes:
+    def ids_of(self, chunk: str) -> bytes:
+        """The ids of a chunk that the younger generation lacks."""
         found = self.older.get(chunk)
         if found is None:
             plain = _PLAIN.fullmatch(chunk) if self.direct else None
-            found = self._whole(chunk) if plain is None else self._core(plain[1].lower()) + (self[plain[2]] if plain[2] else b"")
-        self[chunk] = found
+            if plain is None or any(x in chunk for x in self.added):
+                return self._whole(chunk)
+            before, core, after = plain.groups()
+            found = self._core(core.lower())
+            if before:
+                found = self.younger[before] + found
+            if after:
+                found += self.younger[after]
         return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text with the end id; a null text counts as empty."""
         out = []
         for text in texts:
-            if len(self) > self.cache_chunks:
-                self.older = dict(self)
-                self.clear()
+            if len(self.younger) > self.cache_chunks:
+                self.younger, self.older = _Generation(self), self.younger
             text = text or ""
-            out.append((self._whole(text) if _ODD_SPACE.search(text) else b"".join(map(self.__getitem__, text.split()))) + self.end)
+            out.append((self._whole(text) if _ODD_SPACE.search(text) else b"".join(map(self.younger.__getitem__, text.split()))) + self.end)
         return out
 
 
