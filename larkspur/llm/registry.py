@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import html, langid, ngram_join, packing, pii, secrets, spans, tiff, token_files
+from larkspur.llm import decontaminate, html, langid, ngram_join, packing, pii, secrets, spans, tiff, token_files, url_filter
 from larkspur.llm.common import new_path, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -29,6 +29,14 @@ def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *spans.digests(marks, secrets.BASE_KINDS))
 
 
+#: Fixed values of the contract.
+URL_RULES = (url_filter.Rule("net", "/", "block"), url_filter.Rule("example.net", "/en/", "allow"), url_filter.Rule("example.com", "/de/", "block"), url_filter.Rule("org", "/fr/", "allow"))
+
+
+def op4_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def held_out(id_column: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
@@ -48,6 +56,10 @@ def op7_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *spans.digests(F.col("spans"), pii.BASE_KINDS))
 
 
+def op8_benchmark_cgk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = token_files.write_token_files(table(spark, sf_dir, "documents"), new_path(spark, "tokens"), public_tokenizers.path(TOKENIZER))
     return token_files.document_digests(spark, store)
@@ -61,12 +73,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_secret_ledger": op3_secret_ledger,
+    "op4_url_templates": op4_url_templates,
     "op5_language_crf": op5_language_crf,
     "op6_tiff": op6_tiff,
     "op7_pii_anchors": op7_pii_anchors,
+    "op8_benchmark_cgk": op8_benchmark_cgk,
     "op9_token_files": op9_token_files,
     "op10_tag_paths": op10_tag_paths,
 }
 
 #: DuckDB SQL; a query that SQL cannot express is tested in tests/llm instead.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_url_templates": url_filter.judge_sql(URL_RULES)}
