@@ -53,6 +53,20 @@ def local_path(uri: str) -> str | None:
     return unquote(u.path) if u.scheme in ("", "file") else None
 
 
+#: Ids that may be broadcast (8 bytes each, about 30 in the executors' hash map).
+BROADCAST_IDS = 300_000
+
+
+def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """``df`` without the rows whose ``key`` is among ``ids``; rows with a null key stay.
+
+    The ids are written and counted; few are broadcast, so ``df`` stays where it is, and
+    more are joined by shuffle.
+    """
+    ids = written(ids.where(F.col(key).isNotNull()).distinct(), "ids")
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, "left_anti").select(*df.columns)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -311,16 +311,18 @@ def predict(docs: DataFrame, model: Model, *, keys: tuple[str, ...] = ("doc_id",
 
     Null text, and text without a letter, gets ``und`` and score 0.  Rows that repeat
     or have null keys each get a row; an empty table gives an empty result.  Of two
-    languages with equal shares the first by name wins.
+    languages with equal shares the first by name wins.  The keys may include the text.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # its size is fixed by bits and lexicon_words
     kinds = dict(docs.dtypes)
+    text = text_column if text_column in keys else "_text"
 
     def function(part: pa.RecordBatch) -> pa.RecordBatch:
-        lang, score = zip(*label(shared.value, part.column("_text").to_pylist()), strict=True)
+        lang, score = zip(*label(shared.value, part.column(text).to_pylist()), strict=True)
         return pa.RecordBatch.from_arrays([*(part.column(k) for k in keys), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*keys, "lang_pred", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from per_text(function, "_text")(batches)
+        yield from per_text(function, text)(batches)
 
-    return docs.select(*keys, F.col(text_column).alias("_text")).mapInArrow(run, "".join(f"`{k}` {kinds[k]}, " for k in keys) + "lang_pred string, score double")
+    rows = docs.select(*keys) if text in keys else docs.select(*keys, F.col(text_column).alias("_text"))
+    return rows.mapInArrow(run, "".join(f"`{k}` {kinds[k]}, " for k in keys) + "lang_pred string, score double")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import per_text, shuffle_partitions, sub_batches, text_or_empty, written
+from larkspur.llm.common import BROADCAST_IDS, per_text, shuffle_partitions, sub_batches, text_or_empty, written
 from larkspur.llm.graph import components
 from larkspur.llm.shingles import SKETCH_LONGS, identity, mix, shingle_sets, sketch
 
@@ -44,8 +44,6 @@ PART, WHOLE = 80, 100
 ALL_PAIRS = 10
 #: Rows on a side of a block in the comparison of larger groups.
 BLOCK = 2000
-#: Documents whose ids may be broadcast to pick their texts; more are joined by shuffle.
-BROADCAST_IDS = 300_000
 SID_BITS, KEY_BITS = 40, 40
 SEEDS = 60
 
