@@ -71,7 +71,7 @@ CTES: dict[str, str] = {
         CASE WHEN l_returnflag = 'R' THEN 'preferred' ELSE 'required' END AS requirement,
         CASE WHEN l_linestatus = 'F' THEN 'VERIFIED' WHEN l_returnflag = 'N' THEN 'LOW_CONFIDENCE' WHEN l_returnflag = 'A' THEN 'ANALYSIS_ONLY' ELSE 'REJECTED_HALLUCINATION' END AS status,
         round(1 - l_discount, 2) AS confidence FROM lineitem JOIN part ON l_partkey = p_partkey""",
-    "versions": "SELECT user_id AS raw_uid, epoch(ts)::BIGINT AS observed_epoch, event_id AS seq, event_type, round(value, 2) AS value, props, ts FROM events",
+    "versions": "SELECT user_id AS raw_uid, floor(epoch(ts))::BIGINT AS observed_epoch, event_id AS seq, event_type, round(value, 2) AS value, props, ts FROM events",
 }
 
 
@@ -84,7 +84,7 @@ def with_ctes(sql: str) -> str:
     def add(text: str) -> None:
         for name in CTES:
             if name not in need and re.search(rf"\b{name}\b", text):
-                add(CTES[name])
+                add(re.sub(rf"\b{name}\b", "", CTES[name]))  # a recursive one uses itself
                 if name not in need:
                     need.append(name)
 
