@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Z95 = 1.959963984540054
 
@@ -44,7 +45,7 @@ def chosen_test(x1: int, n1: int, x2: int, n2: int) -> str:
     return "fisher_exact" if least < 5 and n1 + n2 <= 200 else "two_proportion_z"
 
 
-@F.pandas_udf("struct<test:string,p_value:double>")
+@F.pandas_udf(T.StructType([T.StructField("test", T.StringType()), T.StructField("p_value", T.DoubleType())]))
 def compare_proportions(x1: pd.Series, n1: pd.Series, x2: pd.Series, n2: pd.Series) -> pd.DataFrame:
     rows = [(int(a), int(b), int(c), int(d)) for a, b, c, d in zip(x1, n1, x2, n2, strict=True)]
     tests = [chosen_test(*r) for r in rows]
