@@ -25,6 +25,7 @@ Equal sets are one node, so copies are never paired.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 from math import ceil
@@ -42,6 +43,8 @@ from larkspur.llm.shingles import SKETCH_LONGS, identity, mix, shingle_sets, ske
 PART, WHOLE = 80, 100
 #: Sets that share a key and are paired one with another; more are handled by components.
 ALL_PAIRS = 10
+#: Second documents of one first document that are verified by one task.
+GROUP = 64
 #: Rows on a side of a block in the comparison of larger groups.
 BLOCK = 2000
 SID_BITS, KEY_BITS = 40, 40
@@ -255,32 +258,48 @@ def _sieved(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """``a, b`` of the pairs whose whole texts are similar."""
-    pairs = written(pairs, "candidates")
-    ids = written(pairs.select(F.col("a_rep").alias("doc_id")).union(pairs.select(F.col("b_rep").alias("doc_id"))).distinct(), "needed")
-    texts = docs.where("doc_id is not null")
-    texts = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
-    b = pairs.join(texts.select(F.col("doc_id").alias("b_rep"), F.col("text").alias("b_text")), "b_rep")
-    both = b.join(texts.select(F.col("doc_id").alias("a_rep"), F.col("text").alias("text")), "a_rep")
-
-    def run(piece: pa.RecordBatch) -> pa.RecordBatch:
-        names = ("a_rep", "b_rep", "a_sid", "b_sid")
-        a_rep, b_rep, a_sid, b_sid = (piece.column(c).to_pylist() for c in names)
-        # Rows with the same first text stand together after the join.
-        a_text = piece.column("text").to_pylist()
-        new = [i for i in range(len(a_rep)) if not i or a_rep[i] != a_rep[i - 1] or a_text[i] != a_text[i - 1]]
-        a_sets, place = shingle_sets([a_text[i] for i in new], width), np.searchsorted(new, np.arange(len(a_rep)), side="right") - 1
-        b_sets = shingle_sets(piece.column("b_text").to_pylist(), width)
-        keep = []
-        for i, y in enumerate(b_sets):
-            x = a_sets[place[i]]
-            if node_id(identity(x, 11)) == a_sid[i] and node_id(identity(y, 11)) == b_sid[i]:
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                if WHOLE * common >= PART * (len(x) + len(y) - common):
-                    keep.append(i)
-        return pa.RecordBatch.from_arrays([pa.array([a_rep[i] for i in keep], pa.int64()), pa.array([b_rep[i] for i in keep], pa.int64())], names=["a", "b"])
-
-    return written(both.select("a_rep", "b_rep", "a_sid", "b_sid", "text", "b_text").mapInArrow(per_text(run, "b_text"), "a long, b long").distinct(), "links")
+    """``a, b`` of the pairs whose whole texts are similar.
+
+    The second documents of a first one are cut into groups of about ``GROUP``.  Each
+    text goes, packed, to the groups that need it, the first document's to all of its
+    groups, and is met there one after another.
+    """
+    spark = docs.sparkSession
+    sizes = pairs.groupBy("a_rep", "a_sid").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
+    grouped = pairs.join(sizes, ["a_rep", "a_sid"]).withColumn("grp", F.xxhash64("a_rep", "a_sid", F.pmod(F.xxhash64("b_rep"), F.col("groups"))))
+    firsts = grouped.select("grp", F.lit(0).alias("role"), F.col("a_rep").alias("doc_id"), F.col("a_sid").alias("sid")).distinct()
+    wanted = written(firsts.union(grouped.select("grp", F.lit(1), "b_rep", "b_sid")), "wanted")
+    few = wanted.count() <= BROADCAST_IDS
+    rows = docs.where("doc_id is not null").join(F.broadcast(wanted) if few else wanted, "doc_id")
+
+    def pack(piece: pa.RecordBatch) -> pa.RecordBatch:
+        packed = [zlib.compress((t or "").encode(), 1) for t in piece.column("text").to_pylist()]
+        keep = ("grp", "role", "doc_id", "sid")
+        return pa.RecordBatch.from_arrays([*(piece.column(c) for c in keep), pa.array(packed, pa.binary())], names=[*keep, "packed"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, first = None, []  # documents with the first one's id and node; several only where an id repeats
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            cols = [batch.column(c).to_pylist() for c in ("grp", "role", "doc_id", "sid")]
+            for i, (grp, role, doc, sid) in enumerate(zip(*cols, strict=True)):
+                if grp != group:
+                    group, first = grp, []
+                found = shingle_sets([zlib.decompress(batch.column("packed")[i].as_buffer()).decode()], width)[0]
+                if node_id(identity(found, 11)) != sid:
+                    continue
+                if role == 0:
+                    first.append((doc, found))
+                    continue
+                for a, own in first:
+                    common = len(np.intersect1d(own, found, assume_unique=True))
+                    if WHOLE * common >= PART * (len(own) + len(found) - common):
+                        out.append((a, doc))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+
+    packed = rows.select("grp", "role", "doc_id", "sid", "text").mapInArrow(per_text(pack, "text"), "grp long, role int, doc_id long, sid long, packed binary")
+    met = packed.repartition(shuffle_partitions(spark), "grp").sortWithinPartitions("grp", "role")
+    return written(met.mapInArrow(run, "a long, b long").distinct(), "links")
 
 
 def _unsettled(meetings: DataFrame, nodes: DataFrame) -> DataFrame | None:
@@ -360,16 +379,23 @@ def similar_components(docs: DataFrame, *, id_column: str = "doc_id", text_colum
     nodes = written(known.withColumn("sid", F.col("s1").bitwiseAND((1 << SID_BITS) - 1)), "nodes")
 
     meetings = written(_meetings(_index(docs, width), all_pairs), "meetings")
-    links = _verified(_sieved(meetings.where("key is null").select("a", "b").distinct(), nodes), docs, width)
+    pairs = written(_sieved(meetings.where("key is null").select("a", "b").distinct(), nodes), "pairs")
 
     def with_component(links: DataFrame) -> DataFrame:
         found = components(links)
         return nodes.join(found, nodes["rep"] == found["node"], "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
 
+    # One pair for each second document joins nearly all that belong together; the
+    # others are verified only where they would still join components.
+    some = pairs.groupBy("b_rep", "b_sid").agg(F.min(F.struct("a_sid", "a_rep")).alias("a")).select("a.a_rep", "b_rep", "a.a_sid", "b_sid")
+    links = _verified(written(some, "some"), docs, width)
     settled = with_component(links)
-    more = written(_unsettled(meetings, settled), "more")
-    if not more.isEmpty():
-        settled = with_component(links.union(_verified(_sieved(more, nodes), docs, width)))
+    settled = written(settled, "settled")
+    component = lambda x: settled.select(F.col("rep").alias(f"{x}_rep"), F.col("component").alias(f"{x}_component"))
+    rest = pairs.join(component("a"), "a_rep").join(component("b"), "b_rep").where("a_component != b_component").select("a_rep", "b_rep", "a_sid", "b_sid")
+    rest = written(rest.union(_sieved(_unsettled(meetings, settled), nodes)).distinct(), "rest")
+    if not rest.isEmpty():
+        settled = with_component(links.union(_verified(rest, docs, width)))
     settled = written(settled.select("s1", "s2", "component"), "components")
     out = rows.select("doc_id", "n", "s1", "s2").join(settled, ["s1", "s2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
