@@ -52,6 +52,8 @@ def _rounded(df, *columns):
     return df.select(*(F.round(c, 6).alias(c) if c in columns else F.col(c) for c in df.columns))
 
 
+#: Wide enough that invented data shows changes.
+LOOSE = E.Config(q=0.5, delta=0.005)
 _REAL = ("baseline_coverage", "current_coverage", "delta", "baseline_low", "baseline_high", "current_low", "current_high", "z")
 
 
@@ -80,8 +82,8 @@ QUERIES = {
     "period_buckets": (lambda s, d: records(s, d).select("jd_id", "period", "month", "title"), "SELECT jd_id, period, month, title FROM records"),
     "period_coverage": (lambda s, d: E.coverage(records(s, d)), "SELECT role, period, count(DISTINCT company_id) AS companies, count(*) AS jds FROM records GROUP BY ALL"),
     "skill_effects": (lambda s, d: _rounded(effects(s, d), *_REAL), "SELECT * REPLACE (" + ", ".join(f"round({c}, 6) AS {c}" for c in _REAL) + ") FROM effects"),
-    "skill_changes": (lambda s, d: E.skill_changes(effects(s, d)), None),
-    "review_budget": (lambda s, d: E.prioritized(E.skill_changes(effects(s, d)), 50), None),
+    "skill_changes": (lambda s, d: E.skill_changes(effects(s, d), LOOSE), None),
+    "review_budget": (lambda s, d: E.prioritized(E.skill_changes(effects(s, d), LOOSE), 50), None),
     "bh_qvalues": (
         _bh,
         """SELECT role, skill_id, p_value, round(least(1::DOUBLE, min(p_value * n / k) OVER (PARTITION BY role ORDER BY k DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), 6) AS q_value FROM (
