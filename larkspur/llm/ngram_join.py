@@ -388,14 +388,14 @@ def similar_components(docs: DataFrame, *, id_column: str = "doc_id", text_colum
     # One pair for each second document joins nearly all that belong together; the
     # others are verified only where they would still join components.
     some = pairs.groupBy("b_rep", "b_sid").agg(F.min(F.struct("a_sid", "a_rep")).alias("a")).select("a.a_rep", "b_rep", "a.a_sid", "b_sid")
-    links = _verified(written(some, "some"), docs, width)
-    settled = with_component(links)
-    settled = written(settled, "settled")
+    links = _verified(some, docs, width)
+    settled = written(with_component(links), "settled")
     component = lambda x: settled.select(F.col("rep").alias(f"{x}_rep"), F.col("component").alias(f"{x}_component"))
     rest = pairs.join(component("a"), "a_rep").join(component("b"), "b_rep").where("a_component != b_component").select("a_rep", "b_rep", "a_sid", "b_sid")
     rest = written(rest.union(_sieved(_unsettled(meetings, settled), nodes)).distinct(), "rest")
-    if not rest.isEmpty():
-        settled = with_component(links.union(_verified(rest, docs, width)))
+    more = None if rest.isEmpty() else _verified(rest, docs, width)
+    if more is not None and not more.isEmpty():
+        settled = with_component(links.union(more))
     settled = written(settled.select("s1", "s2", "component"), "components")
     out = rows.select("doc_id", "n", "s1", "s2").join(settled, ["s1", "s2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
