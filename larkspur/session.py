@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 CONF = {
@@ -20,3 +22,13 @@ def session(app: str = "larkspur", master: str | None = None, **conf: str) -> Sp
     for k, v in (CONF | {k.replace("_", "."): v for k, v in conf.items()}).items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def with_checkpoints(spark: SparkSession) -> SparkSession:
+    """``spark`` with a checkpoint folder: the shared one that the cluster names, or a temporary one in local mode."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="larkspur-"))
+    return spark
