@@ -24,14 +24,13 @@ def shared_dir(spark: SparkSession) -> str:
 
     Where the setting is absent (tests in local mode) a temporary folder is set.
     """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    own = tempfile.mkdtemp(prefix="larkspur-")
-    atexit.register(shutil.rmtree, own, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", f"file://{own}")
-    spark.sparkContext.setCheckpointDir(f"file://{own}")
-    return f"file://{own}"
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        own = tempfile.mkdtemp(prefix="larkspur-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(f"file://{own}")
+        found = spark.sparkContext.getCheckpointDir()
+    return found.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
