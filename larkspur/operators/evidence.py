@@ -114,10 +114,9 @@ def ability_terms(df: DataFrame, key: str, column: str) -> DataFrame:
     Text that is no JSON object gives no rows; terms are trimmed, empty ones go, repeats
     within a section once.
     """
-    sections = F.coalesce(
-        F.try_variant_get(F.try_parse_json(F.col(column)), "$", "map<string,array<string>>"),
-        F.transform_values(F.try_variant_get(F.try_parse_json(F.col(column)), "$", "map<string,string>"), lambda _, v: F.split(v, "[,，、;；|/]")),
-    )
-    rows = df.select(key, F.explode(sections).alias("category", "terms"))
+    sections = F.from_json(F.col(column), "map<string,string>")  # an array is its JSON text here
+    rows = df.select(key, F.explode(sections).alias("category", "value"))
+    listed = F.when(F.col("value").startswith("["), F.from_json("value", "array<string>"))
+    rows = rows.withColumn("terms", F.coalesce(listed, F.split("value", "[,，、;；|/]")))
     clean = F.array_distinct(F.filter(F.transform("terms", lambda t: F.trim(t)), lambda t: t != ""))
     return rows.select(key, F.trim("category").alias("category"), F.explode(clean).alias("term"))

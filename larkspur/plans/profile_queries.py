@@ -8,7 +8,10 @@ from larkspur.operators import profile as P
 from larkspur.plans import adapters as A
 from larkspur.plans.adapters import CTES
 
-TEMPLATE = F.concat_ws("|", "role", F.floor(F.col("salary") / 500).cast("string"))
+
+def template():
+    return F.concat_ws("|", "role", F.floor(F.col("salary") / 500).cast("string"))
+
 
 CTES |= {
     "weighted": """SELECT *, time_weight * template_weight AS base FROM (
@@ -44,7 +47,7 @@ CTES |= {
 
 
 def weighted(spark, d):
-    return P.weighted(A.postings(spark, d), TEMPLATE)
+    return P.weighted(A.postings(spark, d), template())
 
 
 def accepted(spark, d):

@@ -11,6 +11,7 @@ CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.legacy.javaCharsets": "true",  # posting files in GB 18030
 }
 
 

@@ -51,7 +51,11 @@ def discover(spark: SparkSession, root: str, suffixes: tuple[str, ...] = (".csv"
 
 
 def read_csv(spark: SparkSession, paths: list[str], encoding: str = "utf-8") -> DataFrame:
-    """All columns as strings, with ``source_file`` and ``file_row``'s order left to the caller."""
+    """All columns as strings, with the file and its time.
+
+    Encodings beyond Unicode and Latin-1 need ``spark.sql.legacy.javaCharsets``, which
+    ``larkspur.session`` sets.
+    """
     df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", encoding).csv(paths)
     return df.select("*", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_modification_time").alias("file_time"))
 
