@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from larkspur.functions import stats
 from larkspur.operators import evolution as E
 from larkspur.plans import adapters as A
-from larkspur.plans import profile_queries as PQ
 from larkspur.plans.adapters import CTES
 
 CTES |= {
