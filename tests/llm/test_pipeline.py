@@ -72,9 +72,9 @@ def _shingles(text):
 
 
 def _mixed(df):
-    """Rows whose own model gives no language half of the words."""
+    """Rows in which no language rules."""
     model = langid.train(langid.training_rows(df.where(~registry.held_out("doc_id"))))
-    return {r.doc_id for r in langid.predict(df, model).where("score < 0.5").collect()}
+    return {r.doc_id for r in langid.predict(df, model).where(f"score < {corpus_pipeline.LEAST_SHARE}").collect()}
 
 
 def test_run(spark, sf):
