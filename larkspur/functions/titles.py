@@ -133,3 +133,15 @@ def title_udf(config: TitleConfig = TitleConfig()):  # noqa: B008
         return pd.DataFrame({"name": titles.map(lambda t: known[t][0]), "tags": titles.map(lambda t: known[t][1])})
 
     return normalized
+
+
+#: How technical words are written in titles.
+CASING = ("Java", "Python", "DataOps", "DevOps", "FAE", "AE", "NTN", "AI", "BI", "CAD", "CAE", "CAM", ".NET", "C++")
+
+
+def display_title(key: Column) -> Column:
+    """A clustering key as people write it."""
+    out = strip(F.coalesce(key, F.lit("")))
+    for word in CASING:
+        out = F.regexp_replace(out, "(?i)" + re.escape(word), word)
+    return F.substring(out, 1, 80)

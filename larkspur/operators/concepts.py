@@ -148,3 +148,20 @@ def longest_contained(titles: DataFrame, title: str, dictionary: DataFrame, alia
     hits = distinct.join(F.broadcast(words), F.lower(F.col(title)).contains(F.lower("_alias")))
     best = hits.groupBy(title).agg(F.max_by("_name", F.struct(F.length("_alias").alias("n"), F.col("_alias"))).alias(name))
     return titles.join(best, title, "left")
+
+
+def approved(df: DataFrame, pairs: set[tuple[str, str]], match: str = "match_type", status: str = "status") -> DataFrame:
+    """Rows whose match type and status are one of the allowed pairs."""
+    if not pairs:
+        return df.limit(0)
+    allowed = F.lit(False)
+    for m, s in sorted(pairs):
+        allowed = allowed | ((F.col(match) == m) & (F.col(status) == s))
+    return df.where(allowed)
+
+
+def normalization_status(rows: DataFrame, key: str, mapped: Column) -> DataFrame:
+    """``key, status``: all rows mapped to a concept, none, or some."""
+    flags = rows.groupBy(key).agg(F.bool_or(mapped).alias("_yes"), F.bool_or(~mapped).alias("_no"))
+    status = F.when(F.col("_yes") & F.col("_no"), "MIXED_STANDARDIZED_AND_RAW").when(F.col("_yes"), "STANDARDIZED_CONCEPT").otherwise("RAW_SKILL_FALLBACK")
+    return flags.select(key, status.alias("status"))

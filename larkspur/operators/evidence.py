@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.functions.text import normalize_text
@@ -120,3 +120,15 @@ def ability_terms(df: DataFrame, key: str, column: str) -> DataFrame:
     rows = rows.withColumn("terms", F.coalesce(listed, F.split("value", "[,，、;；|/]")))
     clean = F.array_distinct(F.filter(F.transform("terms", lambda t: F.trim(t)), lambda t: t != ""))
     return rows.select(key, F.trim("category").alias("category"), F.explode(clean).alias("term"))
+
+
+def salvaged_json(answer: Column) -> Column:
+    """The JSON object in a model's answer, from the first brace to the last, as a variant; null if there is none."""
+    return F.try_parse_json(F.regexp_extract(F.coalesce(answer, F.lit("")), r"(?s)\{.*\}", 0))
+
+
+def supported_terms(terms: DataFrame, docs: DataFrame, *, key: str = "doc_id", text_column: str = "text", most: int = 12) -> DataFrame:
+    """Of ``key, category, term``, those that stand in the document's text, the first ``most`` of each category by name."""
+    rows = terms.join(docs.select(key, F.lower(F.coalesce(text_column, F.lit(""))).alias("_t")), key).where(F.col("_t").contains(F.lower("term"))).drop("_t")
+    w = Window.partitionBy(key, "category").orderBy("term")
+    return rows.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most).drop("_n")

@@ -92,3 +92,7 @@ def test_wilson(spark):
     lo, hi = stats.wilson(F.lit(5), F.lit(10))
     r = spark.range(1).select(lo.alias("lo"), hi.alias("hi")).first()
     assert (r.lo, r.hi) == pytest.approx((0.2366, 0.7634), abs=1e-4)
+
+
+def test_display_title(spark):
+    assert one(spark, T.display_title(F.col("t")), t="java与c++开发工程师 (devops)") == "Java与C++开发工程师 (DevOps)"

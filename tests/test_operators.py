@@ -147,3 +147,21 @@ def test_precedence(spark):
     a, b = spark.createDataFrame([(1, "x")], "k int, v string"), spark.createDataFrame([(1, "y"), (2, "z")], "k int, v string")
     got = {r.k: (r.v, r.v_source) for r in concepts.by_precedence(base, [("reviewer", a), ("model", b)], "k", "v").collect()}
     assert got == {1: ("x", "reviewer"), 2: ("z", "model"), 3: (None, None)}
+
+
+def test_model_answers(spark):
+    df = spark.createDataFrame([(1, 'Sure:\n```json\n{"技术": ["Go", "Rust"]}\n```'), (2, "none"), (3, None)], "doc_id int, a string")
+    got = {r.doc_id: r.j for r in df.select("doc_id", F.to_json(evidence.salvaged_json(F.col("a"))).alias("j")).collect()}
+    assert json.loads(got[1]) == {"技术": ["Go", "Rust"]} and got[2] is None and got[3] is None
+    terms = evidence.ability_terms(df.select("doc_id", F.to_json(evidence.salvaged_json(F.col("a"))).alias("j")), "doc_id", "j")
+    docs = spark.createDataFrame([(1, "we use go daily")], "doc_id int, text string")
+    assert [(r.category, r.term) for r in evidence.supported_terms(terms, docs).collect()] == [("技术", "Go")]
+
+
+def test_approval_and_status(spark):
+    df = spark.createDataFrame([(1, "EXACT", "OK"), (2, "VECTOR", "OK"), (3, "VECTOR", "REVIEWED"), (4, None, "OK")], "k int, match_type string, status string")
+    assert [r.k for r in concepts.approved(df, {("EXACT", "OK"), ("VECTOR", "REVIEWED")}).collect()] == [1, 3]
+    assert concepts.approved(df, set()).count() == 0
+    rows = spark.createDataFrame([("a", True), ("a", False), ("b", True), ("c", False)], "s string, m boolean")
+    got = {r.s: r.status for r in concepts.normalization_status(rows, "s", F.col("m")).collect()}
+    assert got == {"a": "MIXED_STANDARDIZED_AND_RAW", "b": "STANDARDIZED_CONCEPT", "c": "RAW_SKILL_FALLBACK"}
