@@ -152,7 +152,7 @@ QUERIES = {
     "simhash_dups": (lambda s, d: D.band_candidates(docs(s, d).withColumn("simhash", D.simhash_blake(F.substring(X.normalize_text(F.col("text")), 1, 12000))), "doc_id", "role").where(F.bit_count(F.col("ha").bitwiseXOR(F.col("hb"))) <= 3).select("a", "b"), None),
     "near_duplicates": (_near, None),
     "near_dup_clusters": (_near_clusters, None),
-    "greedy_templates": (lambda s, d: D.greedy_templates(docs(s, d).where(F.length("text") < 300), "role", "doc_id", F.col("text")), None),
+    "greedy_templates": (lambda s, d: D.greedy_templates(docs(s, d), "role", "doc_id", F.col("text")), None),
     "title_clusters": (_title_clusters, None),
     "capped_clusters": (_capped, None),
     "cosine_topk": (lambda s, d: neighbours(s, d).select("query", "rank", F.round("similarity", 5).alias("similarity")), "SELECT query, rank, round(similarity, 5) AS similarity FROM knn"),

@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+import difflib
+import hashlib
 import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from larkspur.functions import text
 from larkspur.operators import cluster, concepts, dedup, domain, evidence, serve, similarity, versions
+from larkspur.plans import catalog
 from larkspur.sources import ingest, sinks
 
 
@@ -47,6 +51,41 @@ def test_near_duplicates(spark):
     assert t[1] == t[2] != t[3]
 
 
+def _plain_simhash(t):
+    grams = [t[i : i + 3] for i in range(len(t) - 2)] if len(t) > 3 else [t]
+    hashes = [int.from_bytes(hashlib.blake2b(g.encode(), digest_size=8).digest(), "big") for g in grams]
+    return sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hashes) >= len(grams))
+
+
+def test_greedy_templates_of_all_documents(spark, sf):
+    """Every document has a template, the long ones too; in the smaller blocks it is compared with a plain loop's."""
+    got = {r.doc_id: (r.role, r.template) for r in catalog.QUERIES["greedy_templates"](spark, sf).collect()}
+    heads, expected = {}, {}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.col("lang").alias("role"), text.normalize_text(F.col("text")).alias("t")).where("lang != 'en'").orderBy("doc_id").collect():
+        t, known = r.t[:10000], heads.setdefault(r.role, [])
+        h, best, at = _plain_simhash(r.t[:12000]) if t else 0, 0, len(known)
+        for c, (other, g) in enumerate(known):
+            if (h ^ g).bit_count() <= 14 and any((h ^ g) >> p & 0xFF == 0 for p in range(0, 64, 8)):
+                m = difflib.SequenceMatcher(None, t, other, autojunk=False)
+                if m.real_quick_ratio() >= 0.97 and m.quick_ratio() >= 0.97 and (x := 1.0 if t == other else m.ratio()) >= 0.97 and x > best:
+                    best, at = x, c
+        if at == len(known):
+            known.append((t, h))
+        expected[r.doc_id] = r.role, at
+    assert len(got) == 200 and {k: v for k, v in got.items() if v[0] != "en"} == expected
+
+
+def test_ratio_is_that_of_difflib():
+    rng = random.Random(3)
+    for k in range(200):
+        a = "".join(rng.choice("abc" if k % 2 else "abcdefghijkl") for _ in range(rng.randint(0, 120)))
+        b = "".join(rng.choice((c, c, c, c, c, c, "", "x")) for c in a)
+        expected = difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
+        assert dedup.ratio(a, b) == expected
+        for least in (0.5, 0.8, 0.97):
+            assert dedup.ratio_from(a, b, least) in ((expected,) if expected >= least else (0.0, expected))
+
+
 def test_simhash_native_is_set_by_ties(spark):
     df = spark.createDataFrame([(1, "abc"), (2, "abc"), (3, "")], "id int, t string")
     got = {r.id: r.simhash for r in dedup.simhash_native(df, "id", F.col("t")).collect()}
