@@ -121,23 +121,40 @@ def mmr(df: DataFrame, keys: list[str], item: str, score: str, vector: str, quot
     return best.select(*keys, item, score, vector).groupBy(*keys).applyInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in (*keys, item, score)) + ", mmr_rank long")
 
 
-def without_redundant(df: DataFrame, keys: list[str], item: str, score: str, vector: str, least: float = 0.95, most: int = 200) -> DataFrame:
-    """In order of score, an item goes if a kept one of its group is as similar as ``least``; the best ``most`` are looked at."""
-    w = Window.partitionBy(*keys).orderBy(F.col(score).desc(), item)
-    best = df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most).drop("_n")
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([score, item], ascending=[False, True]).reset_index(drop=True)
-        v = np.stack(pdf[vector].to_list()).astype(float)
-        v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-        kept: list[int] = []
-        for i in range(len(pdf)):
-            if not kept or (v[kept] @ v[i]).max() < least:
-                kept.append(i)
-        return pdf.loc[kept, [*keys, item, score]]
+def without_redundant(df: DataFrame, keys: list[str], item: str, score: str, vector: str, least: float = 0.95) -> DataFrame:
+    """In order of score, an item goes if a kept one of its group is as similar as ``least``; every item is decided.
 
+    The order decides, so a group is one task.  It streams its rows in blocks, multiplies
+    each with blocks of what is kept, and holds the kept vectors alone in memory.
+    """
     kinds = dict(df.dtypes)
-    return best.select(*keys, item, score, vector).groupBy(*keys).applyInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in (*keys, item, score)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, kept = None, []
+        for pdf in batches:
+            own = list(zip(*(pdf[k].astype(object).where(pdf[k].notna(), None) for k in keys), strict=True))
+            cuts = [0, *(i for i in range(1, len(own)) if own[i] != own[i - 1]), len(own)]
+            for lo, hi in ((i, min(i + BLOCK, end)) for start, end in zip(cuts, cuts[1:], strict=False) for i in range(start, end, BLOCK)):
+                if own[lo] != group:
+                    group, kept = own[lo], []
+                v = np.stack(pdf[vector].iloc[lo:hi].to_list()).astype(float)
+                v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+                free = np.ones(len(v), bool)
+                for block in kept:
+                    free[free] = (v[free] @ block.T).max(axis=1) < least
+                chosen: list[int] = []
+                for i in np.flatnonzero(free).tolist():
+                    if not chosen or (v[chosen] @ v[i]).max() < least:
+                        chosen.append(i)
+                if chosen:
+                    if kept and len(kept[-1]) + len(chosen) <= BLOCK:
+                        kept[-1] = np.concatenate([kept[-1], v[chosen]])
+                    else:
+                        kept.append(v[chosen])
+                yield pdf[[*keys, item, score]].iloc[[lo + i for i in chosen]]
+
+    rows = df.select(*keys, item, score, vector).repartition(*(F.col(k) for k in keys)).sortWithinPartitions(*keys, F.col(score).desc(), item)
+    return rows.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in (*keys, item, score)))
 
 
 def resolution(best: DataFrame, exact: Column, alias: Column, conflict: Column, similarity: Column, accept: float = 0.93, review: float = 0.82) -> DataFrame:

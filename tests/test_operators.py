@@ -112,6 +112,22 @@ def test_mmr_prefers_the_different(spark):
     assert got == ["a", "c"]
 
 
+def test_without_redundant_decides_every_row(spark):
+    """A group of more rows than a block, in which redundant rows have kept ones far ahead of them."""
+    rng = random.Random(4)
+    rows = [("big" if i % 4 else "small", i, rng.random(), [rng.gauss(0, 1) for _ in range(3)]) for i in range(1800)]
+    df = spark.createDataFrame(rows, "k string, id int, score double, v array<double>")
+    kept = {"big": [], "small": []}
+    expected = set()
+    for k, i, _, v in sorted(rows, key=lambda r: (-r[2], r[1])):
+        unit = [x / sum(y * y for y in v) ** 0.5 for x in v]
+        if all(sum(x * y for x, y in zip(unit, w)) < 0.9995 for w in kept[k]):
+            kept[k].append(unit)
+            expected.add(i)
+    got = [r.id for r in similarity.without_redundant(df, ["k"], "id", "score", "v", 0.9995).collect()]
+    assert sorted(got) == sorted(expected) and len(kept["big"]) > 200
+
+
 def test_domain(spark):
     rows = [(1, "Java开发工程师", "负责微服务接口开发", "计算机软件"), (2, "保险顾问", "负责保险销售业绩", "保险"), (3, "店员", "负责食品销售", "食品"), (4, "助理", "协助日常工作", "")]
     df = domain.admitted(domain.structured(spark.createDataFrame(rows, "id int, title string, description string, industry string"), domain.TECHNOLOGY), domain.TECHNOLOGY)
