@@ -102,10 +102,11 @@ def _stream_folder(s, name: str) -> str:
 
 
 def _stream_counts(s, d):
-    """Counts by user from a stream of days, summed when read."""
+    """Counts by day and kind of event from a stream, open windows included."""
     root = _stream_folder(s, "counts")
-    ST.run_to_table(ST.month_counts(ST.file_stream(s, d, "events.parquet"), "event_type"), f"{root}/out", f"{root}/check", "append")
-    return s.read.schema("day string, event_type string, n long").parquet(f"{root}/out").groupBy("day", "event_type").agg(F.sum("n").alias("n"))
+    ST.write_complete(ST.month_counts(ST.file_stream(s, d, "events.parquet"), "event_type"), f"{root}/out", f"{root}/check").awaitTermination()
+    last = max(int(x[1:]) for x in os.listdir(f"{root}/out") if x.startswith("v"))
+    return s.read.schema("day string, event_type string, n long").parquet(f"{root}/out/v{last}")
 
 
 def _stream_current(s, d):
@@ -152,6 +153,6 @@ QUERIES = {
         lambda s, d: A.postings(s, d).cube("role", "industry").agg(F.count("*").alias("n"), F.countDistinct("company_id").alias("companies"), F.grouping_id().cast("long").alias("grain")),
         "SELECT role, industry, count(*) AS n, count(DISTINCT company_id) AS companies, grouping(role, industry)::BIGINT AS grain FROM postings GROUP BY CUBE (role, industry)",
     ),
-    "stream_day_counts": (_stream_counts, None),
+    "stream_day_counts": (_stream_counts, "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY ALL"),
     "stream_current_version": (_stream_current, "SELECT raw_uid, observed_epoch, seq, event_type FROM (SELECT *, row_number() OVER (PARTITION BY raw_uid ORDER BY observed_epoch DESC, seq DESC) AS n FROM versions) WHERE n = 1"),
 }

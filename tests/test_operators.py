@@ -12,6 +12,7 @@ from larkspur.functions import text
 from larkspur.operators import cluster, concepts, dedup, domain, evidence, serve, similarity, versions
 from larkspur.plans import catalog
 from larkspur.sources import ingest, sinks
+from larkspur.streaming import streams
 
 
 def test_thresholds():
@@ -128,6 +129,16 @@ def test_without_redundant_decides_every_row(spark):
     assert sorted(got) == sorted(expected) and len(kept["big"]) > 200
 
 
+def test_stream_counts_hold_open_and_late_windows(spark, tmp_path):
+    """Files in an order that makes rows late, and a last window that no watermark closes."""
+    for name, day in (("a", "2024-03-01"), ("b", "2024-01-01"), ("c", "2024-03-02")):
+        spark.createDataFrame([(f"{day} 10:00:00", "x", 1.0)] * 3, "ts string, event_type string, value double").coalesce(1).write.parquet(str(tmp_path / "in" / name))
+    rows = streams.file_stream(spark, str(tmp_path / "in" / "*"), files_per_trigger=1)
+    streams.write_complete(streams.month_counts(rows, "event_type"), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    last = max(int(p.name[1:]) for p in (tmp_path / "out").iterdir() if p.name.startswith("v"))
+    assert {r.day: r.n for r in spark.read.parquet(str(tmp_path / "out" / f"v{last}")).collect()} == {"2024-01-01": 3, "2024-03-01": 3, "2024-03-02": 3}
+
+
 def test_domain(spark):
     rows = [(1, "Java开发工程师", "负责微服务接口开发", "计算机软件"), (2, "保险顾问", "负责保险销售业绩", "保险"), (3, "店员", "负责食品销售", "食品"), (4, "助理", "协助日常工作", "")]
     df = domain.admitted(domain.structured(spark.createDataFrame(rows, "id int, title string, description string, industry string"), domain.TECHNOLOGY), domain.TECHNOLOGY)
