@@ -68,7 +68,10 @@ def _near(s, d):
 
 
 def _near_clusters(s, d):
-    return CL.components(_near(s, d).select("a", "b"))
+    """The cluster of every document; one without a near duplicate is its own."""
+    found = CL.components(_near(s, d).select("a", "b"))
+    rows = docs(s, d).select(F.col("doc_id").alias("node")).join(found, "node", "left")
+    return rows.select("node", F.coalesce("component", "node").alias("component"))
 
 
 def _title_clusters(s, d):
@@ -149,7 +152,7 @@ QUERIES = {
         """SELECT doc_id, sha256(regexp_replace(lower(company), '[^0-9a-z一-鿿+#.]', '', 'g') || '|' || regexp_replace(lower(role), '[^0-9a-z一-鿿+#.]', '', 'g') || '|' || t) AS exact_hash, sha256(regexp_replace(regexp_replace(lower(text), '[ \\t\\n\\r\\f\\v]+', '', 'g'), '[0-9]+', '#', 'g')) AS template,
            'jd:' || substr(sha1(doc_id::VARCHAR), 1, 16) AS graph_id, substr(sha256(role || chr(31) || doc_id::VARCHAR), 1, 20) AS evolution_id FROM normal""",
     ),
-    "simhash_dups": (lambda s, d: D.band_candidates(docs(s, d).withColumn("simhash", D.simhash_blake(F.substring(X.normalize_text(F.col("text")), 1, 12000))), "doc_id", "role").where(F.bit_count(F.col("ha").bitwiseXOR(F.col("hb"))) <= 3).select("a", "b"), None),
+    "simhash_dups": (lambda s, d: D.close_hashes(docs(s, d), "doc_id", "role", F.col("text")).select("a", "b"), None),
     "near_duplicates": (_near, None),
     "near_dup_clusters": (_near_clusters, None),
     "greedy_templates": (lambda s, d: D.greedy_templates(docs(s, d), "role", "doc_id", F.col("text")), None),

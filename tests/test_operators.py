@@ -52,6 +52,29 @@ def test_near_duplicates(spark):
     assert t[1] == t[2] != t[3]
 
 
+def test_near_duplicates_keep_copies_and_equal_hashes(spark):
+    """All copies are in pairs, and so are different texts whose simhashes are equal; texts that differ late are not copies."""
+    a = "abcdefghij" * 30
+    b = a + "abcdefghij"  # the same trigrams, nearly as often: the same hash
+    rng = random.Random(5)
+    long = "".join(rng.choice("abcdefgh") for _ in range(12000))
+    late = long[:10500] + "ijkl" * 375
+    rows = [(1, "r", a), (2, "r", a.upper()), (3, "r", b), (4, "r", b), (5, "q", a), (6, "r", ""), (7, "r", ""), (8, "s", long), (9, "s", late)]
+    df = spark.createDataFrame(rows, "id int, role string, t string")
+    assert _plain_simhash(a) == _plain_simhash(b) and (_plain_simhash(long) ^ _plain_simhash(late)).bit_count() > 3
+    assert sorted((r.a, r.b) for r in dedup.near_duplicates(df, "id", "role", F.col("t")).collect()) == [(1, 2), (1, 3), (3, 4)]
+    assert sorted((r.a, r.b) for r in dedup.close_hashes(df, "id", "role", F.col("t")).select("a", "b").collect()) == [(1, 2), (1, 3), (3, 4)]
+
+
+def test_near_dup_clusters_hold_every_document(spark, sf):
+    got = {r.node: r.component for r in catalog.QUERIES["near_dup_clusters"](spark, sf).collect()}
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", text.normalize_text(F.col("text")).alias("t")).orderBy("doc_id").collect()
+    first = {}
+    assert len(got) == len(rows)
+    for r in rows:
+        assert got[r.doc_id] == got[first.setdefault((r.lang, r.t or r.doc_id), r.doc_id)] <= r.doc_id
+
+
 def _plain_simhash(t):
     grams = [t[i : i + 3] for i in range(len(t) - 2)] if len(t) > 3 else [t]
     hashes = [int.from_bytes(hashlib.blake2b(g.encode(), digest_size=8).digest(), "big") for g in grams]
