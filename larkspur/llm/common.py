@@ -66,6 +66,17 @@ def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, "left_anti").select(*df.columns)
 
 
+#: Copies of the smaller side of a salted join, and so parts into which a hot key falls.
+SALTS = 16
+
+
+def salted_join(large: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join in which the rows of a key in ``large`` fall into ``SALTS`` parts."""
+    salt = F.pmod(F.xxhash64(*(F.col(c) for c in large.columns)), F.lit(SALTS)).cast("int")
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return large.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -15,8 +15,10 @@ also with its one-deletion neighbourhood.
   the next seed; a pair meets under the first seed under which either earns enough.
 * Keys are dealt out by hash.  Up to ``ALL_PAIRS`` sets that share a key are paired
   with one another.  Beyond, all are paired with the first alone, and the key costs its
-  credits: only sets whose remaining credits no longer suffice are compared further,
-  across the components found so far, in blocks.
+  credits: only sets whose remaining credits no longer suffice are compared further, by
+  the first set of just so many of their rarest such keys that two similar ones must
+  have one in common.  Sets with the same first one are compared in blocks, across the
+  components found so far, and a block gives the links of a spanning forest alone.
 * Candidates are sieved by size and by parity sketches, which never lose a pair, and
   verified on the whole texts.
 
@@ -27,15 +29,15 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import BROADCAST_IDS, per_text, shuffle_partitions, sub_batches, text_or_empty, written
+from larkspur.llm.common import BROADCAST_IDS, per_text, salted_join, shuffle_partitions, sub_batches, text_or_empty, written
 from larkspur.llm.graph import components
 from larkspur.llm.shingles import SKETCH_LONGS, identity, mix, shingle_sets, sketch
 
@@ -45,9 +47,10 @@ PART, WHOLE = 80, 100
 ALL_PAIRS = 10
 #: Second documents of one first document that are verified by one task.
 GROUP = 64
-#: Rows on a side of a block in the comparison of larger groups.
-BLOCK = 2000
+#: Sets, and shingles, on a side of a block in the comparison of larger groups.
+BLOCK, BLOCK_SHINGLES = 2000, 1_000_000
 SID_BITS, KEY_BITS = 40, 40
+#: Seeds after which a set that is still short of credits is indexed by its elements.
 SEEDS = 60
 
 _U = np.uint64
@@ -140,6 +143,11 @@ def keys_of(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
                 members, need = members[short], need[short]
                 if not len(members):
                     break
+            if len(members):
+                # A credit for each element: always enough, and the same for both of a pair.
+                keys.append(mix(mix(np.concatenate([sets[i] for i in members]), (int(b) * SEEDS + SEEDS) * 0x10001 + 7)))
+                owners.append(np.repeat(members, sizes[members]))
+                flags.append(np.repeat(np.clip(sizes[members] - need + 1, 0, 255) | SEEDS << 8 | below << 15, sizes[members]))
     if not keys:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint16)
     return np.concatenate(keys), np.concatenate(owners), np.concatenate(flags).astype(np.uint16)
@@ -154,20 +162,20 @@ def _unpacked(data: memoryview, n: int) -> np.ndarray:
     return np.frombuffer(data[: 4 * n], "<u4").astype(np.uint64) | np.frombuffer(data[4 * n : 5 * n], "u1").astype(np.uint64) << _U(32)
 
 
-def _index(docs: DataFrame, width: int) -> DataFrame:
+def _index(docs: DataFrame, width: int, sid_bits: int) -> DataFrame:
     """Rows ``part, blob`` of packed keys, node ids and flags; each set once for a task."""
     parts = shuffle_partitions(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             for piece in sub_batches(batch, "text"):
                 sets, sids = [], []
                 for s in shingle_sets(piece.column("text").to_pylist(), width):
-                    if len(s) >= bands()[0] and (i := node_id(identity(s, 11))) not in seen:
+                    if len(s) >= bands()[0] and (i := (identity(s, 11), identity(s, 12))) not in seen:
                         seen.add(i)
                         sets.append(s)
-                        sids.append(i)
+                        sids.append(node_id(i[0], sid_bits))
                 if not sets:
                     continue
                 key, owner, flag = keys_of(sets)
@@ -182,8 +190,9 @@ def _index(docs: DataFrame, width: int) -> DataFrame:
     return docs.select(text_or_empty("text").alias("text")).mapInArrow(run, "part int, blob binary").repartitionById(parts, "part")
 
 
-def node_id(found: int) -> int:
-    return found & (1 << SID_BITS) - 1
+def node_id(found: int, bits: int) -> int:
+    """Part of a set's identity, for the keys; sets that share it are told apart when verified."""
+    return found & (1 << bits) - 1
 
 
 def _unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -195,7 +204,12 @@ def _unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _meetings(index: DataFrame, all_pairs: int = ALL_PAIRS) -> DataFrame:
-    """What shares a key: pairs (``key`` null), and memberships in keys of many sets (``b`` null)."""
+    """What shares a key: pairs (``key`` null), and memberships in keys of many sets
+    (``b`` null) with the key's first set and its number of sets.
+
+    A task holds its share of the keys, 12 bytes for each key of a set:
+    ``spark.sql.shuffle.partitions`` bounds it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sids, flags, part = [], [], [], 0
@@ -234,17 +248,21 @@ def _meetings(index: DataFrame, all_pairs: int = ALL_PAIRS) -> DataFrame:
         seconds.append(sid[star])
         a, b = _unique_pairs(np.concatenate(firsts), np.concatenate(seconds))
         a, b = a.astype(np.int64), b.astype(np.int64)
-        long, step = pa.int64(), 100_000
-        for i in range(0, len(a), step):
-            n = len(a[i : i + step])
-            yield pa.RecordBatch.from_arrays([pa.array(a[i : i + step]), pa.array(b[i : i + step]), pa.nulls(n, long), pa.nulls(n, pa.int32())], names=["a", "b", "key", "flags"])
+        step, names = 100_000, ["a", "b", "key", "flags", "first", "size"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+
+        def emit(columns: list[np.ndarray | None]) -> Iterator[pa.RecordBatch]:
+            n = next(len(c) for c in columns if c is not None)
+            for i in range(0, n, step):
+                size = len(range(i, min(i + step, n)))
+                yield pa.RecordBatch.from_arrays([pa.nulls(size, k) if c is None else pa.array(c[i : i + step], k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+        yield from emit([a, b, None, None, None, None])
         k = (key[large] | _U(part) << _U(KEY_BITS)).astype(np.int64)
-        s, f = sid[large].astype(np.int64), flag[large].astype(np.int32)
-        for i in range(0, len(k), step):
-            n = len(k[i : i + step])
-            yield pa.RecordBatch.from_arrays([pa.array(s[i : i + step]), pa.nulls(n, long), pa.array(k[i : i + step]), pa.array(f[i : i + step])], names=["a", "b", "key", "flags"])
+        first = np.repeat(sid[start], count)[large].astype(np.int64)
+        yield from emit([sid[large].astype(np.int64), None, k, flag[large].astype(np.int32), first, np.repeat(count, count)[large]])
 
-    return index.mapInArrow(run, "a long, b long, key long, flags int")
+    return index.mapInArrow(run, "a long, b long, key long, flags int, first long, size long")
 
 
 def _sieved(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -257,7 +275,7 @@ def _sieved(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.where(fit & (apart <= near) & (F.col("a_rep") != F.col("b_rep"))).select("a_rep", "b_rep", "a_sid", "b_sid").distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, width: int, sid_bits: int) -> DataFrame:
     """``a, b`` of the pairs whose whole texts are similar.
 
     The second documents of a first one are cut into groups of about ``GROUP``.  Each
@@ -269,13 +287,6 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     grouped = pairs.join(sizes, ["a_rep", "a_sid"]).withColumn("grp", F.xxhash64("a_rep", "a_sid", F.pmod(F.xxhash64("b_rep"), F.col("groups"))))
     firsts = grouped.select("grp", F.lit(0).alias("role"), F.col("a_rep").alias("doc_id"), F.col("a_sid").alias("sid")).distinct()
     wanted = written(firsts.union(grouped.select("grp", F.lit(1), "b_rep", "b_sid")), "wanted")
-    few = wanted.count() <= BROADCAST_IDS
-    rows = docs.where("doc_id is not null").join(F.broadcast(wanted) if few else wanted, "doc_id")
-
-    def pack(piece: pa.RecordBatch) -> pa.RecordBatch:
-        packed = [zlib.compress((t or "").encode(), 1) for t in piece.column("text").to_pylist()]
-        keep = ("grp", "role", "doc_id", "sid")
-        return pa.RecordBatch.from_arrays([*(piece.column(c) for c in keep), pa.array(packed, pa.binary())], names=[*keep, "packed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, first = None, []  # documents with the first one's id and node; several only where an id repeats
@@ -285,8 +296,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
             for i, (grp, role, doc, sid) in enumerate(zip(*cols, strict=True)):
                 if grp != group:
                     group, first = grp, []
-                found = shingle_sets([zlib.decompress(batch.column("packed")[i].as_buffer()).decode()], width)[0]
-                if node_id(identity(found, 11)) != sid:
+                found = _set_of(batch.column("packed")[i], width)
+                if node_id(identity(found, 11), sid_bits) != sid:
                     continue
                 if role == 0:
                     first.append((doc, found))
@@ -297,64 +308,109 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
                         out.append((a, doc))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
 
-    packed = rows.select("grp", "role", "doc_id", "sid", "text").mapInArrow(per_text(pack, "text"), "grp long, role int, doc_id long, sid long, packed binary")
+    packed = _with_texts(wanted, docs).select("grp", "role", "doc_id", "sid", "packed")
     met = packed.repartition(shuffle_partitions(spark), "grp").sortWithinPartitions("grp", "role")
     return written(met.mapInArrow(run, "a long, b long").distinct(), "links")
 
 
-def _unsettled(meetings: DataFrame, nodes: DataFrame) -> DataFrame | None:
-    """Pairs of node ids, in keys of many sets, that the other keys don't cover.
+def _with_texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """``wanted`` (a written table) with the texts of its ``doc_id``, ``packed`` once each."""
+
+    def pack(piece: pa.RecordBatch) -> pa.RecordBatch:
+        packed = [zlib.compress((t or "").encode(), 1) for t in piece.column("text").to_pylist()]
+        return pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
+
+    few = wanted.count() <= BROADCAST_IDS
+    ids = wanted.select("doc_id").distinct()
+    texts = docs.where("doc_id is not null").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    texts = texts.select("doc_id", "text").mapInArrow(per_text(pack, "text"), "doc_id long, packed binary")
+    return texts.join(F.broadcast(wanted) if few else wanted, "doc_id")
+
+
+def _set_of(packed: pa.Scalar, width: int) -> np.ndarray:
+    return shingle_sets([zlib.decompress(packed.as_buffer()).decode()], width)[0]
+
+
+def _unsettled(meetings: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``pair, own, other, doc_id, s1, component, n``: sets whose similar ones their keys of few sets may miss, in blocks.
 
-    ``nodes`` has the components so far.  A set counts where the credits of its keys of
-    many sets exceed those it can spare; its group is compared where it holds several
-    components, in blocks of about ``BLOCK`` by ``BLOCK`` rows.
+    ``nodes`` has the components so far.  Two similar sets share keys that are worth the
+    credits which either can spare; so, in one order of all keys, the first key that they
+    share is no further down a set's list of keys of many sets than the credits that the
+    list has in excess of these.  A set is listed under the first set of each such key.
+    Lists that hold one component alone are settled.  A list falls into blocks; a pair of
+    blocks holds at most ``BLOCK`` sets and ``BLOCK_SHINGLES`` shingles (or one set) of
+    each, about.
     """
-    many = meetings.where("key is not null").select("key", F.col("a").alias("sid"), F.col("flags").bitwiseAND(0xFF).alias("spare"), F.shiftright("flags", 8).bitwiseAND(0xBF).alias("tag"), F.shiftright("flags", 14).bitwiseAND(1).alias("double"))
-    lost = many.groupBy("sid", "tag").agg(F.sum(F.col("double") + 1).alias("lost"), F.min("spare").alias("spare")).where("lost >= spare").select("sid", "tag")
-    rows = written(many.join(lost, ["sid", "tag"]).join(nodes, "sid").select("key", "sid", "component", "n", *_SKETCH), "unsettled")
-    groups = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows")).where("lo < hi").select("key", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(groups, "key").withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    flags = F.col("flags")
+    many = meetings.where("key is not null").select("key", F.col("a").alias("sid"), "first", "size", flags.bitwiseAND(0xFF).alias("spare"), F.shiftright(flags, 8).bitwiseAND(0xBF).alias("tag"), (F.shiftright(flags, 14).bitwiseAND(1) + 1).alias("credits"))
+    own = Window.partitionBy("sid", "tag")
+    before = F.sum("credits").over(own.orderBy("size", "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("credits")
+    excess = F.sum("credits").over(own) - F.min("spare").over(own)
+    lists = many.withColumn("before", before).withColumn("excess", excess).where("before <= excess").select("first", "sid").distinct()
+    rows = written(lists.join(nodes, "sid").select("first", F.col("rep").alias("doc_id"), "s1", "component", "n"), "unsettled")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    mixed = written(rows.groupBy("first").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), blocks.alias("blocks")).where("lo < hi").select("first", "blocks"), "mixed")
+    rows = rows.join(F.broadcast(mixed), "first") if mixed.count() <= BROADCAST_IDS else salted_join(rows, mixed, ["first"])
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("doc_id", "s1"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("pair"), "own", "other", "sid", "component", "n", *_SKETCH)
-    n = shuffle_partitions(rows.sparkSession)
+    pair = F.xxhash64("first", F.least("own", "other"), F.greatest("own", "other")).alias("pair")
+    return written(rows.select(pair, "own", "other", "doc_id", "s1", "component", "n"), "blocks")
+
+
+def _forest(sets: list[np.ndarray], ids: np.ndarray, component: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Links between sets of ``left`` and of ``right`` that join all components which any such link joins: a spanning forest."""
+    out = []
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    bits = np.stack([sketch(s) for s in sets]).view(np.uint64)
+    component = component.copy()
+    for i in np.flatnonzero(left):
+        j = np.flatnonzero(right & (component != component[i]))
+        j = j[np.minimum(size[j], size[i]) * WHOLE >= np.maximum(size[j], size[i]) * PART]
+        apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1)
+        fit = apart * (WHOLE + PART) <= (size[j] + size[i]) * (WHOLE - PART)
+        for k in j[fit][np.argsort(apart[fit], kind="stable")].tolist():
+            if component[k] == component[i]:
+                continue
+            common = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
+            if WHOLE * common >= PART * (int(size[i] + size[k]) - common):
+                out.append((int(ids[i]), int(ids[k])))
+                component[component == component[k]] = component[i]
+    return out
+
+
+def _linked_in_blocks(blocks: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """``a, b``: for each pair of blocks the links of a spanning forest over its components, by whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_pair, held = None, []
+        now, held = None, []
 
         def done() -> pa.RecordBatch:
-            t = pa.Table.from_batches(held)
-            col = lambda c: t.column(c).to_numpy()
-            sid, component, size = col("sid"), col("component"), col("n")
-            bits = np.stack([col(k) for k in _SKETCH], axis=1).view(np.uint64)
-            left = np.flatnonzero(col("own") <= col("other"))
-            right = np.flatnonzero(col("own") >= col("other"))
-            a, b = [], []
-            for i in left:
-                j = right[(component[right] != component[i]) & (np.minimum(size[right], size[i]) * WHOLE >= np.maximum(size[right], size[i]) * PART)]
-                apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1)
-                j = j[apart * (WHOLE + PART) <= (size[j] + size[i]) * (WHOLE - PART)]
-                a.append(np.minimum(sid[j], sid[i]))
-                b.append(np.maximum(sid[j], sid[i]))
+            doc, component, own, other, sets = zip(*held, strict=True)
             held.clear()
-            x, y = _unique_pairs(np.concatenate(a), np.concatenate(b)) if a else (np.empty(0, np.int64),) * 2
-            return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
+            own, other = np.array(own), np.array(other)
+            found = _forest(list(sets), np.array(doc), np.array(component), own <= other, own >= other)
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            pair = batch.column("pair").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(pair)) + 1), len(pair)]
-            for i, j in zip(cuts, cuts[1:], strict=False):
-                if j > i:
-                    if held and pair[i] != open_pair:
+            cols = [batch.column(c).to_pylist() for c in ("pair", "doc_id", "s1", "component", "own", "other")]
+            for i, (pair, doc, s1, component, own, other) in enumerate(zip(*cols, strict=True)):
+                if pair != now:
+                    if held:
                         yield done()
-                    open_pair = pair[i]
-                    held.append(batch.slice(i, j - i))
+                    now = pair
+                found = _set_of(batch.column("packed")[i], width)
+                if identity(found, 11) == s1:
+                    held.append((doc, component, own, other, found))
         if held:
             yield done()
 
-    return rows.repartition(n, "pair").sortWithinPartitions("pair").mapInArrow(run, "a long, b long").distinct()
+    rows = _with_texts(blocks, docs).select("pair", "own", "other", "doc_id", "s1", "component", "packed")
+    rows = rows.repartition(shuffle_partitions(docs.sparkSession), "pair").sortWithinPartitions("pair")
+    return rows.mapInArrow(run, "a long, b long")
 
 
-def similar_components(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", width: int = 5, all_pairs: int = ALL_PAIRS) -> DataFrame:
+def similar_components(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", width: int = 5, all_pairs: int = ALL_PAIRS, sid_bits: int = SID_BITS) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
 
     Two documents link when their sets of ``width``-word shingles have a Jaccard
@@ -362,7 +418,8 @@ def similar_components(docs: DataFrame, *, id_column: str = "doc_id", text_colum
     Null or wordless text has the empty set, which links with nothing.  A row without an
     id has its size, links with nothing and has no component.  Rows that share an id
     are each compared; the component of the id's rows is by their own texts.  An empty
-    table gives an empty result.  Other columns are not read.
+    table gives an empty result.  Other columns are not read.  ``sid_bits`` (40 at most)
+    only decides how often different sets share a number, never the result.
     """
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
 
@@ -376,9 +433,9 @@ def similar_components(docs: DataFrame, *, id_column: str = "doc_id", text_colum
     rows = docs.mapInArrow(per_text(sized, "text"), "doc_id long, n long, s1 long, s2 long, " + ", ".join(f"{k} long" for k in _SKETCH))
     rows = written(rows, "sets")
     known = rows.where("doc_id is not null and n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), *(F.first(k).alias(k) for k in _SKETCH))
-    nodes = written(known.withColumn("sid", F.col("s1").bitwiseAND((1 << SID_BITS) - 1)), "nodes")
+    nodes = written(known.withColumn("sid", F.col("s1").bitwiseAND((1 << sid_bits) - 1)), "nodes")
 
-    meetings = written(_meetings(_index(docs, width), all_pairs), "meetings")
+    meetings = written(_meetings(_index(docs, width, sid_bits), all_pairs), "meetings")
     pairs = written(_sieved(meetings.where("key is null").select("a", "b").distinct(), nodes), "pairs")
 
     def with_component(links: DataFrame) -> DataFrame:
@@ -388,14 +445,16 @@ def similar_components(docs: DataFrame, *, id_column: str = "doc_id", text_colum
     # One pair for each second document joins nearly all that belong together; the
     # others are verified only where they would still join components.
     some = pairs.groupBy("b_rep", "b_sid").agg(F.min(F.struct("a_sid", "a_rep")).alias("a")).select("a.a_rep", "b_rep", "a.a_sid", "b_sid")
-    links = _verified(some, docs, width)
+    links = _verified(some, docs, width, sid_bits)
     settled = written(with_component(links), "settled")
     component = lambda x: settled.select(F.col("rep").alias(f"{x}_rep"), F.col("component").alias(f"{x}_component"))
     rest = pairs.join(component("a"), "a_rep").join(component("b"), "b_rep").where("a_component != b_component").select("a_rep", "b_rep", "a_sid", "b_sid")
-    rest = written(rest.union(_sieved(_unsettled(meetings, settled), nodes)).distinct(), "rest")
-    more = None if rest.isEmpty() else _verified(rest, docs, width)
-    if more is not None and not more.isEmpty():
-        settled = with_component(links.union(more))
+    rest, blocks = written(rest, "rest"), _unsettled(meetings, settled)
+    more = [] if rest.isEmpty() else [_verified(rest, docs, width, sid_bits)]
+    if not blocks.isEmpty():
+        more.append(written(_linked_in_blocks(blocks, docs, width).distinct(), "block_links"))
+    if more:
+        settled = with_component(reduce(DataFrame.union, more, links))
     settled = written(settled.select("s1", "s2", "component"), "components")
     out = rows.select("doc_id", "n", "s1", "s2").join(settled, ["s1", "s2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

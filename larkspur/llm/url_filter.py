@@ -20,11 +20,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import written
+from larkspur.llm.common import salted_join, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Copies of the smaller side of a join, and so parts into which a hot key falls.
-SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -71,13 +69,6 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...], value) -> Colum
     return out
 
 
-def _salted_join(large: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join in which the rows of a key in ``large`` fall into ``SALTS`` parts."""
-    salt = F.pmod(F.xxhash64(*(F.col(c) for c in large.columns)), F.lit(SALTS)).cast("int")
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return large.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how).drop("_salt")
-
-
 def templates(counts: DataFrame, options: Options) -> DataFrame:
     """``host, shape, template`` with the counts ``n, bad, good`` of ``counts``.
 
@@ -89,8 +80,8 @@ def templates(counts: DataFrame, options: Options) -> DataFrame:
         children = tree.where("child is not null").groupBy("host", "template", "child").agg(F.sum("n").alias("rows"))
         parents = children.groupBy("host", "template").agg(F.count("*").alias("kids"), F.sum("rows").alias("all_rows"))
         rare = (F.col("kids") > options.children) & (F.col("rows") < options.share * F.col("all_rows"))
-        named = _salted_join(children, parents, ["host", "template"]).select("host", "template", "child", F.when(rare, "*").otherwise(F.col("child")).alias("name"))
-        tree = _salted_join(tree, named, ["host", "template", "child"], "left")
+        named = salted_join(children, parents, ["host", "template"]).select("host", "template", "child", F.when(rare, "*").otherwise(F.col("child")).alias("name"))
+        tree = salted_join(tree, named, ["host", "template", "child"], "left")
         tree = tree.withColumn("template", F.when(F.col("child").isNotNull(), F.concat("template", F.lit("/"), "name")).otherwise(F.col("template"))).drop("name", "child")
         tree = written(tree, "tree")
     deeper = F.size("segs") > options.levels
@@ -120,14 +111,14 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...], *, key: str = "page_id", ur
     mixed = (known > 0) & (F.col("all_bad") > 0) & (F.col("all_bad") < F.col("all_known"))
     far = F.abs(F.col("bad") / known - rate) > options.z * F.sqrt(rate * (1 - rate) / known)
     group = F.when(F.when(mixed, far).otherwise(False), F.concat(F.lit("="), "template")).otherwise(F.col("family"))
-    grouped = written(_salted_join(whole, families, ["host", "family"]).select("host", "template", group.alias("grp"), "n", "bad"), "grouped")
+    grouped = written(salted_join(whole, families, ["host", "family"]).select("host", "template", group.alias("grp"), "n", "bad"), "grouped")
     groups = grouped.groupBy("host", "grp").agg(F.sum("n").alias("rows"), F.sum("bad").alias("rows_bad"))
     base = whole.agg((F.sum("bad") / F.sum("n")).alias("base"))
     purity = (F.col("rows_bad") + options.weight * F.col("base")) / (F.col("rows") + options.weight)
     judged = groups.crossJoin(F.broadcast(base)).select("host", "grp", F.when(purity >= options.purity, "block").otherwise("allow").alias("learned"))  # one row
-    by_template = _salted_join(grouped.select("host", "template", "grp"), judged, ["host", "grp"]).select("host", "template", "learned")
-    by_shape = _salted_join(tree.select("host", "shape", "template"), by_template, ["host", "template"])
-    return _salted_join(rows, by_shape, ["host", "shape"]).select(key, "host", "path", "rule", F.coalesce("ruled", "learned").alias("verdict"), "template")
+    by_template = salted_join(grouped.select("host", "template", "grp"), judged, ["host", "grp"]).select("host", "template", "learned")
+    by_shape = salted_join(tree.select("host", "shape", "template"), by_template, ["host", "template"])
+    return salted_join(rows, by_shape, ["host", "shape"]).select(key, "host", "path", "rule", F.coalesce("ruled", "learned").alias("verdict"), "template")
 
 
 def judge_sql(rules: tuple[Rule, ...], *, table: str = "pages", key: str = "page_id", url_column: str = "url", options: Options = Options()) -> str:  # noqa: B008

@@ -101,6 +101,43 @@ def test_chain_and_large_group(spark):
     check(spark, chain + near, all_pairs=3)
 
 
+def test_many_components_in_one_group(spark):
+    """Copies of an original that are near it but not near one another, and others that only look near."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(10_000, " ".join(base))]
+    for i in range(600):
+        w = list(base)
+        for _ in range(2 if i % 3 else 4):  # four edits are too many, two on either side are, too
+            w[rng.randrange(120)] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    sets = [(i, shingles(t)) for i, t in rows]
+    assert sum(100 * len(sets[1][1] & s) >= 80 * len(sets[1][1] | s) for _, s in sets) < 590
+    check(spark, rows)
+
+
+def test_different_sets_that_share_a_number(spark):
+    rng = random.Random(3)
+    check(spark, texts_with_copies(rng, 200), sid_bits=4)
+
+
+def test_forest_joins_what_links_join():
+    rng = np.random.default_rng(1)
+    base = np.unique(rng.integers(0, 1 << 63, 100, np.uint64))
+    sets = [np.unique(np.concatenate([base[: 100 - k], rng.integers(0, 1 << 63, k, np.uint64)])) for k in (0, 5, 10, 15, 40)]
+    every = np.ones(5, bool)
+    assert len(ngram_join._forest(sets, np.arange(5), np.arange(5), every, every)) == 2  # 0 and 5, 0 and 10 alone
+    assert not ngram_join._forest(sets, np.arange(5), np.zeros(5), every, every)
+
+
+def test_sets_that_never_earn_enough_meet_by_elements(monkeypatch):
+    monkeypatch.setattr(ngram_join, "SEEDS", 0)
+    base = np.arange(100, 160, dtype=np.uint64)
+    keys, owner, flags = ngram_join.keys_of([base, np.concatenate([base[6:], np.arange(6, dtype=np.uint64)])])
+    assert set(keys[owner == 0]) & set(keys[owner == 1])
+    assert (flags & 0xFF).min() > 0
+
+
 def test_empty_and_repeated_ids(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.similar_components(none).count() == 0
