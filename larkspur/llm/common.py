@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
@@ -22,10 +22,13 @@ SUB_BATCH_BYTES = 2_000_000
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
 
-    Where the setting is absent (tests in local mode) a temporary folder is set.
+    Where the setting is absent a temporary folder is set in local mode (tests); on a
+    cluster, whose machines wouldn't share it, that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         own = tempfile.mkdtemp(prefix="larkspur-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(f"file://{own}")
@@ -81,6 +84,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unused(name: str, columns: Iterable[str]) -> str:
+    """``name``, with underscores before it until no column has it in either case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
