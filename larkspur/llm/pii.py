@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import per_text
+from larkspur.llm.common import per_text, unused
 from larkspur.llm.spans import SPANS_ARROW, SPANS_SQL, Span, ordered, spans_array
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -50,6 +50,12 @@ def _automaton():
     return found
 
 
+def _octet(digits: str) -> bool:
+    """Whether a run of digits, of any length, is at most 255."""
+    digits = digits.lstrip("0")
+    return len(digits) < 4 and int(digits or "0") <= 255
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -84,7 +90,7 @@ def find(text: str) -> list[Span]:
                 continue
             if at >= end["ip"] and (m := _IP.match(text, at)):
                 end["ip"] = m.end()
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.groups()):
+                if all(_octet(p) for p in m.groups()):
                     out.append(("ip", at, m.end()))
             if at >= end["card"] and (m := _CARD.match(text, at)):
                 end["card"] = m.end()
@@ -124,7 +130,8 @@ def spans_of(docs: DataFrame, *, keys: tuple[str, ...] = ("doc_id",), text_colum
     Null text counts as empty and has no spans; rows that repeat or have null keys each
     get a row; an empty table gives an empty result; other columns are not read.
     """
-    return _apply(docs.select(*keys, F.coalesce(text_column, F.lit("")).alias("_text")), keys, "_text", lambda texts: [("spans", spans_array([find(t) for t in texts]).cast(SPANS_ARROW))], f"spans {SPANS_SQL}")
+    text = unused("text", keys)
+    return _apply(docs.select(*keys, F.coalesce(text_column, F.lit("")).alias(text)), keys, text, lambda texts: [("spans", spans_array([find(t) for t in texts]).cast(SPANS_ARROW))], f"spans {SPANS_SQL}")
 
 
 def masked(text: str, spans: list[Span]) -> str:
