@@ -23,10 +23,10 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_components(table(spark, sf_dir, "documents"))
 
 
-def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf_dir, "documents"), new_path(spark, "ledger"))
-    marks = F.coalesce("spans", F.array().cast(spans.SPANS_SQL))
-    return found.select("doc_id", *spans.digests(marks, secrets.BASE_KINDS))
+def op3_secret_ledger(spark: SparkSession, sf_dir: str, ledger: str | None = None) -> DataFrame:
+    """With the path of an earlier ``ledger`` only blobs that it lacks are scanned; without, all."""
+    found = secrets.scan(table(spark, sf_dir, "documents"), ledger or new_path(spark, "ledger"))
+    return found.select("doc_id", *spans.digests(F.col("spans"), secrets.BASE_KINDS))
 
 
 #: Fixed values of the contract.

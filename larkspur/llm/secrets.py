@@ -19,7 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import shuffle_partitions, sub_batches, text_or_empty
+from larkspur.llm.common import BROADCAST_IDS, salted_join, shuffle_partitions, sub_batches, text_or_empty
 from larkspur.llm.spans import SPANS_ARROW, SPANS_SQL, Span, ordered, spans_array
 
 
@@ -43,7 +43,7 @@ MORE_RULES = (
     Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
     Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{5,}\.eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{10,}"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{5,}\.eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{10,}"),
     Rule("url_password", r"://[A-Za-z0-9._%+-]+:[^\s/:@]+@"),
 )
 RULES = BASE_RULES + MORE_RULES
@@ -76,7 +76,7 @@ def read_ledger(spark: SparkSession, ledger: str, version: str) -> DataFrame | N
 
 
 def scan(versions: DataFrame, ledger: str, *, keys: tuple[str, ...] = ("doc_id",), text_column: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Findings of every row of ``versions``: the ``keys``, ``blob`` and ``spans``.
+    """Findings of every row of ``versions``: the ``keys``, ``blob`` and ``spans`` (empty without any).
 
     Null text counts as empty and has no findings.  Rows that repeat, also with the
     same or with null keys, each get a row.  An empty table gives an empty result.
@@ -116,5 +116,8 @@ def scan(versions: DataFrame, ledger: str, *, keys: tuple[str, ...] = ("doc_id",
     new = blobs.repartition(shuffle_partitions(spark), "blob").mapInArrow(findings, f"blob binary, spans {SPANS_SQL}")
     new.withColumn("rule_version", F.lit(version)).write.mode("append").partitionBy("rule_version").parquet(ledger)
     paths = versions.select(*keys, blob)
-    found = read_ledger(spark, ledger, version)
-    return paths.join(found, "blob", "left").select(*keys, "blob", "spans")
+    found = read_ledger(spark, ledger, version).where(F.size("spans") > 0)
+    # Copies of one blob may be many paths: few findings are broadcast, else its paths are dealt out.
+    few = (found.agg(F.sum(F.size("spans") + 1)).first()[0] or 0) <= BROADCAST_IDS
+    joined = paths.join(F.broadcast(found), "blob", "left") if few else salted_join(paths, found, ["blob"], "left")
+    return joined.select(*keys, "blob", F.coalesce("spans", F.array().cast(SPANS_SQL)).alias("spans"))
