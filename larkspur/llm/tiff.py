@@ -26,6 +26,8 @@ PLANAR, PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_AT, TILE_BYTES = 284, 317, 322,
 NONE, LZW, DEFLATE, PACKBITS, OLD_DEFLATE = 1, 5, 8, 32773, 32946
 FIELD_BYTES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
 FIELD_CODE = {1: "B", 3: "H", 4: "I"}
+#: Bytes that a stored byte can stand for: 258 by two bits in deflate, 3838 by twelve in LZW, 128 by two bytes.
+MOST_BYTES = {NONE: 1, DEFLATE: 1032, OLD_DEFLATE: 1032, LZW: 2559, PACKBITS: 64}
 
 
 class TiffError(ValueError):
@@ -40,9 +42,9 @@ class Page:
     pixels: np.ndarray  # height x width x samples
 
 
-def packbits_decode(data: bytes) -> bytes:
+def packbits_decode(data: bytes, need: int) -> bytes:
     out, i = bytearray(), 0
-    while i < len(data):
+    while i < len(data) and len(out) < need:
         n = data[i]
         if n < 128:
             out += data[i + 1 : i + 2 + n]
@@ -73,7 +75,7 @@ def packbits_encode(data: bytes) -> bytes:
     return bytes(out)
 
 
-def lzw_decode(data: bytes) -> bytes:
+def lzw_decode(data: bytes, need: int) -> bytes:
     """Codes of 9 to 12 bits, most significant bit first; the width grows one code early."""
     out, table, width, hold, bits, last = bytearray(), [], 9, 0, 0, b""
     first = [bytes((i,)) for i in range(256)] + [b"", b""]
@@ -81,6 +83,8 @@ def lzw_decode(data: bytes) -> bytes:
         hold, bits = (hold << 8 | byte) & 0xFFFFFFFF, bits + 8
         if bits < width:
             continue
+        if len(out) >= need:
+            break
         bits -= width
         code = hold >> bits & (1 << width) - 1
         if code == 257:
@@ -148,18 +152,19 @@ def lzw_encode(data: bytes) -> bytes:
     return bytes(out)
 
 
-def _decoded(data: bytes, scheme: int) -> bytes:
+def _decoded(data: bytes, scheme: int, need: int) -> bytes:
+    """The first ``need`` bytes, and no more than a code's beyond: a small file can't fill the memory."""
     if scheme == NONE:
         return data
     if scheme in (DEFLATE, OLD_DEFLATE):
         try:
-            return zlib.decompress(data)
+            return zlib.decompressobj().decompress(data, need)
         except zlib.error as e:
             raise TiffError(str(e)) from None
     if scheme == PACKBITS:
-        return packbits_decode(data)
+        return packbits_decode(data, need)
     if scheme == LZW:
-        return lzw_decode(data)
+        return lzw_decode(data, need)
     raise TiffError(f"compression {scheme}")
 
 
@@ -182,8 +187,8 @@ def _fields(data: bytes, at: int, order: str) -> tuple[dict[int, tuple], int]:
 
 
 def _block(data: bytes, at: int, size: int, shape: tuple[int, int, int], scheme: int, predictor: int, depth: np.dtype) -> np.ndarray:
-    raw = _decoded(data[at : at + size], scheme)
     need = shape[0] * shape[1] * shape[2] * depth.itemsize
+    raw = _decoded(data[at : at + size], scheme, need)
     if len(raw) < need:
         raise TiffError("a strip or tile is too short")
     block = np.frombuffer(raw, depth, shape[0] * shape[1] * shape[2]).reshape(shape)
@@ -198,7 +203,8 @@ def read_tiff(data: bytes) -> Iterator[Page]:
     """The pages of a file, in the order of their directories.
 
     Chunky samples of 8 or 16 bits, either byte order.  Raises ``TiffError`` where the
-    bytes end early, the directories run in a circle, or a feature isn't supported.
+    bytes end early, strips or tiles don't cover a page, a page is larger than its data
+    can make it, the directories run in a circle, or a feature isn't supported.
     """
     try:
         order = {b"II*\0": "<", b"MM\0*": ">"}.get(data[:4])
@@ -217,19 +223,23 @@ def read_tiff(data: bytes) -> Iterator[Page]:
             if bits not in (8, 16) or (samples > 1 and f.get(PLANAR, (1,))[0] != 1):
                 raise TiffError("only chunky samples of 8 or 16 bits")
             depth = np.dtype(f"{order}u{bits // 8}")
+            # A strip is a tile as wide as the page that may end with it.
+            tw, th = (f[TILE_WIDTH][0], f[TILE_HEIGHT][0]) if TILE_AT in f else (width, min(f.get(STRIP_ROWS, (height,))[0], height))
+            if not (width and height and samples and tw and th):
+                raise TiffError("a page, strip or tile without extent")
+            across, down = -(-width // tw), -(-height // th)
+            blocks = list(zip(*((f[TILE_AT], f[TILE_BYTES]) if TILE_AT in f else (f[STRIP_AT], f[STRIP_BYTES])), strict=True))
+            if len(blocks) != across * down:
+                raise TiffError("the strips or tiles don't cover the page")
+            stored = sum(min(size, max(len(data) - place, 0)) for place, size in blocks)
+            if across * tw * height * samples * depth.itemsize > MOST_BYTES.get(scheme, 1) * stored:
+                raise TiffError("the page is larger than its data")
             pixels = np.empty((height, width, samples), depth.newbyteorder("="))
-            if TILE_AT in f:
-                (tw,), (th,) = f[TILE_WIDTH], f[TILE_HEIGHT]
-                across = -(-width // tw)
-                for i, (place, size) in enumerate(zip(f[TILE_AT], f[TILE_BYTES], strict=True)):
-                    y, x = i // across * th, i % across * tw
-                    block = _block(data, place, size, (th, tw, samples), scheme, predictor, depth)
-                    pixels[y : y + th, x : x + tw] = block[: height - y, : width - x]
-            else:
-                rows = min(f.get(STRIP_ROWS, (height,))[0], height) or 1
-                for i, (place, size) in enumerate(zip(f[STRIP_AT], f[STRIP_BYTES], strict=True)):
-                    n = min(rows, height - i * rows)
-                    pixels[i * rows : i * rows + n] = _block(data, place, size, (n, width, samples), scheme, predictor, depth)
+            for i, (place, size) in enumerate(blocks):
+                y, x = i // across * th, i % across * tw
+                n = th if TILE_AT in f else min(th, height - y)
+                block = _block(data, place, size, (n, tw, samples), scheme, predictor, depth)
+                pixels[y : y + th, x : x + tw] = block[: height - y, : width - x]
             yield Page(len(seen) - 1, scheme, predictor, pixels)
             at = following
     except (struct.error, KeyError, IndexError, ValueError) as e:
