@@ -25,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import per_text
+from larkspur.llm.common import per_text, unused
 
 #: Label of a text that is null or has no letter.
 UNKNOWN = "und"
-_WORD = re.compile(r"[^\W\d_]+")
-#: Words whose scores a worker keeps (about 200 bytes each).
+#: Letters in a word; a longer run (say, of a script without spaces) is words of that many.
+LONGEST_WORD = 64
+_WORD = re.compile(rf"[^\W\d_]{{1,{LONGEST_WORD}}}")
+#: Words whose scores a worker keeps (about 200 bytes each, 500 at most).
 CACHE_WORDS = 200_000
 
 
@@ -285,14 +287,14 @@ def label_words(model: Model, text: str) -> list[tuple[str, str, float]]:
     return [(w, model.labels[i], float(m[i])) for w, i, m in zip(words, marginal.argmax(axis=1), marginal, strict=True)]
 
 
-def training_rows(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", per_language: int = 300, max_chars: int = 20_000) -> list[tuple[str, str]]:
-    """A bounded sample of labelled rows: ``per_language`` at most, of ``max_chars`` at most.
+def training_rows(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", per_language: int = 300, max_chars: int = 20_000, languages: int = 1000) -> list[tuple[str, str]]:
+    """A bounded sample of labelled rows: ``per_language`` at most, of ``max_chars`` at most, of the ``languages`` with most rows.
 
     Rows are drawn by a hash of their id at a rate that follows from the languages'
     counts, so the sample spreads over the whole table; whole texts are taken.
     """
     rows = docs.select(F.col(id_column).cast("string").alias("id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang")).where("lang is not null and text is not null").where(F.length("text") <= max_chars)
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()}
     if not counts:
         return []
     place = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
@@ -306,8 +308,8 @@ def training_rows(docs: DataFrame, *, id_column: str = "doc_id", text_column: st
     return [x for lang in sorted(kept) for x in kept[lang][:per_language]]
 
 
-def predict(docs: DataFrame, model: Model, *, keys: tuple[str, ...] = ("doc_id",), text_column: str = "text") -> DataFrame:
-    """The ``keys``, ``lang_pred`` and ``score`` of every row; no shuffle.
+def predict(docs: DataFrame, model: Model, *, keys: tuple[str, ...] = ("doc_id",), text_column: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The ``keys``, the language and its score (``names``) of every row; no shuffle.
 
     Null text, and text without a letter, gets ``und`` and score 0.  Rows that repeat
     or have null keys each get a row; an empty table gives an empty result.  Of two
@@ -315,14 +317,14 @@ def predict(docs: DataFrame, model: Model, *, keys: tuple[str, ...] = ("doc_id",
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # its size is fixed by bits and lexicon_words
     kinds = dict(docs.dtypes)
-    text = text_column if text_column in keys else "_text"
+    text = text_column if text_column in keys else unused("text", keys)
 
     def function(part: pa.RecordBatch) -> pa.RecordBatch:
         lang, score = zip(*label(shared.value, part.column(text).to_pylist()), strict=True)
-        return pa.RecordBatch.from_arrays([*(part.column(k) for k in keys), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*keys, "lang_pred", "score"])
+        return pa.RecordBatch.from_arrays([*(part.column(k) for k in keys), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*keys, *names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from per_text(function, text)(batches)
 
-    rows = docs.select(*keys) if text in keys else docs.select(*keys, F.col(text_column).alias("_text"))
-    return rows.mapInArrow(run, "".join(f"`{k}` {kinds[k]}, " for k in keys) + "lang_pred string, score double")
+    rows = docs.select(*keys) if text in keys else docs.select(*keys, F.col(text_column).alias(text))
+    return rows.mapInArrow(run, "".join(f"`{k}` {kinds[k]}, " for k in keys) + f"`{names[0]}` string, `{names[1]}` double")
