@@ -14,13 +14,18 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Chunks in each of the two generations that a worker keeps, of about 250 bytes each.
-CACHE_CHUNKS = 250_000
+#: Chunks in each of the two generations that a worker keeps, of about 250 bytes each,
+#: and the characters and bytes of ids in them; a longer chunk is not kept.
+CACHE_CHUNKS, CACHE_BYTES, LONGEST_KEPT = 250_000, 32_000_000, 200
+#: Chunks between two looks at the cache's size.
+STEP = 20_000
 
 #: Letters of one code point in either case and in NFC, with marks (no apostrophe) around them.
 _PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 #: ``str.split`` takes these for white space, the tokenizers' ``\s`` does not.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+#: Chunks that tell whether the library does what ``_core`` and ``ids_of`` do.
+PROBES = ("straße", "Straße", "ÉCOLE", "Naïve", "word", "WORD", "(word)", "--Word!?", "[ÀÿØ];", "un+happily.", "x", "$Q=")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -39,10 +44,13 @@ class _Generation(dict):
 
     def __init__(self, owner: WordTokenizer) -> None:
         super().__init__()
-        self.owner = owner
+        self.owner, self.held = owner, 0
 
     def __missing__(self, chunk: str) -> bytes:
-        found = self[chunk] = self.owner.ids_of(chunk)
+        found = self.owner.ids_of(chunk)
+        if len(chunk) <= LONGEST_KEPT:
+            self[chunk] = found
+            self.held += len(chunk) + len(found)
         return found
 
 
@@ -68,8 +76,9 @@ class WordTokenizer:
         self.letters = _byte_letters()
         self.added = [x.content for x in self.library.get_added_tokens_decoder().values()]
         # Straight to the merges only where that is the whole of what the library does.
-        probe = "straße"
-        self.direct = [x.id for x in self.library.model.tokenize(probe.translate(self.letters))] == self.library.encode(probe.capitalize(), add_special_tokens=False).ids
+        self.direct = True
+        self.direct = all(self.ids_of(x) == self._whole(x) for x in PROBES)
+        self.younger, self.older = _Generation(self), {}
 
     def _packed(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self.code}", *ids)
@@ -82,7 +91,10 @@ class WordTokenizer:
         found = self.younger.get(core) or self.older.get(core)
         if found is None:
             spelt = core if core.isascii() else core.translate(self.letters)
-            found = self.younger[core] = self._packed([x.id for x in self.library.model.tokenize(spelt)])
+            found = self._packed([x.id for x in self.library.model.tokenize(spelt)])
+            if len(core) <= LONGEST_KEPT:
+                self.younger[core] = found
+                self.younger.held += len(core) + len(found)
         return found
 
     def ids_of(self, chunk: str) -> bytes:
@@ -102,13 +114,15 @@ class WordTokenizer:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text with the end id; a null text counts as empty."""
+        return [(self._whole(t) if _ODD_SPACE.search(t) else self._joined(t.split())) + self.end for t in (t or "" for t in texts)]
+
+    def _joined(self, chunks: list[str]) -> bytes:
         out = []
-        for text in texts:
-            if len(self.younger) > self.cache_chunks:
+        for i in range(0, len(chunks), STEP):
+            if len(self.younger) > self.cache_chunks or self.younger.held > CACHE_BYTES:
                 self.younger, self.older = _Generation(self), self.younger
-            text = text or ""
-            out.append((self._whole(text) if _ODD_SPACE.search(text) else b"".join(map(self.younger.__getitem__, text.split()))) + self.end)
-        return out
+            out.append(b"".join(map(self.younger.__getitem__, chunks[i : i + STEP])))
+        return b"".join(out)
 
 
 @lru_cache(maxsize=2)
