@@ -2,22 +2,25 @@
 
 Explicit rules decide first.  For the rest, the paths of a host form a tree.  From the
 root down, a segment is generalised to a wildcard if it holds a digit, or if its parent
-has many children and it is a rare one; what lies below the deepest level is one
-wildcard.  Templates that differ in their first segment alone are sibling branches, and
-those whose share of labelled rejections doesn't differ from all siblings' by more than
-chance are merged.  A template, or merged group, is rejected when its purity, that is
-the share of its rows that are labelled for rejection, smoothed towards the share in
-the whole table, reaches a threshold.  The rules' own decisions are the labels.
+has many children and it is a rare one.  From the leaves up, sibling branches, that is
+templates that differ in one segment alone, are merged where a test of two samples finds
+no difference between their labels.  A branch without
+labels can't be compared and stays on its own.  A template, or merged group, is rejected
+when its purity, that is the share of rejections among its labelled rows, smoothed
+towards the share among all labelled rows, reaches a threshold; one without labelled
+rows is not rejected.  Labels are the rules' own decisions and, for rows that no rule
+fits, a column of the table if one is named.
 
 Counts are aggregated by host and path shape before anything else, so a host with many
-pages has few rows, and joins on hosts spread their rows by a salt.
+pages has few rows, and joins on hosts spread their rows by a salt.  The tree is as deep
+as the deepest path; a level costs a few joins of these counts.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import salted_join, written
@@ -39,16 +42,15 @@ class Rule:
 
 @dataclass(frozen=True)
 class Options:
-    """``levels`` of the tree; ``children`` beyond which a parent's rare children are
-    generalised, namely those with less than ``share`` of its rows; ``z`` within which
-    branches are alike; ``weight`` of the prior in rows; ``purity`` that rejects."""
+    """``children`` beyond which a parent's rare children are generalised, namely those
+    with less than ``share`` of its rows; ``z`` within which branches are alike;
+    ``weight`` of the prior in rows; ``purity`` that rejects."""
 
-    levels: int = 4
     children: int = 20
     share: float = 0.05
     z: float = 1.96
     weight: float = 4.0
-    purity: float = 0.5
+    purity: float = 0.7
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -69,86 +71,119 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...], value) -> Colum
     return out
 
 
-def templates(counts: DataFrame, options: Options) -> DataFrame:
-    """``host, shape, template`` with the counts ``n, bad, good`` of ``counts``.
+def templates(counts: DataFrame, options: Options, depth: int) -> DataFrame:
+    """``counts`` with each row's ``template``, an array of segments.
 
     A level needs the one above it three times, so each is written once.
     """
-    tree = counts.withColumn("segs", F.expr("slice(split(shape, '/'), 2, greatest(size(split(shape, '/')) - 1, 0))")).withColumn("template", F.lit(""))
-    for level in range(1, options.levels + 1):
+    tree = counts.withColumn("segs", F.expr("slice(split(shape, '/'), 2, greatest(size(split(shape, '/')) - 1, 0))")).withColumn("template", F.array().cast("array<string>"))
+    for level in range(1, depth + 1):
         tree = tree.withColumn("child", F.try_element_at("segs", F.lit(level)))
         children = tree.where("child is not null").groupBy("host", "template", "child").agg(F.sum("n").alias("rows"))
         parents = children.groupBy("host", "template").agg(F.count("*").alias("kids"), F.sum("rows").alias("all_rows"))
         rare = (F.col("kids") > options.children) & (F.col("rows") < options.share * F.col("all_rows"))
         named = salted_join(children, parents, ["host", "template"]).select("host", "template", "child", F.when(rare, "*").otherwise(F.col("child")).alias("name"))
         tree = salted_join(tree, named, ["host", "template", "child"], "left")
-        tree = tree.withColumn("template", F.when(F.col("child").isNotNull(), F.concat("template", F.lit("/"), "name")).otherwise(F.col("template"))).drop("name", "child")
+        tree = tree.withColumn("template", F.when(F.col("child").isNotNull(), F.concat("template", F.array("name"))).otherwise(F.col("template"))).drop("name", "child")
         tree = written(tree, "tree")
-    deeper = F.size("segs") > options.levels
-    return tree.withColumn("template", F.when(deeper, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))).drop("segs")
+    return tree.drop("segs")
 
 
-def judge(pages: DataFrame, rules: tuple[Rule, ...], *, key: str = "page_id", url_column: str = "url", options: Options = Options()) -> DataFrame:  # noqa: B008
+def merged(whole: DataFrame, options: Options, depth: int) -> DataFrame:
+    """``host, template, grp`` and the counts of ``whole``: sibling branches that are alike share a group.
+
+    Siblings are ordered by their share of rejections, and one begins a new group if it
+    differs from the one before it.  A parent has no more children than ``options``
+    allows, so a family is a few rows.  A group's merged segment is ``+`` and a number.
+    """
+    rows = whole.withColumn("grp", F.col("template"))
+    for level in range(depth, 0, -1):
+
+        def with_segment(name: Column, level: int = level) -> Column:
+            return F.concat(F.slice("grp", 1, level - 1), F.array(name), F.slice("grp", F.lit(level + 1), F.size("grp") - level))
+
+        branches = rows.where(F.size("grp") >= level).groupBy("host", "grp").agg(F.sum("bad").alias("x"), F.sum("known").alias("k")).where("k > 0").withColumn("family", with_segment(F.lit("*")))
+        order = Window.partitionBy("host", "family").orderBy(F.col("x") / F.col("k"), "grp")
+        branches = branches.withColumn("x0", F.lag("x").over(order)).withColumn("k0", F.lag("k").over(order))
+        x, k, x0, k0 = map(F.col, ("x", "k", "x0", "k0"))
+        p = (x + x0) / (k + k0)
+        unlike = F.abs(x / k - x0 / k0) > options.z * F.sqrt(p * (1 - p) * (1 / k + 1 / k0))
+        branches = branches.withColumn("cluster", F.sum(F.coalesce(unlike, F.lit(False)).cast("int")).over(order))
+        members = F.count("*").over(Window.partitionBy("host", "family", "cluster"))
+        same = branches.withColumn("members", members).where("members > 1").select("host", "grp", with_segment(F.concat(F.lit("+"), "cluster")).alias("to"))
+        rows = written(salted_join(rows, same, ["host", "grp"], "left").withColumn("grp", F.coalesce("to", "grp")).drop("to"), "merged")
+    return rows
+
+
+def judge(pages: DataFrame, rules: tuple[Rule, ...], *, key: str = "page_id", url_column: str = "url", label_column: str | None = None, options: Options = Options()) -> DataFrame:  # noqa: B008
     """``key, host, path, rule, verdict, template`` of every row of ``pages``.
 
-    A null url, or one without ``://``, has an empty host and path, which form a template
+    ``label_column`` holds ``block``, ``allow`` or null (or anything else: no label).  A
+    null url, or one without ``://``, has an empty host and path, which form a template
     of their own.  Rows that repeat or have a null key each get a row; an empty table
     gives an empty result; other columns are not read.
     """
     host, path = host_and_path(F.col(url_column))
-    rows = pages.select(F.col(key), host.alias("host"), path.alias("path"))
+    label = F.lit(None).cast("string") if label_column is None else F.col(label_column)
+    rows = pages.select(F.col(key), host.alias("host"), path.alias("path"), label.alias("label"))
     rows = rows.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules, str))
     rows = rows.withColumn("ruled", rule_of(F.col("host"), F.col("path"), rules, lambda r: r.verdict))
     rows = rows.withColumn("shape", F.regexp_replace("path", r"/[^/.]*[0-9][^/.]*", "/*"))
-    bad, good = (F.count(F.when(F.col("ruled") == v, 1)) for v in ("block", "allow"))
-    counts = written(rows.groupBy("host", "shape").agg(F.count("*").alias("n"), bad.alias("bad"), good.alias("good")), "counts")
-
-    tree = templates(counts, options)
-    sums = [F.sum(c).alias(c) for c in ("n", "bad", "good")]
-    whole = written(tree.groupBy("host", "template").agg(*sums).withColumn("family", F.regexp_replace("template", "^/[^/]*", "/*")), "whole")
-    families = whole.groupBy("host", "family").agg(F.sum("bad").alias("all_bad"), F.sum(F.col("bad") + F.col("good")).alias("all_known"))
-    known, rate = F.col("bad") + F.col("good"), F.col("all_bad") / F.col("all_known")
-    mixed = (known > 0) & (F.col("all_bad") > 0) & (F.col("all_bad") < F.col("all_known"))
-    far = F.abs(F.col("bad") / known - rate) > options.z * F.sqrt(rate * (1 - rate) / known)
-    group = F.when(F.when(mixed, far).otherwise(False), F.concat(F.lit("="), "template")).otherwise(F.col("family"))
-    grouped = written(salted_join(whole, families, ["host", "family"]).select("host", "template", group.alias("grp"), "n", "bad"), "grouped")
-    groups = grouped.groupBy("host", "grp").agg(F.sum("n").alias("rows"), F.sum("bad").alias("rows_bad"))
-    base = whole.agg((F.sum("bad") / F.sum("n")).alias("base"))
-    purity = (F.col("rows_bad") + options.weight * F.col("base")) / (F.col("rows") + options.weight)
-    judged = groups.crossJoin(F.broadcast(base)).select("host", "grp", F.when(purity >= options.purity, "block").otherwise("allow").alias("learned"))  # one row
-    by_template = salted_join(grouped.select("host", "template", "grp"), judged, ["host", "grp"]).select("host", "template", "learned")
+    known = F.coalesce("ruled", "label")
+    counts = rows.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count(F.when(known == "block", 1)).alias("bad"), F.count(F.when(known.isin("block", "allow"), 1)).alias("known"))
+    counts = written(counts, "counts")
+
+    depth = (counts.agg(F.max(F.size(F.split("shape", "/")))).first()[0] or 1) - 1
+    tree = templates(counts, options, depth)
+    whole = written(tree.groupBy("host", "template").agg(*(F.sum(c).alias(c) for c in ("n", "bad", "known"))), "whole")
+    base = whole.agg((F.sum("bad") / F.sum("known")).alias("base"))
+    groups = merged(whole, options, depth)
+    sums = groups.groupBy("host", "grp").agg(F.sum("bad").alias("x"), F.sum("known").alias("k"))
+    purity = (F.col("x") + options.weight * F.col("base")) / (F.col("k") + options.weight)
+    judged = sums.crossJoin(F.broadcast(base)).select("host", "grp", F.when((F.col("k") > 0) & (purity >= options.purity), "block").otherwise("allow").alias("learned"))  # one row
+    by_template = salted_join(groups.select("host", "template", "grp"), judged, ["host", "grp"]).select("host", "template", "learned")
     by_shape = salted_join(tree.select("host", "shape", "template"), by_template, ["host", "template"])
-    return salted_join(rows, by_shape, ["host", "shape"]).select(key, "host", "path", "rule", F.coalesce("ruled", "learned").alias("verdict"), "template")
+    template = F.concat_ws("/", F.array(F.lit("")), "template").alias("template")
+    return salted_join(rows, by_shape, ["host", "shape"]).select(key, "host", "path", "rule", F.coalesce("ruled", "learned").alias("verdict"), template)
 
 
-def judge_sql(rules: tuple[Rule, ...], *, table: str = "pages", key: str = "page_id", url_column: str = "url", options: Options = Options()) -> str:  # noqa: B008
-    """The result of ``judge`` in DuckDB's SQL."""
+def judge_sql(rules: tuple[Rule, ...], *, table: str = "pages", key: str = "page_id", url_column: str = "url", depth: int = 4, options: Options = Options()) -> str:  # noqa: B008
+    """The result of ``judge`` in DuckDB's SQL, for paths of at most ``depth`` segments."""
     o = options
 
     def case(value) -> str:
         fits = "".join(f" WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{value(r)}'" for r in sorted(rules, key=lambda r: (-len(str(r)), str(r))))
         return f"CASE{fits} END"
 
-    levels = ["t0 AS (SELECT *, string_split(shape, '/')[2:] AS segs, '' AS template FROM counts)"]
-    for i in range(1, o.levels + 1):
+    def with_segment(name: str, level: int) -> str:
+        return f"list_concat(list_concat(grp[1:{level - 1}], [{name}]), grp[{level + 1}:])"
+
+    levels = ["t0 AS MATERIALIZED (SELECT *, string_split(shape, '/')[2:] AS segs, []::VARCHAR[] AS template FROM counts)"]
+    for i in range(1, depth + 1):
         levels += [
-            f"c{i} AS (SELECT host, template, segs[{i}] AS child, sum(n) AS kid FROM t{i - 1} WHERE len(segs) >= {i} GROUP BY ALL)",
+            f"c{i} AS MATERIALIZED (SELECT host, template, segs[{i}] AS child, sum(n) AS kid FROM t{i - 1} WHERE len(segs) >= {i} GROUP BY ALL)",
             f"p{i} AS (SELECT host, template, count(*) AS kids, sum(kid) AS total FROM c{i} GROUP BY ALL)",
             f"n{i} AS (SELECT c.host, c.template, c.child, CASE WHEN p.kids > {o.children} AND c.kid < {o.share}::DOUBLE * p.total THEN '*' ELSE c.child END AS name FROM c{i} c JOIN p{i} p USING (host, template))",
-            f"t{i} AS (SELECT t.host, t.shape, t.n, t.bad, t.good, t.segs, CASE WHEN len(t.segs) >= {i} THEN t.template || '/' || x.name ELSE t.template END AS template FROM t{i - 1} t LEFT JOIN n{i} x ON t.host = x.host AND t.template = x.template AND t.segs[{i}] = x.child)",
+            f"t{i} AS MATERIALIZED (SELECT t.host, t.shape, t.n, t.bad, t.known, t.segs, CASE WHEN len(t.segs) >= {i} THEN list_append(t.template, x.name) ELSE t.template END AS template FROM t{i - 1} t LEFT JOIN n{i} x ON t.host = x.host AND t.template = x.template AND t.segs[{i}] = x.child)",
+        ]
+    merges = [f"m{depth + 1} AS MATERIALIZED (SELECT host, template, template AS grp, sum(bad)::DOUBLE AS bad, sum(known)::DOUBLE AS known FROM t{depth} GROUP BY ALL)"]
+    for i in range(depth, 0, -1):
+        merges += [
+            f"b{i} AS (SELECT host, grp, {with_segment("'*'", i)} AS family, sum(bad) AS x, sum(known) AS k FROM m{i + 1} WHERE len(grp) >= {i} GROUP BY ALL HAVING sum(known) > 0)",
+            f"l{i} AS (SELECT *, lag(x) OVER siblings AS x0, lag(k) OVER siblings AS k0 FROM b{i} WINDOW siblings AS (PARTITION BY host, family ORDER BY x / k, grp))",
+            f"u{i} AS (SELECT *, sum(coalesce(abs(x / k - x0 / k0) > {o.z}::DOUBLE * sqrt((x + x0) / (k + k0) * (1 - (x + x0) / (k + k0)) * (1 / k + 1 / k0)), false)::INT) OVER (PARTITION BY host, family ORDER BY x / k, grp) AS cluster FROM l{i})",
+            f"a{i} AS (SELECT host, grp, {with_segment("'+' || cluster", i)} AS moved FROM u{i} QUALIFY count(*) OVER (PARTITION BY host, family, cluster) > 1)",
+            f"m{i} AS MATERIALIZED (SELECT m.host, m.template, coalesce(a.moved, m.grp) AS grp, m.bad, m.known FROM m{i + 1} m LEFT JOIN a{i} a ON m.host = a.host AND m.grp = a.grp)",
         ]
     return f"""
 WITH r0 AS (SELECT {key}, CASE WHEN strpos({url_column}, '://') > 0 THEN substr({url_column}, strpos({url_column}, '://') + 3) ELSE '' END AS rest FROM {table}),
 r1 AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS authority FROM r0),
 r2 AS (SELECT {key}, translate(authority, '{UPPER}', '{LOWER}') AS host, regexp_extract(substr(rest, length(authority) + 1), '^[^?#]*') AS path FROM r1),
-r3 AS (SELECT *, {case(str)} AS rule, {case(lambda r: r.verdict)} AS ruled, regexp_replace(path, '/[^/.]*[0-9][^/.]*', '/*', 'g') AS shape FROM r2),
-counts AS (SELECT host, shape, count(*) AS n, count(*) FILTER (ruled = 'block') AS bad, count(*) FILTER (ruled = 'allow') AS good FROM r3 GROUP BY ALL),
+r3 AS MATERIALIZED (SELECT *, {case(str)} AS rule, {case(lambda r: r.verdict)} AS ruled, regexp_replace(path, '/[^/.]*[0-9][^/.]*', '/*', 'g') AS shape FROM r2),
+counts AS (SELECT host, shape, count(*) AS n, count(*) FILTER (ruled = 'block') AS bad, count(*) FILTER (ruled IS NOT NULL) AS known FROM r3 GROUP BY ALL),
 {", ".join(levels)},
-tree AS (SELECT host, shape, n, bad, good, CASE WHEN len(segs) > {o.levels} THEN template || '/**' ELSE template END AS template FROM t{o.levels}),
-whole AS (SELECT host, template, regexp_replace(template, '^/[^/]*', '/*') AS family, sum(n)::DOUBLE AS n, sum(bad)::DOUBLE AS bad, sum(good)::DOUBLE AS good FROM tree GROUP BY ALL),
-families AS (SELECT host, family, sum(bad) AS all_bad, sum(bad + good) AS all_known FROM whole GROUP BY ALL),
-grouped AS (SELECT w.host, w.template, w.n, w.bad, CASE WHEN w.bad + w.good > 0 AND f.all_bad > 0 AND f.all_bad < f.all_known THEN CASE WHEN abs(w.bad / (w.bad + w.good) - f.all_bad / f.all_known) > {o.z}::DOUBLE * sqrt(f.all_bad / f.all_known * (1 - f.all_bad / f.all_known) / (w.bad + w.good)) THEN '=' || w.template ELSE w.family END ELSE w.family END AS grp FROM whole w JOIN families f USING (host, family)),
-judged AS (SELECT host, grp, CASE WHEN (sum(bad) + {o.weight}::DOUBLE * (SELECT sum(bad) / sum(n) FROM whole)) / (sum(n) + {o.weight}::DOUBLE) >= {o.purity}::DOUBLE THEN 'block' ELSE 'allow' END AS learned FROM grouped GROUP BY ALL)
-SELECT r.{key}, r.host, r.path, r.rule, coalesce(r.ruled, j.learned) AS verdict, t.template
-FROM r3 r JOIN tree t USING (host, shape) JOIN grouped g USING (host, template) JOIN judged j USING (host, grp)
+{", ".join(merges)},
+judged AS (SELECT host, grp, CASE WHEN sum(known) > 0 AND (sum(bad) + {o.weight}::DOUBLE * (SELECT sum(bad) / sum(known) FROM m1)) / (sum(known) + {o.weight}::DOUBLE) >= {o.purity}::DOUBLE THEN 'block' ELSE 'allow' END AS learned FROM m1 GROUP BY ALL)
+SELECT r.{key}, r.host, r.path, r.rule, coalesce(r.ruled, j.learned) AS verdict, array_to_string(list_concat([''], t.template), '/') AS template
+FROM r3 r JOIN t{depth} t USING (host, shape) JOIN m1 g USING (host, template) JOIN judged j USING (host, grp)
 """
