@@ -4,15 +4,18 @@ Items and documents are sequences of words.  The CGK embedding walks over a sequ
 and writes out the word it stands on, three steps for each word; a random bit, which
 depends on the step and the word, says whether it moves on.  Sequences that few edits
 separate walk in step again soon, so edit distance becomes Hamming distance.  Each
-repetition draws a walk and samples a few steps of it; a window is a candidate for an
-item when all sampled words agree.  The number of repetitions follows from the target
-recall, by embedding edited copies of the items themselves.  Candidates are verified
-by the exact edit distance.
+repetition draws a walk and a few samples of its steps; a window is a candidate for an
+item when all words of a sample agree.  The number of repetitions follows from the target
+recall, by embedding edited copies of the items themselves: repetitions are added until
+the copies of each kind of edit are found, and then must find fresh copies, too.  Where
+they can't, each window is a candidate for each item.  Candidates are verified by the
+exact edit distance.
 
 Windows are as long as the items, and begin at every word.  Before they are embedded, a
 count filter drops those that can't be near any item: each edit breaks three word
 triples at most and may shift one out at the window's end, so a window needs all but
-four times as many triples that occur in the benchmark.
+four times as many triples that occur in the benchmark.  Windows end with their text, so
+what is found in a text doesn't depend on the texts around it.
 """
 
 from __future__ import annotations
@@ -44,14 +47,16 @@ PASS_WORDS = 2_000_000
 @dataclass(frozen=True)
 class Options:
     """``edit_rate``: edits for each word of an item.  ``recall``: of windows at that many
-    edits.  ``sampled``: steps in a key.  ``most_repeats`` bounds the repetitions; the
-    recall that they reach is on the index.  ``least_words``: shorter items match nothing."""
+    edits, of any one kind.  ``sampled``: steps in a key.  ``draws``: keys of a walk.  ``most_repeats``: where more
+    would be needed, all windows that pass the count filter are verified.
+    ``least_words``: shorter items match nothing."""
 
     edit_rate: float = 0.15
     recall: float = 0.95
-    sampled: int = 4
+    sampled: int = 3
+    draws: int = 8
     most_repeats: int = 200
-    least_words: int = 5
+    least_words: int = 1
     seed: int = 5
 
 
@@ -115,11 +120,10 @@ class ItemIndex:
         for n, (_, w) in enumerate(self.items):
             classes[int(np.searchsorted(edges, len(w), side="right"))].append(n)
         self.classes = []
-        self.reached = 1.0
         for members in classes.values():
             lengths = [len(self.items[n][1]) for n in members]
             least, edits = min(lengths), max(self.edits[n] for n in members)
-            self.classes.append((least, max(1, least - 2 - 4 * edits), self._keys(members, least)))
+            self.classes.append((least, least - 2 - 4 * edits, self._keys(members, least), members))
 
     @staticmethod
     def _triple(w: np.ndarray) -> np.ndarray:
@@ -139,36 +143,68 @@ class ItemIndex:
         flat = np.array([x for r in rows for x in r], np.int64)
         return walk(flat, ends - [len(r) for r in rows], ends, seed, wanted)
 
-    def _keys(self, members: list[int], least: int) -> list:
-        """Repetitions of a class: the sampled steps and the items by key.
+    def _copies(self, rng: random.Random, members: list[int], least: int, count: int = 200) -> list[tuple[int, list[int]]]:
+        """``count`` copies for each way to edit: an item's number and its first ``least`` words after its greatest number of edits.
+
+        Words are replaced, inserted or removed, or all of it; other words follow, or
+        the text ends.
+        """
+        out = []
+        for ways, follow in (("r", True), ("i", True), ("d", True), ("d", False), ("rid", True)):
+            for n in rng.choices(members, k=count):
+                w = list(self.items[n][1])
+                for _ in range(self.edits[n]):
+                    at, way = rng.randrange(len(w)), rng.choice(ways)
+                    w[at : at + (way != "i")] = [] if way == "d" else [-rng.randrange(1, 1 << 40)]
+                out.append((n, [*w, *(-rng.randrange(1, 1 << 40) for _ in range(least if follow else 0))][:least]))
+        return out
+
+    def _keys(self, members: list[int], least: int) -> list | None:
+        """Repetitions of a class, each a walk's seed and steps, and for each sample of these its places and the items by key; None if no number of them has the recall.
 
         A window is cut at the shortest item's length, and so are the items.
         """
         o, rng = self.options, random.Random(self.options.seed)
-        rows = [self.items[n][1][:least] for n in members]
-        edited = []
-        for n in rng.choices(members, k=200):
-            w = list(self.items[n][1])
-            for _ in range(self.edits[n]):
-                at, kind = rng.randrange(len(w)), rng.randrange(3)
-                w[at : at + (kind > 0)] = [] if kind == 2 else [-rng.randrange(1, 1 << 40)]
-            edited.append((n, w[:least]))
-        missed = np.ones(len(edited))
-        found = []
-        while len(found) < o.most_repeats and (not found or 1 - missed.mean() < o.recall):
-            seed = len(found)
-            # The walk stands within the window for twice its words of steps, mostly.
-            wanted = np.array(sorted(rng.sample(range(2 * least), min(o.sampled, 2 * least))))
-            keys = self._embedded(rows, seed, wanted)
-            table: dict[int, list[int]] = defaultdict(list)
-            for n, k in zip(members, self._hashed(keys).tolist(), strict=True):
-                table[k].append(n)
-            own = {n: k for n, k in zip(members, keys, strict=True)}
-            got = self._embedded([w for _, w in edited], seed, wanted)
-            missed[[bool((own[n] == g).all()) for (n, _), g in zip(edited, got, strict=True)]] = 0
-            found.append((seed, wanted, dict(table), np.array(sorted(table), np.uint64)))
-        self.reached = min(self.reached, 1 - missed.mean())
-        return found
+        rows, row_of = [self.items[n][1][:least] for n in members], {n: i for i, n in enumerate(members)}
+        found: list[tuple] = []
+        embedded: list[np.ndarray] = []
+
+        def caught(copies: list[tuple[int, list[int]]], first: int) -> np.ndarray:
+            """Which of the copies the repetitions from ``first`` on find."""
+            hit = np.zeros(len(copies), bool)
+            item = np.array([row_of[n] for n, _ in copies])
+            for (seed, steps, draws), own in zip(found[first:], embedded[first:], strict=True):
+                same = own[item] == self._embedded([w for _, w in copies], seed, steps)
+                for at, _, _ in draws:
+                    hit |= same[:, at].all(axis=1)
+            return hit
+
+        def enough(hit: np.ndarray) -> bool:
+            return bool(found) and hit.reshape(5, -1).mean(axis=1).min() >= o.recall
+
+        while True:
+            copies = self._copies(rng, members, least)
+            hit = caught(copies, 0)
+            if enough(hit):  # fresh copies, which had no say in the number
+                return found
+            while not enough(hit):
+                if len(found) == o.most_repeats:
+                    return None
+                seed = len(found)
+                # The walk stands within the window for twice its words of steps, mostly.
+                wanted = [sorted(rng.sample(range(2 * least), min(o.sampled, 2 * least))) for _ in range(o.draws)]
+                steps = np.unique(np.array(wanted))
+                own = self._embedded(rows, seed, steps)
+                draws = []
+                for w in wanted:
+                    at = np.searchsorted(steps, w)
+                    table: dict[int, list[int]] = defaultdict(list)
+                    for n, k in zip(members, self._hashed(own[:, at]).tolist(), strict=True):
+                        table[k].append(n)
+                    draws.append((at, dict(table), np.array(sorted(table), np.uint64)))
+                found.append((seed, steps, draws))
+                embedded.append(own)
+                hit |= caught(copies, seed)
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int, int]]:
         """``(text, item, distance, item's words, start, end)`` of the best stretch of each text and item, in code points."""
@@ -189,26 +225,35 @@ class ItemIndex:
             triple = mix(ids[at].astype(np.uint64) << _U(42) | ids[at + 1].astype(np.uint64) << _U(21) | ids[at + 2].astype(np.uint64), 3) >> _U(64 - TRIPLE_BITS)
             total[at + 1] = self.triples[triple.astype(np.int64)]
         total = np.cumsum(total, dtype=np.int32)
-        best: dict[tuple[int, int], tuple] = {}
-        tried: set[tuple[int, int]] = set()
-        for least, threshold, repeats in self.classes:
+        near: dict[tuple[int, int], set[int]] = defaultdict(set)  # windows by text and item
+        last = np.repeat(ends - 1, lengths)  # the end of the text at each place
+        for least, threshold, repeats, members in self.classes:
             # Triples that lie within the window of ``least`` words from each place on.
-            inner = max(len(ids) - least + 3, 0)
-            starts = np.flatnonzero(total[least - 2 :][:inner] - total[:-1][:inner] >= threshold) if inner else np.empty(0, np.int64)
+            inner = max(least - 2, 0)
+            starts = np.flatnonzero(np.append(total[inner:-1], np.full(inner, total[-1]))[: len(ids)] - total[:-1] >= threshold)
+            starts = starts[(starts < last[starts]) & (total[np.minimum(starts + inner, last[starts])] - total[starts] >= threshold)]
             if not len(starts):
                 continue
             text = np.searchsorted(ends, starts, side="right")
-            limit = np.minimum(starts + least, ends[text] - 1)
-            for seed, wanted, table, sorted_keys in repeats:
-                keys = self._hashed(walk(ids, starts, limit, seed, wanted))
-                near = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-                for row in np.flatnonzero(sorted_keys[near] == keys).tolist():
-                    for n in table[int(keys[row])]:
-                        if (int(starts[row]), n) not in tried:
-                            tried.add((int(starts[row]), n))
-                            self._verify(n, int(starts[row]), int(text[row]), ids, ends, best)
+            if repeats is None:
+                for start, t in zip(starts.tolist(), text.tolist(), strict=True):
+                    for n in members:
+                        near[t, n].add(start)
+                continue
+            limit = np.minimum(starts + least, last[starts])
+            for seed, steps, draws in repeats:
+                words = walk(ids, starts, limit, seed, steps)
+                for at, table, sorted_keys in draws:
+                    keys = self._hashed(words[:, at])
+                    at_most = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+                    for row in np.flatnonzero(sorted_keys[at_most] == keys).tolist():
+                        for n in table[int(keys[row])]:
+                            near[int(text[row]), n].add(int(starts[row]))
         out = []
-        for (text, n), (distance, a, b) in sorted(best.items()):
+        for (text, n), places in sorted(near.items()):
+            if (found := self._verified(n, sorted(places), text, ids, ends)) is None:
+                continue
+            distance, a, b = found
             first = int(ends[text]) - lengths[text]
             whole = texts[text]
             places = [m.span() for m in _WORD.finditer(whole)] if len(whole.lower()) == len(whole) else []
@@ -216,16 +261,27 @@ class ItemIndex:
             out.append((text, self.items[n][0], distance, len(self.items[n][1]), spans[a - first][0], spans[b - 1 - first][1]))
         return out
 
-    def _verify(self, n: int, start: int, text: int, ids: np.ndarray, ends: np.ndarray, best: dict) -> None:
+    def _verified(self, n: int, starts: list[int], text: int, ids: np.ndarray, ends: np.ndarray) -> tuple[int, int, int] | None:
+        """The distance and the stretch nearest to an item around the windows at ``starts``, if it is near enough.
+
+        Windows that overlap are one region, which is read once.
+        """
         item, edits = self.items[n][1], self.edits[n]
-        lo = max(start - edits, int(ends[text - 1]) if text else 0)
-        hi = min(start + len(item) + 2 * edits, int(ends[text]) - 1)
-        # Words outside the benchmark differ from all of an item's.
-        region = ids[lo:hi].tolist()
-        distance, end = edit_distance_within(item, region)
-        if distance <= edits and distance < best.get((text, n), (edits + 1,))[0]:
-            _, back = edit_distance_within(item[::-1], region[:end][::-1])
-            best[text, n] = (distance, lo + end - back, lo + end)
+        first, last = int(ends[text - 1]) if text else 0, int(ends[text]) - 1
+        best, at = None, 0
+        while at < len(starts):
+            upto = at
+            while upto + 1 < len(starts) and starts[upto + 1] <= starts[upto] + len(item):
+                upto += 1
+            lo, hi = max(starts[at] - edits, first), min(starts[upto] + len(item) + 2 * edits, last)
+            at = upto + 1
+            # Words outside the benchmark differ from all of an item's.
+            region = ids[lo:hi].tolist()
+            distance, end = edit_distance_within(item, region)
+            if distance <= edits and (best is None or distance < best[0]):
+                _, back = edit_distance_within(item[::-1], region[:end][::-1])
+                best = (distance, lo + end - back, lo + end)
+        return best
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, *, options: Options = Options(), id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:  # noqa: B008
@@ -234,7 +290,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, options: Options = Options(
     ``start`` and ``end`` bound the nearest stretch in code points of the document (the
     whole text where lower-casing changes its length).  Null or wordless texts match
     nothing, on either side, nor do items of fewer than ``least_words`` words or without
-    an id.  Rows that repeat give rows that repeat; equal items each match.  Other
+    an id; items too short for an edit match where they occur.  Rows that repeat give rows that repeat; equal items each match.  Other
     columns are not read.  The documents are not shuffled; the items are taken in
     passes of a bounded number of words.
     """
