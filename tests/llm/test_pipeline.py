@@ -45,7 +45,7 @@ def test_stages(spark, sf):
     assert set(rows[2]) == {i for i in sets if find(i) == i} and -3 in rows[2]
 
     items = spark.read.parquet(f"{sf}/benchmark.parquet").collect()
-    index = decontaminate.ItemIndex([(r.item_id, r.text) for r in items], decontaminate.Options())
+    index = decontaminate.ItemIndex([(r.item_id, r.text) for r in items], decontaminate.Options(least_words=corpus_pipeline.LEAST_WORDS))
     order = list(rows[2])
     leaks = {order[x[0]] for x in index.search([rows[2][i].text for i in order])}
     assert {i for i, r in rows[2].items() if any(x.text in r.text for x in items)} <= leaks
@@ -65,6 +65,13 @@ def test_stages(spark, sf):
     assert pieces == expected
 
 
+def test_columns_that_clash(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(40).selectExpr("*", "0.5 score", "'x' lang_pred", "doc_id component_id", "'y' _text", "1 spans")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, sf)
+        assert after.columns == docs.columns and after.count() <= 40, name
+
+
 def _shingles(text):
     from tests.llm.test_ngram_join import shingles
 

@@ -54,6 +54,29 @@ def test_more_pii(text, kind, part):
     assert [text[a:b] for k, a, b in pii.find(text) if k == kind] == [part]
 
 
+@pytest.mark.parametrize("text, kinds", [
+    ("0" * 5000 + ".1.1.1", ["ip"]), ("1" * 5000 + ".1.1.1", []), ("1.1.1." + "0" * 5000 + "9", ["ip"]), ("4" * 5000, []), ("+" + "1" * 5000, []), ("a" * 5000 + "@b.co", ["email"]),
+    ("account: " + "1" * 5000, ["account"]), ("iban " + "DE12" * 2000, []), ("x@" * 20_000, []), ("1.1.1." * 20_000, None), ("://a:" * 20_000, []),
+])
+def test_long_runs(text, kinds):
+    got = [s[0] for s in pii.find(text)]
+    assert kinds is None or got == kinds
+
+
+@pytest.mark.parametrize("text", ["eyJaaaaa" * 40_000, "token" + " " * 200_000, "://" + "a" * 200_000, "-----BEGIN " * 20_000, "password: " * 20_000, "AKIA" * 40_000, "gh" + "p_" * 80_000])
+def test_secrets_of_long_runs_take_linear_time(text):
+    import time
+
+    began = time.process_time()
+    secrets.find(text)
+    assert time.process_time() - began < 3
+
+
+def test_web_token():
+    token = "eyJhbGciOi.eyJzdWIiOi.abcdefghij"
+    assert [s[0] for s in secrets.find(f"x {token} y")] == ["jwt"] and not secrets.find(f"x{token}")
+
+
 def test_invalid_iban():
     assert not of(pii.find("IBAN: DE00 3704 0044 0532 0130 00"), ("iban",))
 
