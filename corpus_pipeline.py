@@ -14,9 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.llm import decontaminate, langid, ngram_join, packing, pii
-from larkspur.llm.common import table, without, written
+from larkspur.llm.common import table, unused, without, written
 from larkspur.llm.registry import TOKENIZER, held_out
 
+#: Words of a benchmark item that rejects documents: shorter ones occur in clean text, too.
+LEAST_WORDS = 5
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Share of a document's words that its language needs.  Below it no language rules: an
@@ -28,13 +31,16 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents whose language is known and rules them, with that language as ``lang``.
 
     Null text and text without a letter is rejected.  The model is fitted on a bounded
-    sample of the stage's own rows that are labelled and not held out.
+    sample of the stage's own rows that are labelled and not held out.  Without a single
+    label nothing can be told, and all rows with text stay.
     """
     model = langid.train(langid.training_rows(docs.where(~held_out("doc_id"))))
     if not model.labels:
         return docs.where("text is not null")
-    found = langid.predict(docs, model, keys=tuple(docs.columns))
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    names = unused("lang_pred", docs.columns), unused("score", docs.columns)
+    found = langid.predict(docs, model, keys=tuple(docs.columns), names=names)
+    lang, score = map(F.col, names)
+    return found.where((lang != langid.UNKNOWN) & (score >= LEAST_SHARE)).withColumn("lang", lang).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +50,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage near an item of ``benchmark``."""
-    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that hold no passage near an item of ``benchmark`` of at least ``LEAST_WORDS`` words."""
+    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), options=decontaminate.Options(least_words=LEAST_WORDS))
     return without(docs, leaks.select("doc_id"), "doc_id")
 
 
