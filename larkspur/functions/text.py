@@ -51,7 +51,8 @@ def template_hash(x: Column) -> Column:
 def shingles(x: Column, width: int = 3, limit: int = 12000) -> Column:
     """Character n-grams of the normalized text; a shorter text is its own single gram."""
     t = F.substring(normalize_text(x), 1, limit)
-    grams = F.transform(F.sequence(F.lit(1), F.length(t) - width + 1), lambda i: F.substring(t, i, F.lit(width)))
+    # Cut into characters once: a substring would be found from the text's start each time.
+    grams = F.transform(F.array(F.split(t, "")), lambda c: F.transform(F.sequence(F.lit(1), F.length(t) - width + 1), lambda i: F.array_join(F.slice(c, i, width), "")))[0]
     return F.when(F.length(t) == 0, F.array().cast("array<string>")).when(F.length(t) <= width, F.array(t)).otherwise(grams)
 
 

@@ -23,6 +23,10 @@ ROLE_RULES = [
 ]
 
 
+#: Words that end the name of a whole role.
+ROLE_WORDS = "工程师|架构师|设计师|分析师|产品经理|项目经理|顾问|专员|负责人|专家|主管|总监"
+
+
 def role_title(title: Column, fallback: Column) -> Column:
     """The first rule's role; else the title without brackets and degree words; else the fallback."""
     rest = F.regexp_replace(F.regexp_replace(clean_value(title), "[（(].*?[）)]", ""), r"高级|资深|初级|中级|专家|实习|急聘|诚聘|招聘|\s+", "")
@@ -38,6 +42,8 @@ def evolution_title(title: Column) -> Column:
     role_end = "(?:工程师|开发|测试|架构师|设计师|分析师|算法|顾问|产品经理|项目经理|运维|实施|运营|专员|负责人|专家|主管|总监)$"
     t = F.regexp_replace(F.lower(strip(F.coalesce(title, F.lit("")))), r"[（(【\[][^()（）【】\[\]]{0,60}[)）】\]]", "")
     t = F.regexp_replace(t, r"\s*[-—–|｜]\s*[^-—–|｜]{1,40}(?:方向|业务|项目|岗位|团队|城市|地区)\s*$", "")
+    whole = F.regexp_extract(t, rf"^(.+?(?:{ROLE_WORDS}|开发|测试|运维|实施|运营))\s*[-—–|｜/／\\、,，]\s*(?!.*(?:{ROLE_WORDS})\s*$).+$", 1)
+    t = F.when(whole != "", whole).otherwise(t)
     parts = F.filter(F.transform(F.split(t, "[/／|｜]"), strip), lambda p: p.rlike(role_end))
     shortest = F.array_min(F.transform(parts, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))["p"]
     t = F.when(F.size(parts) >= 2, shortest).otherwise(t)

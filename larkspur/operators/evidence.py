@@ -91,8 +91,9 @@ def verified(candidates: DataFrame, docs: DataFrame, *, key: str = "doc_id", tex
 def best(evidence: DataFrame, keys: list[str]) -> DataFrame:
     """The best evidence of each of ``keys``: by status, confidence, required first, then the quote."""
     rank = F.when(F.col("status") == "VERIFIED", 1).when(F.col("status") == "LOW_CONFIDENCE", 2).when(F.col("status") == "ANALYSIS_ONLY", 3).otherwise(4)
-    w = Window.partitionBy(*keys).orderBy(rank, F.col("confidence").desc(), F.when(F.col("requirement") == "required", 0).otherwise(1), "evidence_quote", "raw_term")
-    return evidence.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    order = F.struct(rank, -F.coalesce("confidence", F.lit(float("-inf"))), F.when(F.col("requirement") == "required", 0).otherwise(1), "evidence_quote", "raw_term")
+    row = F.min_by(F.struct(*(F.col(c) for c in evidence.columns)), order).alias("_row")
+    return evidence.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(row).select("_row.*")
 
 
 def fallback(first: DataFrame, second: DataFrame, key: str) -> DataFrame:

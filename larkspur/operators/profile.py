@@ -62,8 +62,9 @@ def weighted(postings: DataFrame, key: Column, config: Config = Config()) -> Dat
 
 def accepted(mentions: DataFrame) -> DataFrame:
     """The best accepted mention of each skill in a posting: by status, confidence, then first."""
-    w = Window.partitionBy("jd_id", "skill_id").orderBy(status_rank(F.col("status")), F.col("confidence").desc(), "seq", "stack", "category", "requirement")
-    return mentions.where(F.col("status").isin(*ACCEPTED)).withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    order = F.struct(status_rank(F.col("status")), -F.coalesce("confidence", F.lit(float("-inf"))), "seq", "stack", "category", "requirement")
+    row = F.min_by(F.struct(*(F.col(c) for c in mentions.columns)), order).alias("_row")
+    return mentions.where(F.col("status").isin(*ACCEPTED)).groupBy("jd_id", "skill_id").agg(row).select("_row.*")
 
 
 def roles(postings: DataFrame) -> DataFrame:

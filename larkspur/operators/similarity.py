@@ -83,15 +83,25 @@ def mutual(neighbours: DataFrame) -> DataFrame:
     return neighbours.join(back, ["query", "neighbour"]).where("query < neighbour").select(F.col("query").alias("a"), F.col("neighbour").alias("b"), "similarity")
 
 
+#: Prototypes of one scoring; they are literals of its plan.
+MOST_PROTOTYPES = 1000
+
+
 def prototype_score(df: DataFrame, vector: str, prototypes: DataFrame, factor: float = 2.6) -> DataFrame:
     """``df`` with the best cosine to positive and to negative prototypes (``positive, v``) and 0.5 plus ``factor`` times their difference.
 
-    The prototypes are a dictionary of a few rows, whatever the table.
+    The prototypes are a dictionary of a few rows, whatever the table; more than
+    ``MOST_PROTOTYPES`` are an error.  No shuffle, and rows that repeat stay.
     """
-    both = df.withColumn("_id", F.monotonically_increasing_id()).crossJoin(F.broadcast(prototypes))
-    s = cosine(F.col(vector), F.col("v"))
-    best = lambda p: F.max(F.when(F.col("positive") == p, s))
-    out = both.groupBy(*df.columns).agg(best(True).alias("positive_similarity"), best(False).alias("negative_similarity"))
+    rows = prototypes.select("positive", F.col("v").cast("array<double>").alias("v")).limit(MOST_PROTOTYPES + 1).collect()
+    if len(rows) > MOST_PROTOTYPES:
+        raise ValueError(f"more than {MOST_PROTOTYPES} prototypes")
+
+    def best(positive: bool) -> Column:
+        all_of = [cosine(F.col(vector), F.array(*map(F.lit, r.v))) for r in rows if r.positive == positive]
+        return F.greatest(*all_of) if len(all_of) > 1 else all_of[0] if all_of else F.lit(None).cast("double")
+
+    out = df.withColumn("positive_similarity", best(True)).withColumn("negative_similarity", best(False))
     raw = 0.5 + (F.col("positive_similarity") - F.col("negative_similarity")) * factor
     return out.withColumn("semantic_score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), raw)))
 
@@ -161,12 +171,3 @@ def resolution(best: DataFrame, exact: Column, alias: Column, conflict: Column,
     """``decision`` by the ladder exact, alias, vector match without conflict, review, unmapped."""
     ladder = F.when(exact, "EXACT").when(alias, "ALIAS").when((similarity >= accept) & ~conflict, "VECTOR_MATCH").when(similarity >= review, "REVIEW").otherwise("UNMAPPED")
     return best.withColumn("decision", ladder)
-
-
-def iter_pairs(keys: list, most: int = 5_000_000) -> Iterator[tuple]:
-    """All pairs of a small block on the driver; raises beyond ``most`` instead of dropping any."""
-    if len(keys) * (len(keys) - 1) // 2 > most:
-        raise ValueError("too many pairs for one block")
-    for i, a in enumerate(keys):
-        for b in keys[i + 1 :]:
-            yield a, b

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import codecs
-from fnmatch import fnmatch
+from fnmatch import translate
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,15 +40,19 @@ def encoding_of(head: bytes) -> str:
 def discover(spark: SparkSession, root: str, suffixes: tuple[str, ...] = (".csv", ".json", ".jsonl"), include: str = "*") -> DataFrame:
     """``path, size, modified, signature, encoding`` of the files below ``root``, by Spark's own file listing.
 
-    Temporary files go; the encoding is told from the first 8 KB on the executors.
+    Temporary files go; the encoding is told on the executors from the first 8 KB of what
+    Spark's reader of binary files loads, so a file must fit into a task.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     name = F.element_at(F.split("path", "/"), -1)
     kept = files.where(~name.startswith("~$") & ~name.startswith(".") & F.lower(name).rlike("(" + "|".join(s.replace(".", r"\.") for s in suffixes) + ")$"))
-    told = F.udf(lambda b: encoding_of(bytes(b)), "string")
-    match = F.udf(lambda n: fnmatch(n, include), "boolean")
+
+    @F.pandas_udf("string")
+    def told(heads: pd.Series) -> pd.Series:
+        return heads.map(lambda b: encoding_of(bytes(b)))
+
     modified = F.unix_millis("modificationTime")
-    return kept.where(match(name)).select("path", F.col("length").alias("size"), modified.alias("modified"), F.concat_ws(":", "length", modified).alias("signature"), told(F.substring("content", 1, 8192)).alias("encoding"))
+    return kept.where(name.rlike(f"^{translate(include)}")).select("path", F.col("length").alias("size"), modified.alias("modified"), F.concat_ws(":", "length", modified).alias("signature"), told(F.substring("content", 1, 8192)).alias("encoding"))
 
 
 def read_csv(spark: SparkSession, paths: list[str], encoding: str = "utf-8") -> DataFrame:
