@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import hashlib
-import json
-import os
-import tempfile
-from pathlib import Path
+import uuid
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -62,72 +61,108 @@ def orphans(dimension: DataFrame, facts: DataFrame, keys: list[str]) -> DataFram
     return dimension.join(facts.select(*keys).distinct(), keys, "left_anti")
 
 
+def fingerprint(df: DataFrame) -> str:
+    """Of the content, whatever the order of rows and columns: equal tables have equal fingerprints."""
+    row = df.agg(F.count("*"), F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)"))).first()
+    return hashlib.sha256(f"{sorted(df.columns)}:{row[0]}:{row[1]}".encode()).hexdigest()
+
+
+def problems(tables: dict[str, DataFrame], unique: dict[str, list[str]], references: list[tuple[str, str, str, str]], floors: dict[str, Column]) -> DataFrame:
+    """``problem, n`` of a snapshot: repeated keys, references without a target, rows under a floor.
+
+    ``references`` are ``(table, column, target, column)``; ``floors`` say what rows of a table must hold.
+    """
+    out = []
+    for name, keys in sorted(unique.items()):
+        out.append(tables[name].groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").agg(F.count("*").alias("n")).select(F.lit(f"repeated:{name}").alias("problem"), "n"))
+    for name, column, target, key in references:
+        lost = tables[name].where(F.col(column).isNotNull()).join(tables[target].select(F.col(key).alias(column)).distinct(), column, "left_anti")
+        out.append(lost.agg(F.count("*").alias("n")).select(F.lit(f"unknown:{name}.{column}").alias("problem"), "n"))
+    for name, rule in sorted(floors.items()):
+        out.append(tables[name].where(~F.coalesce(rule, F.lit(False))).agg(F.count("*").alias("n")).select(F.lit(f"floor:{name}").alias("problem"), "n"))
+    return reduce(DataFrame.union, out)
+
+
+def backfilled(table: DataFrame, values: DataFrame, key: str, column: str, locked: Column | None = None) -> DataFrame:
+    """``table`` with ``column`` filled from ``values`` and the old value kept as ``<column>_before``; locked rows stay as they are."""
+    new = values.select(key, F.col(column).alias("_new"))
+    free = F.lit(True) if locked is None else ~F.coalesce(locked, F.lit(False))
+    rows = table.join(new, key, "left").withColumn(f"{column}_before", F.col(column))
+    return rows.withColumn(column, F.when(free & F.col("_new").isNotNull(), F.col("_new")).otherwise(F.col(column))).drop("_new")
+
+
 class SnapshotStore:
-    """Tables by run below a folder; readers follow a pointer that is swapped in one rename.
+    """Tables by run below a folder that Spark can write; readers follow the last entry of a log of pointers.
 
-    A run is staged, its row counts are verified, and only then does the pointer move,
-    so readers see the old run or the new one.
+    A run is named by its content and its attempt, so no file that a reader may hold is
+    written again; publishing the active content is nothing.
+
+    A run is staged, the rows that are read back are counted against those written, and
+    only then is the pointer moved, by one committed write; so readers see the old run
+    or the new one.  An entry of the log is never overwritten: of two writers that saw
+    the same entry, the second fails.
     """
 
-    def __init__(self, root: str) -> None:
-        self.root = Path(root)
-        self.pointer = self.root / "active.json"
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root.rstrip("/")
 
     @staticmethod
     def run_id(tables: dict[str, DataFrame]) -> str:
-        """Of the content, whatever the order of rows: the same tables give the same id."""
-        digest = hashlib.sha256()
-        for name, df in sorted(tables.items()):
-            row = df.agg(F.count("*"), F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)"))).first()
-            digest.update(f"{name}:{sorted(df.columns)}:{row[0]}:{row[1]}".encode())
+        digest = hashlib.sha256("".join(f"{name}:{fingerprint(df)};" for name, df in sorted(tables.items())).encode())
         return digest.hexdigest()[:20]
 
     def stage(self, tables: dict[str, DataFrame]) -> str:
-        run = self.run_id(tables)
-        counts = {}
+        run = f"{self.run_id(tables)}-{uuid.uuid4().hex[:8]}"
         for name, df in tables.items():
-            path = str(self.root / f"run={run}" / name)
-            df.write.mode("overwrite").parquet(path)
-            counts[name] = df.sparkSession.read.parquet(path).count()
-            if counts[name] != df.count():
-                raise RuntimeError(f"{name}: {counts[name]} rows were staged")
-        self._write(self.root / f"run={run}" / "counts.json", counts)
+            path, seen = f"{self.root}/run={run}/{name}", Observation()
+            df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+            if self.spark.read.schema(df.schema).parquet(path).count() != seen.get["rows"]:
+                raise RuntimeError(f"{name}: not all rows were staged")
         return run
 
+    def _log(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema("active string, history array<string>, version long").json(f"{self.root}/pointer")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
     def status(self) -> dict:
-        return json.loads(self.pointer.read_text()) if self.pointer.exists() else {"active": None, "history": []}
+        log = self._log()
+        row = None if log is None else log.orderBy(F.desc("version")).first()
+        return {"version": 0, "active": None, "history": []} if row is None else {"version": row.version, "active": row.active, "history": list(row.history or [])}
 
-    def publish(self, tables: dict[str, DataFrame]) -> str:
+    def publish(self, tables: dict[str, DataFrame], expected_version: int | None = None) -> str:
+        """Stages and points.  With ``expected_version``, fails if the pointer has moved since."""
+        now = self.status()
+        if expected_version is not None and now["version"] != expected_version:
+            raise RuntimeError(f"version {now['version']} instead of {expected_version}")
+        if (now["active"] or "").startswith(f"{self.run_id(tables)}-"):
+            return now["active"]
         run = self.stage(tables)
-        self._point(run)
+        self._point(now, run, [*now["history"], now["active"]] if now["active"] else now["history"])
         return run
 
-    def _point(self, run: str | None) -> None:
-        now = self.status()
-        if run != now["active"]:
-            self._write(self.pointer, {"active": run, "history": [*now["history"], now["active"]] if now["active"] else now["history"]})
+    def _point(self, now: dict, run: str | None, history: list[str]) -> None:
+        version = now["version"] + 1
+        row = self.spark.createDataFrame([(run, history)], "active string, history array<string>")
+        row.coalesce(1).write.mode("errorifexists").json(f"{self.root}/pointer/version={version}")
 
     def rollback(self) -> str:
         """To the run before; raises without one."""
         now = self.status()
         if not now["history"]:
             raise RuntimeError("no earlier run")
-        self._write(self.pointer, {"active": now["history"][-1], "history": now["history"][:-1]})
+        self._point(now, now["history"][-1], now["history"][:-1])
         return now["history"][-1]
 
     def deactivate(self) -> None:
-        self._point(None)
+        now = self.status()
+        self._point(now, None, [*now["history"], now["active"]] if now["active"] else now["history"])
 
-    def read(self, spark, name: str) -> DataFrame:
+    def read(self, name: str) -> DataFrame:
         run = self.status()["active"]
         if run is None:
             raise RuntimeError("no active run")
-        return spark.read.parquet(str(self.root / f"run={run}" / name))
-
-    @staticmethod
-    def _write(path: Path, value) -> None:
-        path.parent.mkdir(parents=True, exist_ok=True)
-        handle, name = tempfile.mkstemp(dir=path.parent)
-        with os.fdopen(handle, "w") as f:
-            json.dump(value, f)
-        os.replace(name, path)
+        return self.spark.read.parquet(f"{self.root}/run={run}/{name}")

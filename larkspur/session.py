@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -33,3 +34,9 @@ def with_checkpoints(spark: SparkSession) -> SparkSession:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="larkspur-"))
     return spark
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the one that all machines share, for what Spark writes and reads back."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or with_checkpoints(spark).sparkContext.getCheckpointDir()
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -70,6 +70,14 @@ def write_complete(stream: DataFrame, table: str, checkpoint: str) -> StreamingQ
     return stream.writeStream.foreachBatch(put).outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def latest(spark: SparkSession, table: str, schema: str | None = None) -> DataFrame:
+    """The newest version below ``table``, by the names of its files; older ones are listed, not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(table)
+    last = files.select(F.max(F.regexp_extract("path", r"/v(\d+)/[^/]*$", 1).cast("long"))).first()[0]
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{table}/v{last}")
+
+
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Appends to Parquet what a stream yields until its source is read."""
     q = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
