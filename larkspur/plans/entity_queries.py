@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from larkspur.functions import text as X
 from larkspur.operators import cluster as CL
 from larkspur.operators import concepts as C
 from larkspur.operators import dedup as D
-
 from larkspur.operators import similarity as S
 from larkspur.operators import versions as V
 from larkspur.plans import adapters as A
@@ -79,8 +79,6 @@ def _title_clusters(s, d):
     names = A.table(s, d, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("title")).distinct()
     grams = names.select("title", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("title") - 1), lambda i: F.substring("title", i, F.lit(2))))).alias("g"))
     counts = grams.groupBy("g").agg(F.count("*").alias("df"))
-    from pyspark.sql import Window
-
     w = Window.partitionBy("title").orderBy("df", "g")
     rare = grams.join(counts, "g").withColumn("n", F.row_number().over(w)).where("n <= 4").select("title", "g")
     pairs = rare.select(F.col("title").alias("a"), "g").join(grams.select(F.col("title").alias("b"), "g"), "g").where("a < b").select("a", "b").distinct()
@@ -89,12 +87,12 @@ def _title_clusters(s, d):
 
 
 def _capped(s, d):
-    pairs = _rounded_knn(neighbours(s, d, 5)).where("query < neighbour").withColumn("block", F.lit(1))
+    pairs = _rounded_knn(neighbours(s, d, 5)).where("query < neighbour").join(A.table(s, d, "embeddings").select(F.col("vec_id").alias("query"), F.col("label").alias("block")), "query")
     return CL.capped(pairs.select("block", F.col("query").alias("a"), F.col("neighbour").alias("b"), F.col("similarity").alias("score")), "block", most=8)
 
 
 def _mmr(s, d):
-    e = A.table(s, d, "embeddings").withColumn("score", F.round(F.pmod(F.xxhash64("vec_id"), F.lit(1000)) / 1000.0, 6))
+    e = A.table(s, d, "embeddings").withColumn("score", F.round(F.col("vec_id") * 37 % 1000 / 1000.0, 6))
     return S.mmr(e, ["label"], "vec_id", "score", "embedding", 5)
 
 
@@ -115,8 +113,8 @@ QUERIES = {
         "SELECT raw_uid, observed_epoch, seq, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY raw_uid ORDER BY observed_epoch DESC, seq DESC) AS n FROM versions) WHERE n = 1",
     ),
     "late_versions": (
-        lambda s, d: V.late(A.versions(s, d).withColumn("seq", F.crc32(F.col("seq").cast("string").cast("binary"))), "raw_uid").agg(F.count("*").alias("late_rows")),
-        None,
+        lambda s, d: V.late(A.versions(s, d).withColumn("seq", F.sha2(F.col("seq").cast("string"), 256)), "raw_uid").agg(F.count("*").alias("late_rows")),
+        "SELECT count(*) AS late_rows FROM (SELECT observed_epoch, max(observed_epoch) OVER (PARTITION BY raw_uid ORDER BY sha256(seq::VARCHAR) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM versions) WHERE observed_epoch < before",
     ),
     "unchanged_files_anti": (
         lambda s, d: V.unchanged(A.versions(s, d).select(F.col("raw_uid").alias("path"), F.col("event_type").alias("signature")).distinct(), A.versions(s, d).where("value < 5").select(F.col("raw_uid").alias("path"), F.col("event_type").alias("signature"))),
@@ -165,7 +163,7 @@ QUERIES = {
         """SELECT vec_id, round(p, 5) AS positive_similarity, round(n, 5) AS negative_similarity, round(greatest(0, least(1, 0.5 + (p - n) * 2.6)), 5) AS semantic_score FROM (SELECT a.vec_id, max(c) FILTER (b.vec_id < 3) AS p, max(c) FILTER (b.vec_id >= 3) AS n FROM (SELECT a, b, greatest(0, least(1, list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) / (sqrt(list_dot_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[])) * sqrt(list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[]))))) AS c FROM embeddings a, embeddings b WHERE b.vec_id < 6) GROUP BY a.vec_id)""",
     ),
     "mmr_select": (_mmr, None),
-    "redundancy_filter": (lambda s, d: S.without_redundant(A.table(s, d, "embeddings").withColumn("score", F.round(F.pmod(F.xxhash64("vec_id"), F.lit(1000)) / 1000.0, 6)), ["label"], "vec_id", "score", "embedding", 0.9), None),
+    "redundancy_filter": (lambda s, d: S.without_redundant(A.table(s, d, "embeddings").withColumn("score", F.round(F.col("vec_id") * 37 % 1000 / 1000.0, 6)), ["label"], "vec_id", "score", "embedding", 0.9), None),
     "adaptive_thresholds": (
         lambda s, d: C.with_thresholds(C.role_totals(A.postings(s, d)), True),
         "SELECT role, jds, companies, CASE WHEN jds < 100 THEN greatest(3, ceil(jds * 0.2::DOUBLE)) ELSE greatest(15, ceil(jds * 0.005::DOUBLE)) END::BIGINT AS least_jds, CASE WHEN jds < 100 THEN greatest(2, ceil(companies * 0.2::DOUBLE)) ELSE greatest(8, ceil(companies * 0.005::DOUBLE)) END::BIGINT AS least_companies FROM (SELECT role, count(*) AS jds, count(DISTINCT company_id) AS companies FROM postings GROUP BY role)",
@@ -179,7 +177,11 @@ QUERIES = {
         "SELECT skill_id, arg_max(category, (verified_jds, jds, companies, category)) AS category, count(*) AS variants FROM (SELECT skill_id, category, count(DISTINCT jd_id) AS jds, count(DISTINCT company_id) AS companies, count(DISTINCT jd_id) FILTER (status = 'VERIFIED') AS verified_jds FROM mentions JOIN (SELECT jd_id, company_id FROM postings) USING (jd_id) WHERE NOT starts_with(status, 'REJECTED') GROUP BY ALL) GROUP BY skill_id",
     ),
     "concept_rank": (_scores, "SELECT role, skill_id, company_count, jd_count, verified_jd_count, final_score FROM rated"),
-    "quota_topk": (_quota, None),
+    "quota_topk": (
+        _quota,
+        """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY role, category ORDER BY final_score DESC, skill_id) AS concept_rank FROM (SELECT role, skill_id, company_count, jd_count, verified_jd_count, final_score FROM rated) JOIN (SELECT skill_id, arg_max(category, (verified_jds, jds, companies, category)) AS category FROM (SELECT skill_id, category, count(DISTINCT jd_id) AS jds, count(DISTINCT company_id) AS companies, count(DISTINCT jd_id) FILTER (status = 'VERIFIED') AS verified_jds FROM mentions JOIN (SELECT jd_id, company_id FROM postings) USING (jd_id) WHERE NOT starts_with(status, 'REJECTED') GROUP BY ALL) GROUP BY skill_id) USING (skill_id))
+           WHERE concept_rank <= CASE category WHEN 'STANDARD' THEN 3 WHEN 'PROMO' THEN 2 ELSE 1 END""",
+    ),
     "concept_quarters": (
         lambda s, d: C.quarter_snapshot(PQ.accepted(s, d), PQ.weighted(s, d)),
         """SELECT a.role, a.time_window, a.skill_id, a.jd_count, a.company_count, a.verified_jd_count, a.final_score, coalesce(round(a.final_score - b.final_score, 6), 0) AS delta, CASE WHEN b.final_score IS NULL THEN 'emerging' WHEN round(a.final_score - b.final_score, 6) >= 0.05 THEN 'rising' WHEN round(a.final_score - b.final_score, 6) <= -0.05 THEN 'falling' ELSE 'stable' END AS trend FROM quarters a LEFT JOIN quarters b ON a.role = b.role AND a.skill_id = b.skill_id AND a.place = b.place + 1""",

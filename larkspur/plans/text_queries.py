@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import functions as F
 
 from larkspur.functions import stats
@@ -13,6 +10,7 @@ from larkspur.functions import titles as T
 from larkspur.operators import domain as DM
 from larkspur.operators import evidence as EV
 from larkspur.plans import adapters as A
+from larkspur.session import scratch
 from larkspur.streaming import streams as ST
 
 #: A policy in the vocabulary of the invented documents.
@@ -36,7 +34,7 @@ def docs(s, d):
 def _functions(s, d):
     t = F.coalesce("text", F.lit(""))
     return docs(s, d).select(
-        "doc_id", F.length(X.normalize_text(t)).alias("kept_chars"), F.size(X.shingles(F.substring(t, 1, 200))).alias("grams"),
+        "doc_id", F.length(X.normalize_text(t)).alias("kept_chars"), F.size(X.shingles(t)).alias("grams"),
         F.size(F.regexp_extract_all(t, F.lit("[0-9]+"), F.lit(0))).alias("numbers"), X.clean_value(F.lit(" N/A ")).alias("blank"),
     )
 
@@ -94,34 +92,24 @@ def _titles(s, d):
 _TITLE_SQL = """SELECT p_partkey, ['Java开发工程师', '产品经理', 'Java开发工程师', '数据分析师', '软件工程师'][p_partkey % 5 + 1] AS name, ['', 'AI方向', '', '商业方向', '后端方向'][p_partkey % 5 + 1] AS tags FROM part"""
 
 
-def _stream_folder(s, name: str) -> str:
-    """Below the shared folder, or a temporary one where none is set."""
-    root = s.conf.get("spark.checkpoint.dir", None)
-    root = root.removeprefix("file://") if root and root.startswith("file:") else None
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=root if root and os.path.isdir(root) else None)
-
-
 def _stream_counts(s, d):
     """Counts by day and kind of event from a stream, open windows included."""
-    root = _stream_folder(s, "counts")
+    root = scratch(s, "counts")
     ST.write_complete(ST.month_counts(ST.file_stream(s, d, "events.parquet"), "event_type"), f"{root}/out", f"{root}/check").awaitTermination()
-    last = max(int(x[1:]) for x in os.listdir(f"{root}/out") if x.startswith("v"))
-    return s.read.schema("day string, event_type string, n long").parquet(f"{root}/out/v{last}")
+    return ST.latest(s, f"{root}/out", "day string, event_type string, n long")
 
 
 def _stream_current(s, d):
-    root = _stream_folder(s, "current")
+    root = scratch(s, "current")
     rows = ST.file_stream(s, d, "events.parquet").select(F.col("user_id").alias("raw_uid"), F.unix_timestamp("ts").alias("observed_epoch"), F.col("event_id").alias("seq"), "event_type")
-    q = ST.write_current(rows, f"{root}/table", "raw_uid", ["observed_epoch", "seq"], f"{root}/check")
-    q.awaitTermination()
-    last = max(int(x[1:]) for x in os.listdir(f"{root}/table") if x.startswith("v"))
-    return s.read.parquet(f"{root}/table/v{last}")
+    ST.write_current(rows, f"{root}/table", "raw_uid", ["observed_epoch", "seq"], f"{root}/check").awaitTermination()
+    return ST.latest(s, f"{root}/table")
 
 
 QUERIES = {
     "text_functions": (
         _functions,
-        "SELECT doc_id, length(regexp_replace(lower(regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g')), '[^0-9a-z一-鿿+#.]', '', 'g'))::INT AS kept_chars, CASE WHEN n = 0 THEN 0 WHEN n <= 3 THEN 1 ELSE n - 2 END::INT AS grams, len(regexp_extract_all(coalesce(text, ''), '[0-9]+'))::INT AS numbers, '' AS blank FROM (SELECT *, length(regexp_replace(lower(substr(coalesce(text, ''), 1, 200)), '[^0-9a-z一-鿿+#.]', '', 'g')) AS n FROM documents)",
+        "SELECT doc_id, length(regexp_replace(lower(regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g')), '[^0-9a-z一-鿿+#.]', '', 'g'))::INT AS kept_chars, CASE WHEN n = 0 THEN 0 WHEN n <= 3 THEN 1 ELSE n - 2 END::INT AS grams, len(regexp_extract_all(coalesce(text, ''), '[0-9]+'))::INT AS numbers, '' AS blank FROM (SELECT *, length(substr(regexp_replace(lower(regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g')), '[^0-9a-z一-鿿+#.]', '', 'g'), 1, 12000)) AS n FROM documents)",
     ),
     "date_functions": (
         _dates,

@@ -193,15 +193,23 @@ def test_versions(spark):
 
 
 def test_snapshot_store(spark, tmp_path):
-    store = versions.SnapshotStore(str(tmp_path / "s"))
+    store = versions.SnapshotStore(spark, str(tmp_path / "s"))
     a, b = spark.range(3), spark.range(5)
     one = store.publish({"t": a})
-    assert store.publish({"t": a}) == one and store.read(spark, "t").count() == 3
+    assert store.publish({"t": a}) == one and store.read("t").count() == 3
     store.publish({"t": b})
-    assert store.read(spark, "t").count() == 5
-    assert store.rollback() == one and store.read(spark, "t").count() == 3
+    assert store.read("t").count() == 5
+    assert store.rollback() == one and store.read("t").count() == 3
     with pytest.raises(RuntimeError):
         store.rollback()
+    seen = store.status()["version"]
+    store.publish({"t": b}, seen)
+    with pytest.raises(RuntimeError):
+        store.publish({"t": a}, seen)  # the pointer has moved since
+    store.deactivate()
+    with pytest.raises(RuntimeError):
+        store.read("t")
+    assert versions.fingerprint(a) == versions.fingerprint(spark.range(3).orderBy(F.desc("id"))) != versions.fingerprint(b)
 
 
 def test_ingest(spark, tmp_path):
