@@ -77,6 +77,83 @@ def top_k(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: int, le
     return part.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
 
 
+def cell_centres(rows: DataFrame, key: str, vector: str, cells: int, sample: int = 20_000, rounds: int = 8) -> np.ndarray:
+    """Centres of ``cells`` cells by k-means on at most ``sample`` rows, drawn by a hash of their key."""
+    n = rows.count()
+    drawn = rows.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < min(1_000_000, 1_200_000 * sample // max(n, 1) + 1)).select(key, vector).limit(sample).collect()
+    v = np.array([r[vector] for r in sorted(drawn, key=lambda r: r[key])], np.float64)
+    if not len(v):
+        return v.reshape(0, 1)
+    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
+    centres = v[np.linspace(0, len(v) - 1, min(cells, len(v))).astype(int)]
+    for _ in range(rounds):
+        own = (v @ centres.T).argmax(axis=1)
+        total = np.zeros_like(centres)
+        np.add.at(total, own, v)
+        used = np.linalg.norm(total, axis=1) > 0
+        centres[used] = total[used] / np.linalg.norm(total[used], axis=1, keepdims=True)
+    return centres
+
+
+def nearest_by_cells(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: int, *, cells: int = 256, probes: int = 64, least: float = 0.0) -> DataFrame:
+    """As ``top_k``, by an inverted index of cells: each row lies in the cell of its nearest centre, and a query looks into ``probes`` cells.
+
+    All rows are indexed, and neighbours in other cells are missed: recall is measured
+    in the tests (0.9 at least) and rises with ``probes``.  A cell with many rows falls
+    into blocks, of which each meets the cell's queries, so no cell is one task.  The
+    centres are a table of ``cells`` rows, whatever the input; cells of about
+    ``BLOCK`` rows, that is ``cells`` in proportion to the rows, keep the work linear.
+    """
+    spark, kind = rows.sparkSession, dict(rows.dtypes)[key]
+    centres = spark.sparkContext.broadcast(cell_centres(rows, key, vector, cells).astype(np.float32))
+
+    def placed(df: DataFrame, most: int) -> DataFrame:
+        @F.pandas_udf(T.ArrayType(T.IntegerType()))
+        def near(vectors: pd.Series) -> pd.Series:
+            v = np.stack(vectors.to_list()).astype(np.float32)
+            return pd.Series(list(np.argsort(-(v @ centres.value.T), axis=1, kind="stable")[:, :most].astype(np.int32)))
+
+        return df.select(F.col(key).alias("key"), F.col(vector).alias("v"), F.explode(near(F.col(vector))).alias("cell"))
+
+    index = placed(rows, 1)
+    sizes = index.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))  # a row a cell
+    right = index.join(F.broadcast(sizes), "cell").select("cell", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("part"), F.lit(1).alias("side"), "key", "v")
+    left = placed(queries, probes).join(F.broadcast(sizes), "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.lit(0).alias("side"), "key", "v")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held = None, None
+
+        def met(q: pd.DataFrame) -> pd.DataFrame:
+            a = np.stack(q["v"].to_list()).astype(np.float64)
+            a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-300)
+            s = np.round(np.clip(a @ held[1].T, 0, 1), 9)
+            s[q["key"].to_numpy()[:, None] == held[0][None, :]] = -1
+            best = np.argsort(-s, axis=1, kind="stable")[:, :k]
+            at = np.repeat(np.arange(len(q)), best.shape[1])
+            found = s[at, best.ravel()]
+            return pd.DataFrame({"query": q["key"].to_numpy()[at], "neighbour": held[0][best.ravel()], "similarity": found})[found >= max(least, 0.0)]
+
+        for pdf in batches:
+            for cell, part in pdf[["cell", "part"]].drop_duplicates().itertuples(index=False):
+                own = pdf[(pdf["cell"] == cell) & (pdf["part"] == part)]
+                r, q = own[own["side"] == 1], own[own["side"] == 0]
+                if (cell, part) != now:
+                    now, held = (cell, part), None
+                if len(r):  # a block's rows come first and may span batches
+                    v = np.stack(r["v"].to_list()).astype(np.float64)
+                    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
+                    keys = r["key"].to_numpy()
+                    held = (keys, v) if held is None else (np.concatenate([held[0], keys]), np.concatenate([held[1], v]))
+                for i in range(0, len(q), BLOCK):
+                    if held is not None:
+                        yield met(q.iloc[i : i + BLOCK])
+
+    both = right.union(left).repartition("cell", "part").sortWithinPartitions("cell", "part", F.desc("side"), "key")
+    part = both.mapInPandas(run, f"query {kind}, neighbour {kind}, similarity double")
+    w = Window.partitionBy("query").orderBy(F.col("similarity").desc(), "neighbour")
+    return part.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
+
+
 def mutual(neighbours: DataFrame) -> DataFrame:
     """Pairs ``a < b`` that are among each other's neighbours."""
     back = neighbours.select(F.col("query").alias("neighbour"), F.col("neighbour").alias("query"))

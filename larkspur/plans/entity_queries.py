@@ -47,6 +47,11 @@ def neighbours(s, d, k=10):
     return S.top_k(e, e, "vec_id", "embedding", k)
 
 
+def neighbours_by_cells(s, d, k=10):
+    e = A.table(s, d, "embeddings")
+    return S.nearest_by_cells(e, e, "vec_id", "embedding", k)
+
+
 def _rounded_knn(df):
     return df.select("query", "neighbour", F.round("similarity", 6).alias("similarity"))
 
@@ -157,6 +162,7 @@ QUERIES = {
     "title_clusters": (_title_clusters, None),
     "capped_clusters": (_capped, None),
     "cosine_topk": (lambda s, d: neighbours(s, d).select("query", "rank", F.round("similarity", 5).alias("similarity")), "SELECT query, rank, round(similarity, 5) AS similarity FROM knn"),
+    "ann_topk": (lambda s, d: neighbours_by_cells(s, d).select("query", "neighbour", "rank", F.round("similarity", 5).alias("similarity")), None),
     "mutual_knn": (lambda s, d: S.mutual(neighbours(s, d)).select("a", "b"), "SELECT x.query AS a, x.neighbour AS b FROM knn x JOIN knn y ON x.query = y.neighbour AND x.neighbour = y.query WHERE x.query < x.neighbour"),
     "prototype_score": (
         _prototypes,

@@ -93,6 +93,25 @@ def test_selection_by_relevance_and_novelty(spark, sf, vectors):
         assert [got[label][k] for k in sorted(got[label])] == chosen
 
 
+def test_recall_of_cells(spark, sf, vectors):
+    """Against all pairs, at the query's parameters and with cells so large that they fall into blocks."""
+    from larkspur.operators import similarity
+
+    ids = sorted(vectors)
+    v = np.stack([vectors[i][1] for i in ids])
+    like = np.round(np.clip(v @ v.T, 0, 1), 9)
+    np.fill_diagonal(like, -1)
+    expected = {(ids[i], ids[j]) for i, row in enumerate(like) for j in np.argsort(-row, kind="stable")[:10]}
+    e = spark.read.parquet(f"{sf}/embeddings.parquet")
+    for got in (rows_of(spark, sf, "ann_topk"), similarity.nearest_by_cells(e, e, "vec_id", "embedding", 10, cells=16, probes=12).collect()):
+        assert len({(r.query, r.neighbour) for r in got} & expected) >= 0.9 * len(expected)
+        assert all(abs(r.similarity - like[ids.index(r.query), ids.index(r.neighbour)]) < 1e-5 for r in got[:500])
+    copies = e.where("vec_id < 3").withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(1500)))).select((F.col("vec_id") * 10_000 + F.col("n")).alias("vec_id"), "embedding")
+    got = similarity.nearest_by_cells(copies.where("vec_id % 1000 = 7"), copies, "vec_id", "embedding", 3, cells=2, probes=2).collect()
+    assert len(got) == 6 * 3 and all(r.similarity > 0.999999 for r in got)
+    assert similarity.nearest_by_cells(e.limit(0), e, "vec_id", "embedding", 3).count() == 0 == similarity.nearest_by_cells(e, e.limit(0), "vec_id", "embedding", 3).count()
+
+
 def test_redundancy(spark, sf, vectors):
     got = {r.vec_id for r in rows_of(spark, sf, "redundancy_filter")}
     kept = defaultdict(list)
