@@ -165,3 +165,27 @@ def normalization_status(rows: DataFrame, key: str, mapped: Column) -> DataFrame
     flags = rows.groupBy(key).agg(F.bool_or(mapped).alias("_yes"), F.bool_or(~mapped).alias("_no"))
     status = F.when(F.col("_yes") & F.col("_no"), "MIXED_STANDARDIZED_AND_RAW").when(F.col("_yes"), "STANDARDIZED_CONCEPT").otherwise("RAW_SKILL_FALLBACK")
     return flags.select(key, status.alias("status"))
+
+
+def with_top_skills(registry: DataFrame, role_skills: DataFrame, role: str, skill: str, score: str, most: int = 20) -> DataFrame:
+    """``registry`` with ``skills``, each role's ``most`` best in order; roles without any have an empty list."""
+    w = Window.partitionBy(role).orderBy(F.col(score).desc(), skill)
+    top = role_skills.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most)
+    lists = top.groupBy(role).agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", skill))), lambda x: x[skill]).alias("skills"))
+    return registry.join(lists, role, "left").withColumn("skills", F.coalesce("skills", F.array().cast("array<string>")))
+
+
+def corrected(df: DataFrame, column: str, rules: list[tuple[str, Column, str]]) -> DataFrame:
+    """``df`` with ``column`` set by the first rule (``reason, applies, value``) that applies, the old value in ``<column>_before`` and ``reason``."""
+    value, reason = F.col(column), F.lit(None).cast("string")
+    for name, applies, new in reversed(rules):
+        yes = F.coalesce(applies, F.lit(False)) & (F.col(column) != new)
+        value, reason = F.when(yes, new).otherwise(value), F.when(yes, name).otherwise(reason)
+    return df.select("*", F.col(column).alias(f"{column}_before"), value.alias("_new"), reason.alias("reason")).withColumn(column, F.col("_new")).drop("_new")
+
+
+def registry_of(decisions: DataFrame, name: str, alias: str, approved: Column) -> DataFrame:
+    """``name, aliases, decisions`` of the approved decisions: a registry of controlled names, each with its distinct other names."""
+    rows = decisions.where(approved)
+    other = F.when(F.col(alias) != F.col(name), F.col(alias))
+    return rows.groupBy(name).agg(F.array_sort(F.collect_set(other)).alias("aliases"), F.count("*").alias("decisions"))

@@ -144,3 +144,21 @@ def validation(postings: DataFrame, mentions: DataFrame, skills: DataFrame) -> D
         .union(row("posting_without_mention", postings.join(mentions, "jd_id", "left_anti"), n))
         .union(row("confidence_out_of_range", mentions, F.count(F.when(~F.col("confidence").between(0, 1), 1))))
     )
+
+
+def with_history(decisions: DataFrame, keys: list[str], order: list[str], shown: str, most: int = 20) -> DataFrame:
+    """The latest decision of each of ``keys`` and ``history``: ``shown`` of its last ``most``, newest first."""
+    w = Window.partitionBy(*keys).orderBy(*(F.col(c).desc() for c in order))
+    last = decisions.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most)
+    lists = last.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", shown))), lambda x: x[shown]).alias("history"))
+    return last.where("_n = 1").drop("_n").join(lists, keys)
+
+
+def cluster_summary(members: DataFrame, cluster: str, columns: list[str], top: int) -> DataFrame:
+    """``cluster``, its size, and for each of ``columns`` the ``top`` most frequent values, joined by a bar."""
+    out = members.groupBy(cluster).agg(F.count("*").alias("size"))
+    for c in columns:
+        best = top_values(members, [cluster], c, top)
+        lists = best.groupBy(cluster).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("value_rank", F.col(c).alias("_v")))), lambda x: x["_v"]), "|").alias(f"top_{c}"))
+        out = out.join(lists, cluster, "left")
+    return out

@@ -16,6 +16,7 @@ from larkspur.operators import evidence as EV
 from larkspur.operators import evolution as E
 from larkspur.operators import matching as M
 from larkspur.operators import review as R
+from larkspur.operators import serve as SV
 from larkspur.operators import similarity as S
 from larkspur.plans import adapters as A
 from larkspur.plans import evolution_queries as EQ
@@ -235,7 +236,53 @@ def _closed(s, d):
     return r.crossJoin(F.broadcast(span)).select("month", E.closed_month(F.col("month"), F.col("lo"), F.col("hi")).alias("closed"))
 
 
+def _top_skills(s, d):
+    registry = A.postings(s, d).select("role").distinct()
+    counts = A.mentions(s, d).join(A.postings(s, d).select("jd_id", "role"), "jd_id").groupBy("role", "skill_id").agg(F.count("*").alias("n"))
+    return C.with_top_skills(registry, counts, "role", "skill_id", "n").select("role", F.array_join("skills", "|").alias("skills"))
+
+
+def _corrected(s, d):
+    p = A.postings(s, d).select("jd_id", "role", "level", "industry")
+    return C.corrected(p, "role", [("level", F.col("level") == "P", "OPEN"), ("industry", F.col("industry").startswith("B"), "5-LOW")])
+
+
+def _registry(s, d):
+    p = A.postings(s, d)
+    return C.registry_of(p, "role", "industry", F.col("level") == "F").select("role", F.array_join("aliases", "|").alias("aliases"), "decisions")
+
+
+def _history(s, d):
+    rows = A.versions(s, d).select("raw_uid", "observed_epoch", "seq", "event_type")
+    return SV.with_history(rows, ["raw_uid"], ["observed_epoch", "seq"], "event_type").select("raw_uid", "seq", F.array_join("history", ",").alias("history"))
+
+
+def _summary(s, d):
+    return SV.cluster_summary(A.postings(s, d), "industry", ["location", "role"], 3)
+
+
 QUERIES = {
+    "registry_skills": (
+        _top_skills,
+        "SELECT role, string_agg(skill_id, '|' ORDER BY k) AS skills FROM (SELECT *, row_number() OVER (PARTITION BY role ORDER BY n DESC, skill_id) AS k FROM (SELECT role, skill_id, count(*) AS n FROM mentions JOIN (SELECT jd_id, role FROM postings) USING (jd_id) GROUP BY ALL)) WHERE k <= 20 GROUP BY role",
+    ),
+    "audited_roles": (
+        _corrected,
+        "SELECT jd_id, role AS role_before, level, industry, CASE WHEN level = 'P' AND role <> 'OPEN' THEN 'OPEN' WHEN starts_with(industry, 'B') AND role <> '5-LOW' THEN '5-LOW' ELSE role END AS role, CASE WHEN level = 'P' AND role <> 'OPEN' THEN 'level' WHEN starts_with(industry, 'B') AND role <> '5-LOW' THEN 'industry' END AS reason FROM postings",
+    ),
+    "approved_registry": (
+        _registry,
+        "SELECT role, string_agg(DISTINCT industry, '|' ORDER BY industry) AS aliases, count(*) AS decisions FROM postings WHERE level = 'F' GROUP BY role",
+    ),
+    "decision_history": (
+        _history,
+        "SELECT raw_uid, max(seq) FILTER (k = 1) AS seq, string_agg(event_type, ',' ORDER BY k) AS history FROM (SELECT *, row_number() OVER (PARTITION BY raw_uid ORDER BY observed_epoch DESC, seq DESC) AS k FROM versions) WHERE k <= 20 GROUP BY raw_uid",
+    ),
+    "cluster_summary": (
+        _summary,
+        """SELECT industry, size, top_location, top_role FROM (SELECT industry, count(*) AS size FROM postings GROUP BY industry) JOIN (SELECT industry, string_agg(location, '|' ORDER BY k) AS top_location FROM (SELECT *, row_number() OVER (PARTITION BY industry ORDER BY n DESC, location) AS k FROM (SELECT industry, location, count(*) AS n FROM postings GROUP BY ALL)) WHERE k <= 3 GROUP BY industry) USING (industry)
+           JOIN (SELECT industry, string_agg(role, '|' ORDER BY k) AS top_role FROM (SELECT *, row_number() OVER (PARTITION BY industry ORDER BY n DESC, role) AS k FROM (SELECT industry, role, count(*) AS n FROM postings GROUP BY ALL)) WHERE k <= 3 GROUP BY industry) USING (industry)""",
+    ),
     "role_titles": (lambda s, d: _made_titles(s, d).select("p_partkey", T.role_title(F.col("title"), F.lit("none")).alias("role")), _role_title_sql()),
     "display_titles": (
         lambda s, d: A.table(s, d, "part").select("p_partkey", T.display_title(F.concat(F.lit(" java "), "p_name", F.lit(" devops"))).alias("title")),
