@@ -139,11 +139,14 @@ def snapshots(profiles: DataFrame, support: DataFrame) -> DataFrame:
 
 def evolution(profiles: DataFrame, support: DataFrame) -> DataFrame:
     """Skills that a profile gained, lost, strengthened or weakened since its predecessor."""
-    ids = support.join(profiles.select(*PROFILE, "profile_id"), PROFILE).select("profile_id", "skill_id", "adjusted_support")
-    links = profiles.where("previous_profile_id != ''").select(F.col("profile_id").alias("current_profile_id"), "previous_profile_id")
-    now = links.join(ids, F.col("current_profile_id") == F.col("profile_id")).select("current_profile_id", "previous_profile_id", "skill_id", F.col("adjusted_support").alias("current_support"))
-    then = links.join(ids, F.col("previous_profile_id") == F.col("profile_id")).select("current_profile_id", "previous_profile_id", "skill_id", F.col("adjusted_support").alias("previous_support"))
-    both = now.join(then, ["current_profile_id", "previous_profile_id", "skill_id"], "full_outer").fillna(0.0, ["current_support", "previous_support"])
+    w = Window.partitionBy("role", "industry", "level").orderBy("window_start")
+    links = profiles.withColumn("next_profile_id", F.lead("profile_id").over(w)).select(*PROFILE, "profile_id", "previous_profile_id", "next_profile_id")
+    # A row counts for its own profile, and as the past of the one that follows.
+    zero, value = F.lit(0.0), F.col("adjusted_support")
+    own = F.struct(F.col("profile_id").alias("c"), F.col("previous_profile_id").alias("p"), value.alias("now"), zero.alias("then"))
+    past = F.struct(F.col("next_profile_id").alias("c"), F.col("profile_id").alias("p"), zero.alias("now"), value.alias("then"))
+    rows = support.join(links, PROFILE).select("skill_id", F.explode(F.array(own, past)).alias("e")).where("e.c is not null and e.p != ''")
+    both = rows.groupBy(F.col("e.c").alias("current_profile_id"), F.col("e.p").alias("previous_profile_id"), "skill_id").agg(F.sum("e.now").alias("current_support"), F.sum("e.then").alias("previous_support"))
     both = both.withColumn("delta", F.round(F.col("current_support") - F.col("previous_support"), 6))
     after, before, delta = F.col("current_support"), F.col("previous_support"), F.col("delta")
     change = F.when((after >= 0.20) & (before < 0.10), "ADDED").when((before >= 0.20) & (after < 0.10), "REMOVED").when(delta >= 0.15, "STRENGTHENED").when(delta <= -0.15, "WEAKENED")
