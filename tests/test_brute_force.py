@@ -297,3 +297,18 @@ def test_titles_that_are_known(spark):
 def test_encodings():
     assert ingest.encoding_of("é".encode("utf-8-sig")) == "utf-8" and ingest.encoding_of("测".encode("utf-16")) == "utf-16"
     assert ingest.encoding_of("测试".encode("gb18030")) == "gb18030" and ingest.encoding_of("测试".encode()[:-1]) == "utf-8"
+
+
+def test_new_titles_and_their_gates(spark):
+    columns = "title string, historical_jds long, baseline_jds long, current_jds long, current_companies long, current_templates long, current_sources long"
+    stats = spark.createDataFrame([("old", 1, 0, 9, 9, 9, 9), ("rare", 0, 0, 1, 1, 1, 1), ("fresh", 0, 0, 3, 2, 2, 1), ("sure", 0, 0, 5, 4, 4, 3)], columns)
+    runs = spark.createDataFrame([("fresh", 1, 1), ("sure", 3, 2)], "title string, continuous_windows long, growth_windows long")
+    got = {r.title: (r.failed, r.passed) for r in discovery.candidates(stats, runs).collect()}
+    assert got == {"fresh": (["continuous", "growth", "sources"], False), "sure": ([], True)}
+
+
+def test_clusters_have_their_best_member_as_concept(spark):
+    groups = spark.createDataFrame([(1, 5), (2, 9), (3, 1), (4, 7)], "g int, jds int")
+    edges = spark.createDataFrame([(1, 2), (2, 3)], "a int, b int")
+    got = {r.g: r.concept for r in consolidation.clusters(groups, edges, "g", [-F.col("jds")]).collect()}
+    assert got == {1: 2, 2: 2, 3: 2, 4: 4}
