@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.llm import decontaminate, langid, ngram_join, packing, pii
@@ -22,9 +22,9 @@ LEAST_WORDS = 5
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Share of a document's words that its language needs.  Below it no language rules: an
-#: even mixture of four has 0.25 each.  A short clean text can be ambiguous and has 0.35.
-LEAST_SHARE = 0.3
+#: What a document's language needs beyond the share of an even mixture, at no length and
+#: besides at ``LONG`` characters or more: a short clean text can be ambiguous, a long one isn't.
+MARGIN, LONG_MARGIN, LONG = 0.05, 0.15, 300
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +40,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     names = unused("lang_pred", docs.columns), unused("score", docs.columns)
     found = langid.predict(docs, model, keys=tuple(docs.columns), names=names)
     lang, score = map(F.col, names)
-    return found.where((lang != langid.UNKNOWN) & (score >= LEAST_SHARE)).withColumn("lang", lang).select(*docs.columns)
+    return found.where((lang != langid.UNKNOWN) & (score >= least_share(len(model.labels), F.length("text")))).withColumn("lang", lang).select(*docs.columns)
+
+
+def least_share(languages: int, characters: Column) -> Column:
+    """Share of its words that the language of a text of so many characters needs, of so many languages."""
+    return F.least(F.lit(0.95), 1 / languages + MARGIN + LONG_MARGIN * F.least(F.lit(1.0), characters / LONG))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
