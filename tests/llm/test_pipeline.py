@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from larkspur.llm import decontaminate, langid, ngram_join, packing, pii, registry
@@ -65,6 +66,23 @@ def test_stages(spark, sf):
     assert pieces == expected
 
 
+def test_mixtures_go_and_clean_texts_stay(spark):
+    """Long texts of stretches in all languages are rejected, long and short texts in one are not."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.where("length(text) between 400 and 3000 and lang is not null").orderBy("doc_id").collect()
+    words = {}
+    for r in rows:
+        words.setdefault(r.lang, []).extend(r.text.split())
+    mixed = [" ".join(w for part in range(3) for x in sorted(words) for w in words[x][k * 150 + part * 20 : k * 150 + part * 20 + 20]) for k in range(10)]
+    short = [(-100 - i, " ".join(words[x][i * 9 : i * 9 + 8]), x) for x in sorted(words) for i in range(10)]
+    extra = [(-1 - i, t, "en", "s", len(t)) for i, t in enumerate(mixed)] + [(i, t, x, "s", len(t)) for i, t, x in short]
+    given = docs.union(spark.createDataFrame(extra, docs.schema))
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, given, "").collect()}
+    assert kept.isdisjoint(range(-10, 0))
+    assert sum(i in kept for i, _, _ in short) >= len(short) - 1
+    assert sum(r.doc_id in kept for r in rows) >= 0.995 * len(rows)
+
+
 def test_columns_that_clash(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(40).selectExpr("*", "0.5 score", "'x' lang_pred", "doc_id component_id", "'y' _text", "1 spans")
     for name, stage in corpus_pipeline.STAGES[:-1]:
@@ -81,7 +99,8 @@ def _shingles(text):
 def _mixed(df):
     """Rows in which no language rules."""
     model = langid.train(langid.training_rows(df.where(~registry.held_out("doc_id"))))
-    return {r.doc_id for r in langid.predict(df, model).where(f"score < {corpus_pipeline.LEAST_SHARE}").collect()}
+    found = langid.predict(df, model, keys=("doc_id", "text"))
+    return {r.doc_id for r in found.where(F.col("score") < corpus_pipeline.least_share(len(model.labels), F.length("text"))).collect()}
 
 
 def test_run(spark, sf):
