@@ -11,15 +11,14 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import sub_batches, text_or_empty, written
+from larkspur.llm.common import BROADCAST_IDS, sub_batches, text_or_empty, written
 from larkspur.llm.tokens import tokenizer
 
 
@@ -64,11 +63,15 @@ def pack(docs: DataFrame, tokenizer_path: str, *, sequence_length: int = 2048, e
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.binary() if k == "ids" else pa.int32() if k in ("bucket", "task", "id_bytes") else pa.int64()) for k, v in out.items()], names=list(out))
 
     pieces = written(rows.mapInArrow(cut, "doc_id long, start long, length long, doc_tokens long, bucket int, task int, nth long, id_bytes int, ids binary"), "pieces", ["bucket"])
-    # One row for each bucket and task of the writing job, whatever the input holds.
-    sizes = sorted(pieces.groupBy("bucket", "task").count().collect())
-    bases = [(r.bucket, r.task, base) for r, base in zip(sizes, accumulate((r["count"] for r in sizes), initial=0), strict=False)]
-    base = docs.sparkSession.createDataFrame(bases, "bucket int, task int, base long")
-    return pieces.join(F.broadcast(base), ["bucket", "task"]).select("doc_id", "start", "length", "doc_tokens", "bucket", (F.col("base") + F.col("nth")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), "id_bytes", "ids")
+    # A row for each bucket and task of the writing job; buckets one after another, tasks within.
+    counts = pieces.groupBy("bucket", "task").agg(F.count("*").alias("n"))
+    own = Window.partitionBy("bucket").orderBy("task").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = written(counts.select("bucket", "task", "n", (F.sum("n").over(own) - F.col("n")).alias("before")), "sizes")
+    totals = sizes.groupBy("bucket").agg(F.sum("n").alias("total"))  # a row a bucket, of which there are few
+    earlier = totals.alias("a").join(F.broadcast(totals.alias("b")), F.col("b.bucket") < F.col("a.bucket"), "left").groupBy("a.bucket").agg(F.coalesce(F.sum("b.total"), F.lit(0)).alias("first"))
+    base = sizes.join(F.broadcast(earlier), "bucket").select("bucket", "task", (F.col("first") + F.col("before")).alias("base"))
+    base = F.broadcast(base) if sizes.count() <= BROADCAST_IDS else base
+    return pieces.join(base, ["bucket", "task"]).select("doc_id", "start", "length", "doc_tokens", "bucket", (F.col("base") + F.col("nth")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), "id_bytes", "ids")
 
 
 def with_crc32(pieces: DataFrame) -> DataFrame:
