@@ -48,7 +48,7 @@ ALL_PAIRS = 10
 #: Second documents of one first document that are verified by one task.
 GROUP = 64
 #: Sets, and shingles, on a side of a block in the comparison of larger groups.
-BLOCK, BLOCK_SHINGLES = 2000, 1_000_000
+BLOCK, BLOCK_SHINGLES = 500, 1_000_000
 SID_BITS, KEY_BITS = 40, 40
 #: Seeds after which a set that is still short of credits is indexed by its elements.
 SEEDS = 60
