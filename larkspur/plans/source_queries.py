@@ -100,7 +100,7 @@ def _store(s, d):
 
 def _problems(s, d):
     p, m = A.postings(s, d), A.mentions(s, d)
-    tables = {"postings": p, "mentions": m.withColumn("jd_id", F.when(F.col("seq") == 2, -F.col("jd_id")).otherwise(F.col("jd_id"))), "roles": p.select(F.col("role").alias("name"))}
+    tables = {"postings": p, "mentions": m.withColumn("jd_id", F.when(F.col("seq") == 2, -F.col("jd_id") - 1).otherwise(F.col("jd_id"))), "roles": p.select(F.col("role").alias("name"))}
     return V.problems(tables, {"postings": ["jd_id"], "roles": ["name"]}, [("mentions", "jd_id", "postings", "jd_id")], {"mentions": F.col("confidence") >= 0.95})
 
 
