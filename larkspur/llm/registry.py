@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import decontaminate, html, langid, ngram_join, packing, pii, secrets, spans, tiff, token_files, url_filter
+from larkspur.llm import decontaminate, html, langid, ngram_join, packing, pii, prefix_trie, secrets, spans, tiff, token_files, url_filter
 from larkspur.llm.common import new_path, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -69,6 +69,14 @@ def op10_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+#: Fixed values of the contract: whose first turns a conversation takes over, and below how many.
+SHARED_EVERY, SHARED_MOST = 5, 9
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), every=SHARED_EVERY, most=SHARED_MOST)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -80,7 +88,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_cgk": op8_benchmark_cgk,
     "op9_token_files": op9_token_files,
     "op10_tag_paths": op10_tag_paths,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 #: DuckDB SQL; a query that SQL cannot express is tested in tests/llm instead.
-ORACLE_SQL: dict[str, str] = {"op4_url_templates": url_filter.judge_sql(URL_RULES)}
+ORACLE_SQL: dict[str, str] = {
+    "op4_url_templates": url_filter.judge_sql(URL_RULES),
+    "op11_prefix_trie": prefix_trie.prefix_trie_sql(SHARED_EVERY, SHARED_MOST),
+}
