@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import decontaminate, html, langid, ngram_join, packing, pii, prefix_trie, secrets, spans, tiff, token_files, url_filter
+from larkspur.llm import decontaminate, fim, html, langid, ngram_join, packing, pii, prefix_trie, secrets, spans, tiff, token_files, url_filter
 from larkspur.llm.common import new_path, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -77,6 +77,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), every=SHARED_EVERY, most=SHARED_MOST)
 
 
+def op12_fim_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -89,10 +93,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_tag_paths": op10_tag_paths,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_fim_scatter": op12_fim_scatter,
 }
 
 #: DuckDB SQL; a query that SQL cannot express is tested in tests/llm instead.
 ORACLE_SQL: dict[str, str] = {
     "op4_url_templates": url_filter.judge_sql(URL_RULES),
     "op11_prefix_trie": prefix_trie.prefix_trie_sql(SHARED_EVERY, SHARED_MOST),
+    "op12_fim_scatter": fim.transform_sql(),
 }
