@@ -8,10 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import decontaminate, fim, html, langid, ngram_join, packing, pii, prefix_trie, secrets, spans, tiff, token_files, url_filter
+from larkspur.llm import byte_bpe, decontaminate, fim, html, langid, ngram_join, packing, pii, prefix_trie, secrets, spans, tiff, token_files, url_filter
 from larkspur.llm.common import new_path, table
 
-TOKENIZER = "word_bpe_49k.json"
+TOKENIZER, RANKS = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +81,11 @@ def op12_fim_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path(RANKS)
+    return byte_bpe.digests(byte_bpe.encode(table(spark, sf_dir, "documents"), ranks), ranks)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_tag_paths": op10_tag_paths,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_fim_scatter": op12_fim_scatter,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 #: DuckDB SQL; a query that SQL cannot express is tested in tests/llm instead.
