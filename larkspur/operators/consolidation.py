@@ -134,45 +134,6 @@ def without_synonyms(selected: DataFrame, role: str, category: str, item: str, n
     return rows.groupBy(role).applyInPandas(run, schema)
 
 
-def centroid_clusters(edges: DataFrame, nodes: DataFrame, block: str, *, most: int = 60, least: float = 0.80) -> DataFrame:
-    """``block, node, cluster`` by unions in order of falling ``score`` that keep families apart and each member near the centroid.
-
-    ``edges`` has ``block, a, b, score``, ``nodes`` has ``block, node, family`` (null: none
-    known) and ``vector``.  A union is refused if its cluster would hold more than
-    ``most``, two families, or a member whose cosine to the centroid is below ``least``.
-    The order of the unions decides, so a block is one task and must fit into memory.
-    """
-    kinds = dict(nodes.dtypes)
-
-    def run(key: tuple, links: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        own = own.sort_values("node").reset_index(drop=True)
-        at = {n: i for i, n in enumerate(own["node"])}
-        v = np.stack(own["vector"].to_list()).astype(float) if len(own) else np.zeros((0, 1))
-        v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-        family = [{f} - {None} for f in own["family"].astype(object).where(own["family"].notna(), None)]
-        of, members = list(range(len(own))), {i: [i] for i in range(len(own))}
-        for r in links.sort_values(["score", "a", "b"], ascending=[False, True, True]).itertuples():
-            if r.a not in at or r.b not in at or of[at[r.a]] == of[at[r.b]]:
-                continue
-            x, y = of[at[r.a]], of[at[r.b]]
-            both, kin = members[x] + members[y], family[x] | family[y]
-            if len(both) > most or len(kin) > 1:
-                continue
-            centre = v[both].mean(axis=0)
-            norm = np.linalg.norm(centre)
-            if norm <= 1e-12 or (v[both] @ centre).min() / norm < least:
-                continue
-            if (len(members[y]), -y) > (len(members[x]), -x):
-                x, y = y, x
-            members[x], family[x] = both, kin
-            for i in members.pop(y):
-                of[i] = x
-        lowest = {root: own["node"].iloc[min(m)] for root, m in members.items()}
-        return pd.DataFrame({block: [key[0]] * len(own), "node": own["node"], "cluster": [lowest[r] for r in of]})
-
-    return edges.groupBy(block).cogroup(nodes.groupBy(block)).applyInPandas(run, f"{block} {kinds[block]}, node {kinds['node']}, cluster {kinds['node']}")
-
-
 def blocked_pairs(df: DataFrame, key: str, blocks: Column, accept=None) -> DataFrame:
     """``a < b`` that share one of ``blocks`` (an array of keys); ``accept`` takes the pairs and returns those to keep.
 

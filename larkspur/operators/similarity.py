@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.functions.stats import cosine
-
-#: Rows of a block of the product; bounds a task's memory whatever the table.
-BLOCK = 1024
+from larkspur.operators.blocks import BLOCK, meet
+from larkspur.operators.greedy import REST, independent
+from larkspur.session import written
 
 
 def hashed_vector(text: str, dims: int = 384) -> list[float]:
@@ -208,12 +209,91 @@ def mmr(df: DataFrame, keys: list[str], item: str, score: str, vector: str, quot
     return best.select(*keys, item, score, vector).groupBy(*keys).applyInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in (*keys, item, score)) + ", mmr_rank long")
 
 
-def without_redundant(df: DataFrame, keys: list[str], item: str, score: str, vector: str, least: float = 0.95) -> DataFrame:
-    """In order of score, an item goes if a kept one of its group is as similar as ``least``; every item is decided.
+def without_redundant(df: DataFrame, keys: list[str], item: str, score: str, vector: str, least: float = 0.95, rest: int = REST) -> DataFrame:
+    """In order of falling score, then of item, an item goes if a kept one of its group is as similar as ``least``; every item is decided.
 
-    The order decides, so a group is one task.  It streams its rows in blocks, multiplies
-    each with blocks of what is kept, and holds the kept vectors alone in memory.
+    ``greedy.independent`` over a join by angles: rows lie in the cell of their nearest
+    centre; as angles are a metric, a row needs to look only into cells whose centre is no
+    farther than the cell's radius and the angle of ``least``.  Nothing is missed.  A cell
+    of a group is compared in blocks.  Of equal vectors of a group only the first is
+    looked at, as it stands for the others.  A null score comes last.
     """
+    if not 0 < least < 1:
+        raise ValueError("least must lie between 0 and 1")
+    spark = df.sparkSession
+    columns = [*keys, item, score]
+    group = F.concat_ws("\x1f", *(F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys))
+    place = F.when(F.col(score).isNull(), float("inf")).when(F.isnan(F.col(score).cast("double")), float("-inf")).otherwise(-F.col(score).cast("double"))
+    rows = df.select(F.struct(*columns).alias("_row"), F.monotonically_increasing_id().alias("_id"), group.alias("_g"), place.alias("_at"), F.col(item).alias("_item"), F.col(vector).cast("array<double>").alias("v"))
+    rows = written(rows, "vectors")
+    same = ["_g", F.xxhash64("v"), F.xxhash64(F.lit(1), "v")]
+    some = F.exists("v", lambda x: x != 0)
+    first = rows.where(some).groupBy(*same).agg(F.min(F.struct("_at", "_item", "_id")).alias("f")).select(F.col("f._id").alias("_id"))
+    rows = rows.join(first, "_id", "left_semi").unionByName(rows.where(~some))
+    rows = written(rows, "distinct")
+
+    angle, n = float(np.arccos(least)), rows.count()
+    made = cell_centres(rows, "_id", "v", min(MOST_CELLS, max(1, -(-n // BLOCK))))
+    centres = spark.sparkContext.broadcast(made)
+    placed = rows.select("*", _cell(centres)("v").alias("c")).select("*", "c.cell", "c.angle").drop("c")
+    placed = written(placed, "placed")
+    radius = np.full(max(1, len(made)), -np.inf)
+    for r in placed.groupBy("cell").agg(F.max("angle").alias("r")).collect():  # a row a cell
+        radius[r.cell] = r.r
+    reached = _reached(centres, spark.sparkContext.broadcast(radius), angle + 1e-6)
+
+    def compare(homes: pd.DataFrame, visitors: pd.DataFrame) -> pd.DataFrame:
+        a, b = (np.stack(x["v"].to_list()).astype(float) for x in (visitors, homes))
+        a, b = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12) for x in (a, b))
+        like = a @ b.T >= least
+        at, item_, id_ = ((visitors[c].to_numpy()[:, None], homes[c].to_numpy()[None]) for c in ("_at", "_item", "_id"))
+        earlier = (at[1] < at[0]) | ((at[1] == at[0]) & ((item_[1] < item_[0]) | ((item_[1] == item_[0]) & (id_[1] < id_[0]))))
+        return visitors.loc[(like & earlier).any(axis=1), ["_id"]]
+
+    need = ["_id", "_g", "_at", "_item", "v"]
+
+    def blocked(visitors: DataFrame, homes: DataFrame) -> DataFrame:
+        return meet(homes.select(*need, "cell"), visitors.select(*need, F.explode(reached("v")).alias("cell")), ["_g", "cell"], "_id", compare, "_id long")
+
+    def one_by_one(left: DataFrame) -> DataFrame:
+        kept = _one_by_one(left.select("_g", F.struct("_item", "_id").alias("_i"), (-F.col("_at")).alias("_s"), "v"), ["_g"], "_i", "_s", "v", least)
+        return left.join(kept.select("_i._id"), "_id", "left_semi")
+
+    return independent(placed, "_id", blocked, one_by_one, rest).select("_row.*")
+
+
+#: Cells of a join by angles; their centres and radii are broadcast.
+MOST_CELLS = 4096
+
+
+def _cell(centres: Broadcast) -> Callable:
+    @F.pandas_udf("cell int, angle double")
+    def cell(vectors: pd.Series) -> pd.DataFrame:
+        at = _angles(vectors, centres.value)
+        best = at.argmin(axis=1)
+        return pd.DataFrame({"cell": best.astype(np.int32), "angle": at[np.arange(len(at)), best]})
+
+    return cell
+
+
+def _reached(centres: Broadcast, radius: Broadcast, angle: float) -> Callable:
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def reached(vectors: pd.Series) -> pd.Series:
+        return pd.Series([np.flatnonzero(x).astype(np.int32) for x in _angles(vectors, centres.value) <= radius.value + angle])
+
+    return reached
+
+
+def _angles(vectors: pd.Series, centres: np.ndarray) -> np.ndarray:
+    """Angles between vectors and centres; without centres there is one cell, as near to all."""
+    if not len(centres):
+        return np.zeros((len(vectors), 1))
+    v = np.stack(vectors.to_list()).astype(float)
+    return np.arccos(np.clip(v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12) @ centres.T, -1, 1))
+
+
+def _one_by_one(df: DataFrame, keys: list[str], item: str, score: str, vector: str, least: float) -> DataFrame:
+    """``without_redundant`` as a loop: a group is one task, which holds the kept vectors."""
     kinds = dict(df.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -9,6 +9,7 @@ from larkspur.functions import text as X
 from larkspur.operators import cluster as CL
 from larkspur.operators import concepts as C
 from larkspur.operators import dedup as D
+from larkspur.operators import greedy as G
 from larkspur.operators import similarity as S
 from larkspur.operators import versions as V
 from larkspur.plans import adapters as A
@@ -93,7 +94,19 @@ def _title_clusters(s, d):
 
 def _capped(s, d):
     pairs = _rounded_knn(neighbours(s, d, 5)).where("query < neighbour").join(A.table(s, d, "embeddings").select(F.col("vec_id").alias("query"), F.col("label").alias("block")), "query")
-    return CL.capped(pairs.select("block", F.col("query").alias("a"), F.col("neighbour").alias("b"), F.col("similarity").alias("score")), "block", most=8)
+    return G.capped(pairs.select("block", F.col("query").alias("a"), F.col("neighbour").alias("b"), F.col("similarity").alias("score")), "block", most=8)
+
+
+def centroid_parts(s, d):
+    """Edges to the five nearest, and nodes of one block whose families are the labels; a seventh has none."""
+    e = A.table(s, d, "embeddings")
+    edges = _rounded_knn(neighbours(s, d, 5)).where("query < neighbour").select(F.lit("all").alias("block"), F.col("query").alias("a"), F.col("neighbour").alias("b"), F.col("similarity").alias("score"))
+    nodes = e.select(F.lit("all").alias("block"), F.col("vec_id").alias("node"), F.when(F.col("vec_id") % 7 != 0, F.col("label").cast("string")).alias("family"), F.col("embedding").alias("vector"))
+    return edges, nodes
+
+
+def _centroid(s, d):
+    return G.centroid_clusters(*centroid_parts(s, d), "block", most=60, least=0.6)
 
 
 def _mmr(s, d):
@@ -161,6 +174,7 @@ QUERIES = {
     "greedy_templates": (lambda s, d: D.greedy_templates(docs(s, d), "role", "doc_id", F.col("text")), None),
     "title_clusters": (_title_clusters, None),
     "capped_clusters": (_capped, None),
+    "centroid_clusters": (_centroid, None),
     "cosine_topk": (lambda s, d: neighbours(s, d).select("query", "rank", F.round("similarity", 5).alias("similarity")), "SELECT query, rank, round(similarity, 5) AS similarity FROM knn"),
     "ann_topk": (lambda s, d: neighbours_by_cells(s, d).select("query", "neighbour", "rank", F.round("similarity", 5).alias("similarity")), None),
     "mutual_knn": (lambda s, d: S.mutual(neighbours(s, d)).select("a", "b"), "SELECT x.query AS a, x.neighbour AS b FROM knn x JOIN knn y ON x.query = y.neighbour AND x.neighbour = y.query WHERE x.query < x.neighbour"),

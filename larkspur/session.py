@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -40,3 +40,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder below the one that all machines share, for what Spark writes and reads back."""
     root = spark.conf.get("spark.checkpoint.dir", None) or with_checkpoints(spark).sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: cuts the lineage, and all that the optimizer has derived from it.
+
+    In loops a ``checkpoint`` is no substitute: the constraints of its plan stay and multiply with each join.
+    """
+    path = scratch(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,9 +11,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from larkspur.operators import consolidation, discovery, review
+from larkspur.operators import consolidation, discovery, greedy, review
 from larkspur.plans import catalog, entity_queries, evolution_queries, text_queries
 from larkspur.sources import ingest
+from tests.test_greedy import loop_unions
 
 
 def rows_of(spark, sf, name):
@@ -53,7 +54,7 @@ def test_near_duplicates_and_clusters(spark, sf, documents):
     """A pair found is as alike as it says, equal texts are always found, and every document has its cluster."""
     found = {(r.a, r.b) for r in rows_of(spark, sf, "near_duplicates")}
     for a, b in found:
-        x, y = (normal(documents[i].text)[:12000] for i in (a, b))
+        x, y = (normal(documents[i].text) for i in (a, b))
         assert documents[a].lang == documents[b].lang and (x == y or difflib.SequenceMatcher(None, x, y, autojunk=False).ratio() >= 0.7)
     first = {}
     for i in sorted(documents):
@@ -138,6 +139,13 @@ def test_capped_clusters(spark, sf):
     assert got == {(block, i): min(s) for block, own in members.items() for i, s in own.items()}
 
 
+def test_centroid_cluster_query(spark, sf):
+    edges, nodes = (x.collect() for x in entity_queries.centroid_parts(spark, sf))
+    expected = loop_unions([tuple(r) for r in edges], {(r.block, r.node): (r.family, r.vector) for r in nodes}, 60, 0.6)
+    got = {(r.block, r.node): r.cluster for r in rows_of(spark, sf, "centroid_clusters")}
+    assert got == expected and len(set(expected.values())) < len(expected)
+
+
 def test_skill_changes(spark, sf):
     """p-values of the test that fits, corrected by role; the decision by effect and q-value."""
     effects = {(r.role, r.skill_id): r for r in evolution_queries.effects(spark, sf).collect()}
@@ -242,11 +250,11 @@ def test_templates(spark, sf, documents):
     of = {r.doc_id: lowest[documents[r.doc_id].lang, r.template] for r in got}
     first = {}
     for i in sorted(documents):
-        key = (documents[i].lang, normal(documents[i].text)[:12000])
+        key = (documents[i].lang, normal(documents[i].text))
         assert of[i] == of[first.setdefault(key, i)]
     for i, t in of.items():
-        x, y = normal(documents[i].text)[:12000], normal(documents[t].text)[:12000]
-        assert i == t or x == y or difflib.SequenceMatcher(None, x, y, autojunk=False).ratio() > 0.7
+        x, y = normal(documents[i].text), normal(documents[t].text)
+        assert i == t or x == y or difflib.SequenceMatcher(None, x, y, autojunk=False).ratio() >= 0.97
 
 
 def test_synonyms_across_categories(spark):
@@ -260,9 +268,9 @@ def test_centroid_clusters(spark):
     v = {1: [1.0, 0.0], 2: [0.95, 0.1], 3: [0.9, 0.3], 4: [0.0, 1.0], 5: [0.1, 1.0]}
     nodes = spark.createDataFrame([("x", i, "f" if i == 5 else None if i != 4 else "g", v[i]) for i in v], "block string, node int, family string, vector array<double>")
     edges = spark.createDataFrame([("x", 1, 2, 0.99), ("x", 2, 3, 0.95), ("x", 3, 4, 0.9), ("x", 4, 5, 0.98)], "block string, a int, b int, score double")
-    got = {r.node: r.cluster for r in consolidation.centroid_clusters(edges, nodes, "block").collect()}
+    got = {r.node: r.cluster for r in greedy.centroid_clusters(edges, nodes, "block").collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5}  # 3 and 4 are far from a common centroid, 4 and 5 of two families
-    assert {r.node: r.cluster for r in consolidation.centroid_clusters(edges, nodes, "block", most=2).collect()}[3] == 3
+    assert {r.node: r.cluster for r in greedy.centroid_clusters(edges, nodes, "block", most=2).collect()}[3] == 3
 
 
 def test_blocked_pairs(spark):

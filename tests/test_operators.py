@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larkspur.functions import text
-from larkspur.operators import cluster, concepts, dedup, domain, evidence, serve, similarity, versions
+from larkspur.operators import cluster, concepts, dedup, domain, evidence, greedy, serve, similarity, versions
 from larkspur.plans import catalog
 from larkspur.sources import ingest, sinks
 from larkspur.streaming import streams
@@ -40,7 +40,7 @@ def test_components_any_order(spark):
 
 def test_capped_union(spark):
     e = spark.createDataFrame([(1, 1, 2, 0.9), (1, 2, 3, 0.8), (1, 3, 4, 0.7)], "block int, a int, b int, score double")
-    got = {r.node: r.cluster for r in cluster.capped(e, "block", most=2).collect()}
+    got = {r.node: r.cluster for r in greedy.capped(e, "block", most=2).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 3}
 
 
@@ -86,8 +86,8 @@ def test_greedy_templates_of_all_documents(spark, sf):
     got = {r.doc_id: (r.role, r.template) for r in catalog.QUERIES["greedy_templates"](spark, sf).collect()}
     heads, expected = {}, {}
     for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.col("lang").alias("role"), text.normalize_text(F.col("text")).alias("t")).where("lang != 'en'").orderBy("doc_id").collect():
-        t, known = r.t[:10000], heads.setdefault(r.role, [])
-        h, best, at = _plain_simhash(r.t[:12000]) if t else 0, 0, len(known)
+        t, known = r.t, heads.setdefault(r.role, [])
+        h, best, at = _plain_simhash(t) if t else 0, 0, len(known)
         for c, (other, g) in enumerate(known):
             if (h ^ g).bit_count() <= 14 and any((h ^ g) >> p & 0xFF == 0 for p in range(0, 64, 8)):
                 m = difflib.SequenceMatcher(None, t, other, autojunk=False)
