@@ -6,9 +6,10 @@ of a path, text length, punctuation and link text are summed and set against the
 of blocks; so they are for the element that holds the block among others (its
 container).  The ratios are fused, each path's is smoothed over its container and the
 containers over their neighbours, and blocks whose score falls short of a share of the
-page's best are not content.  Blocks within what HTML or its usual class names set
-apart (menus, footers, forms, comments and the like) count in the sums, but are never
-content: prose of a reader's comment has the ratios of an article.
+page's best are not content.  Blocks within what HTML sets apart (menus, footers, forms)
+count in the sums, but are never content, and so are those within what its usual class
+names set apart: prose of a reader's comment has the ratios of an article.  A name is a
+weaker sign than an element: what holds most of a page's prose is not set apart by one.
 """
 
 from __future__ import annotations
@@ -37,6 +38,9 @@ ENDS = {"p": ("p",), "li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "d
 ENDS_P = frozenset(("address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "pre", "section", "table", "ul"))
 #: Words of class, id or role that set apart what isn't the article.
 MARKS = frozenset(("ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "captcha", "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "disqus", "footer", "gdpr", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"))
+#: Of these words, the ones of readers' comments, which may outweigh the article; and words after which a mark says what a page has, not what it is.
+COMMENTS = frozenset(("comment", "comments", "disqus", "replies"))
+HAVING = frozenset(("has", "have", "hide", "no", "not", "show", "with", "without"))
 PUNCTUATION = frozenset(".,;:!?。，；：！？、…")
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*(?:>|\Z)|<[A-Za-z][^>]*(?:>|\Z)""", re.S)
@@ -57,6 +61,18 @@ class Container:
     up: Container | None
 
 
+@dataclass(slots=True, eq=False)
+class Mark:
+    """An element whose name may set it apart; ``pure``: all its words are marks."""
+
+    names: str
+    pure: bool
+    comments: bool
+    up: Mark | None
+    apart: bool = True
+    prose: int = 0
+
+
 @dataclass(slots=True)
 class Block:
     path: int
@@ -65,6 +81,7 @@ class Block:
     apart: bool
     text: str
     link_chars: int
+    mark: Mark | None = None
 
 
 @dataclass(slots=True, frozen=True)
@@ -78,12 +95,51 @@ class _Open:
     apart: bool = False
     prime: bool = False
     link: bool = False
+    mark: Mark | None = None
 
 
-def _marked(attributes: str) -> bool:
+def _marked(attributes: str, up: Mark | None) -> Mark | None:
+    """The mark that an element's names give it, else that of the element around."""
     if "class" not in attributes and "id" not in attributes and "role" not in attributes and attributes.islower():
-        return False
-    return any(w in MARKS for m in _MARKED.finditer(attributes) for w in _WORD.findall(m[1].lower()))
+        return up
+    found, other, names = set(), False, []
+    for m in _MARKED.finditer(attributes):
+        before = ""
+        for w in _WORD.findall(m[1].lower()):
+            if w in MARKS and before not in HAVING:
+                found.add(w)
+            else:
+                other = True
+            before = w
+            names.append(w)
+    return Mark(" ".join(names), not other, not found.isdisjoint(COMMENTS), up) if found else up
+
+
+def _set_apart(found: list[Block], marks: list[Mark]) -> None:
+    """Which blocks their marks set apart: those within a marked element, unless elements of its names hold most of the page's prose.
+
+    That is text outside links that HTML doesn't set apart, in ``article`` and ``main`` if
+    there is any.  Pure marks of comments always hold.  Marks within others come later.
+    """
+    firm: dict[Mark, bool] = {}
+    for m in marks:
+        firm[m] = (m.pure and m.comments) or (m.up is not None and firm[m.up])
+    pool = [b for b in found if not b.apart and not (b.mark is not None and firm[b.mark])]
+    pool = [b for b in pool if b.prime] or pool
+    total, by_name = 0, Counter()
+    for b in pool:
+        prose = len(b.text) - b.link_chars
+        total += prose
+        if b.mark is not None:
+            b.mark.prose += prose
+    for m in reversed(marks):
+        by_name[m.names] += m.prose
+        if m.up is not None and m.up.names != m.names:  # what lies in two elements of one name counts once
+            m.up.prose += m.prose
+    for m in marks:
+        m.apart = firm[m] or 2 * by_name[m.names] <= total or (m.up is not None and m.up.apart)
+    for b in found:
+        b.apart = b.apart or (b.mark is not None and b.mark.apart)
 
 
 class _Reader:
@@ -94,6 +150,7 @@ class _Reader:
         self.stack = [_Open("", 0, Container(0, 0, True, None))]
         self.open: Counter[str] = Counter()  # how many of a tag are open: what isn't needn't be looked for
         self.paths: dict[tuple[int, str], int] = {}
+        self.marks: list[Mark] = []
         self.containers = 0
         self.parts: list[str] = []
         self.link_chars = 0
@@ -104,7 +161,7 @@ class _Reader:
             self.parts.clear()
             if text:
                 at = self.stack[-1]
-                self.out.append(Block(at.path, at.container, at.prime, at.apart, text, min(self.link_chars, len(text))))
+                self.out.append(Block(at.path, at.container, at.prime, at.apart, text, min(self.link_chars, len(text)), at.mark))
         self.link_chars = 0
 
     def text(self, piece: str) -> None:
@@ -114,10 +171,19 @@ class _Reader:
             if at.link:
                 self.link_chars += len(piece)
 
+    def marked(self, tag: str, attributes: str) -> Mark | None:
+        """The innermost mark within the new element; ``article`` and ``main`` are marked by nothing but pure marks."""
+        up = self.stack[-1].mark
+        mark = up if tag in ("html", "body") else _marked(attributes, up)
+        if mark is up or (tag in ("article", "main") and not mark.pure):
+            return up
+        self.marks.append(mark)
+        return mark
+
     def push(self, tag: str, attributes: str) -> None:
         up = self.stack[-1]
         if tag in INLINE:
-            new = replace(up, tag=tag, apart=up.apart or _marked(attributes), link=up.link or (tag == "a" and _HREF.search(attributes) is not None))
+            new = replace(up, tag=tag, mark=self.marked(tag, attributes), link=up.link or (tag == "a" and _HREF.search(attributes) is not None))
         else:
             named = _CLASS.search(attributes)
             path = self.paths.setdefault((up.path, f"{tag} {named[1].lower()}" if named else tag), len(self.paths) + 1)
@@ -125,8 +191,8 @@ class _Reader:
             if tag in CONTAINERS:
                 self.containers += 1
                 container = Container(self.containers, path, tag in ("html", "body"), up.container)
-            apart = up.apart or tag in APART or (tag == "header" and not up.prime) or (tag not in ("html", "body") and _marked(attributes))
-            new = _Open(tag, path, container, up.unshown or tag in UNSHOWN, apart, up.prime or tag in ("article", "main"), up.link)
+            apart = up.apart or tag in APART or (tag == "header" and not up.prime)
+            new = _Open(tag, path, container, up.unshown or tag in UNSHOWN, apart, up.prime or tag in ("article", "main"), up.link, self.marked(tag, attributes))
         self.stack.append(new)
         self.open[tag] += 1
 
@@ -192,6 +258,7 @@ def blocks(html: str) -> list[Block]:
                 page.push(tag, m[3])
     page.text(html[at:])
     page.flush()
+    _set_apart(page.out, page.marks)
     return page.out
 
 

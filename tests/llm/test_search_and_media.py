@@ -284,6 +284,31 @@ def test_ratios_on_small_pages(page, text):
     assert html.main_text(f"<html><body>{page}</body></html>") == text
 
 
+ARTICLE = "".join(f"<p>Paragraph {i} of the article, which goes on for a while, and then it ends.</p>" for i in range(6))
+FRAME = '<html><body><nav><a href=x>Home</a></nav>{}<div class="sidebar"><p>Other things, not of the article.</p></div><div class="comments"><p>' + "A reader says a lot, and more than the article does. " * 40 + "</p></div></body></html>"
+
+
+@pytest.mark.parametrize("element", [
+    '<div class="content">', '<div class="content with-sidebar">', '<div class="post-content no-ads">', '<div class="story share-enabled">', '<div class="article search-result">',
+    '<div class="page has-comments">', '<div class="notice-board-article">', '<article class="post has-related">', '<main id="main-with-sidebar" class="widget content">', '<div class="notice">',
+])
+def test_no_article_is_lost_to_a_name(element):
+    """Nor is a sidebar or a reader's comment kept, which here outweighs the article."""
+    text = "\n".join(f"Paragraph {i} of the article, which goes on for a while, and then it ends." for i in range(6))
+    tag = re.match(r"<(\w+)", element)[1]
+    assert html.main_text(FRAME.format(f"{element}{ARTICLE}</{tag}>")) == text
+    assert html.main_text(FRAME.format(f'<div id="wrap-sidebar">{element}<h1>Head</h1>{ARTICLE}<div class="share">Share it.</div></{tag}></div>')) == f"Head\n{text}"
+
+
+def test_articles_of_one_name_and_comments_in_articles():
+    many = "".join(f'<div class="story share-enabled">{ARTICLE}</div>' for _ in range(3))
+    assert html.main_text(f"<body>{many}</body>").count("Paragraph 5") == 3
+    cards = '<div class="related"><article class="card"><p>Another story, in short.</p></article></div>'
+    comments = '<section class="comments"><article class="comment"><p>' + "I think so, too. " * 99 + "</p></article></section>"
+    assert html.main_text(f"<body><article>{ARTICLE}</article>{cards}{comments}</body>").count("\n") == 5
+    assert html.main_text("<div class=ad>" * 20_000 + "x") in ("", "x")
+
+
 def test_ties_keep_all_in_page_order():
     assert html.main_text("<div><p>a b.</p><p>a b.</p></div>") == "a b.\na b."
 
