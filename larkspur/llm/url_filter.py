@@ -71,38 +71,73 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...], value) -> Colum
     return out
 
 
-def templates(counts: DataFrame, options: Options, depth: int) -> DataFrame:
+def templates(counts: DataFrame, options: Options) -> DataFrame:
     """``counts`` with each row's ``template``, an array of segments.
 
-    A level needs the one above it three times, so each is written once.
+    Only a parent with more than ``children`` children names any of them anew, so a row
+    goes straight to the first such parent on its path, over chains of whatever length;
+    what lies below it is known once its child is named.  A row without one is done, and
+    so are all rows of a branch with no more than ``children`` shapes.  The rounds are as
+    many as the most such parents on one path, and each reads every open row's segments.
     """
-    tree = counts.withColumn("segs", F.expr("slice(split(shape, '/'), 2, greatest(size(split(shape, '/')) - 1, 0))")).withColumn("template", F.array().cast("array<string>"))
-    for level in range(1, depth + 1):
-        tree = tree.withColumn("child", F.try_element_at("segs", F.lit(level)))
-        children = tree.where("child is not null").groupBy("host", "template", "child").agg(F.sum("n").alias("rows"))
-        parents = children.groupBy("host", "template").agg(F.count("*").alias("kids"), F.sum("rows").alias("all_rows"))
-        rare = (F.col("kids") > options.children) & (F.col("rows") < options.share * F.col("all_rows"))
-        named = salted_join(children, parents, ["host", "template"]).select("host", "template", "child", F.when(rare, "*").otherwise(F.col("child")).alias("name"))
-        tree = salted_join(tree, named, ["host", "template", "child"], "left")
-        tree = tree.withColumn("template", F.when(F.col("child").isNotNull(), F.concat("template", F.array("name"))).otherwise(F.col("template"))).drop("name", "child")
-        tree = written(tree, "tree")
-    return tree.drop("segs")
-
-
-def merged(whole: DataFrame, options: Options, depth: int) -> DataFrame:
+    segments = F.expr("slice(split(shape, '/'), 2, greatest(size(split(shape, '/')) - 1, 0))")
+    open_ = counts.select("*", segments.alias("segs"), F.array().cast("array<string>").alias("template"), F.lit(0).alias("level"))
+    done, branch, step = [], ["host", "template"], ["host", "template", "at", "above"]
+    while True:
+        shapes = open_.groupBy(*branch).agg(F.count("*").alias("shapes")).where(F.col("shapes") > options.children)
+        parts = F.posexplode(F.slice("segs", F.col("level") + 1, F.greatest(F.size("segs") - F.col("level"), F.lit(0)))).alias("i", "child")
+        # The parent of each open segment: how far down, and two hashes of what leads there from the branch.
+        path = F.concat_ws("/", F.slice("segs", F.col("level") + 1, F.col("i")))
+        below = salted_join(open_, shapes, branch, "left_semi").select("host", "shape", "n", "template", "segs", "level", parts)
+        below = below.select("host", "shape", "n", "template", (F.col("level") + F.col("i")).alias("at"), F.struct(F.xxhash64(path), F.xxhash64(F.lit(1), path)).alias("above"), "child")
+        children = below.groupBy(*step, "child").agg(F.sum("n").alias("rows"))
+        parents = children.groupBy(*step).agg(F.count("*").alias("kids"), F.sum("rows").alias("all_rows")).where(F.col("kids") > options.children)
+        rare = F.col("rows") < options.share * F.col("all_rows")
+        named = salted_join(children, parents, step).select(*step, "child", F.when(rare, "*").otherwise(F.col("child")).alias("name"))
+        first = salted_join(below, named, [*step, "child"]).groupBy("host", "shape").agg(F.min(F.struct("at", "name")).alias("first"))
+        tree = written(salted_join(open_, first, ["host", "shape"], "left"), "tree")
+        rest = F.slice("segs", F.col("level") + 1, F.greatest(F.size("segs") - F.col("level"), F.lit(0)))
+        done.append(tree.where("first is null").withColumn("template", F.concat("template", rest)).select(*counts.columns, "template"))
+        open_ = tree.where("first is not null")
+        if open_.isEmpty():
+            break
+        chain = F.slice("segs", F.col("level") + 1, F.col("first.at") - F.col("level"))
+        open_ = open_.withColumn("template", F.concat("template", chain, F.array("first.name"))).withColumn("level", F.col("first.at") + 1).drop("first")
+    out = done[0]
+    for more in done[1:]:
+        out = out.union(more)
+    return out
+
+
+def merged(whole: DataFrame, options: Options) -> DataFrame:
     """``host, template, grp`` and the counts of ``whole``: sibling branches that are alike share a group.
 
     Siblings are ordered by their share of rejections, and one begins a new group if it
     differs from the one before it.  A parent has no more children than ``options``
     allows, so a family is a few rows.  A group's merged segment is ``+`` and a number.
+    Levels go from the leaves up, in each host by itself, and only those at which two
+    branches with labels are siblings.
     """
-    rows = whole.withColumn("grp", F.col("template"))
-    for level in range(depth, 0, -1):
-
-        def with_segment(name: Column, level: int = level) -> Column:
-            return F.concat(F.slice("grp", 1, level - 1), F.array(name), F.slice("grp", F.lit(level + 1), F.size("grp") - level))
-
-        branches = rows.where(F.size("grp") >= level).groupBy("host", "grp").agg(F.sum("bad").alias("x"), F.sum("known").alias("k")).where("k > 0").withColumn("family", with_segment(F.lit("*")))
+    alone = whole.where("known = 0").withColumn("grp", F.col("template"))
+    rows = whole.where("known > 0").withColumn("grp", F.col("template")).withColumn("level", F.lit(1 << 30))
+
+    def with_segment(level: Column, name: Column) -> Column:
+        return F.concat(F.slice("grp", F.lit(1), level - 1), F.array(name), F.slice("grp", level + 1, F.size("grp") - level))
+
+    def siblings(level: Column) -> Column:
+        kin = F.to_json(with_segment(level, F.lit("*")))
+        return F.struct(F.xxhash64(kin), F.xxhash64(F.lit(1), kin))
+
+    while True:
+        branches = rows.groupBy("host", "grp", "level").agg(F.sum("bad").alias("x"), F.sum("known").alias("k"))
+        highest = F.least(F.size("grp"), F.col("level") - 1)
+        each = branches.where(highest > 0).select("host", "grp", F.explode(F.sequence(F.lit(1), highest)).alias("i"))
+        levels = each.groupBy("host", "i", siblings(F.col("i")).alias("kin")).agg(F.count("*").alias("n")).where("n > 1").groupBy("host").agg(F.max("i").alias("next"))
+        levels = written(levels, "levels")
+        if levels.isEmpty():
+            return rows.drop("level").unionByName(alone)
+        # A host without siblings is finished.
+        branches = salted_join(branches.drop("level"), levels, ["host"]).where(F.size("grp") >= F.col("next")).withColumn("family", with_segment(F.col("next"), F.lit("*")))
         order = Window.partitionBy("host", "family").orderBy(F.col("x") / F.col("k"), "grp")
         branches = branches.withColumn("x0", F.lag("x").over(order)).withColumn("k0", F.lag("k").over(order))
         x, k, x0, k0 = map(F.col, ("x", "k", "x0", "k0"))
@@ -110,9 +145,9 @@ def merged(whole: DataFrame, options: Options, depth: int) -> DataFrame:
         unlike = F.abs(x / k - x0 / k0) > options.z * F.sqrt(p * (1 - p) * (1 / k + 1 / k0))
         branches = branches.withColumn("cluster", F.sum(F.coalesce(unlike, F.lit(False)).cast("int")).over(order))
         members = F.count("*").over(Window.partitionBy("host", "family", "cluster"))
-        same = branches.withColumn("members", members).where("members > 1").select("host", "grp", with_segment(F.concat(F.lit("+"), "cluster")).alias("to"))
+        same = branches.withColumn("members", members).where("members > 1").select("host", "grp", with_segment(F.col("next"), F.concat(F.lit("+"), "cluster")).alias("to"))
+        rows = salted_join(rows.drop("level"), levels, ["host"], "left").withColumn("level", F.coalesce("next", F.lit(0))).drop("next")
         rows = written(salted_join(rows, same, ["host", "grp"], "left").withColumn("grp", F.coalesce("to", "grp")).drop("to"), "merged")
-    return rows
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...], *, key: str = "page_id", url_column: str = "url", label_column: str | None = None, options: Options = Options()) -> DataFrame:  # noqa: B008
@@ -133,11 +168,10 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...], *, key: str = "page_id", ur
     counts = rows.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count(F.when(known == "block", 1)).alias("bad"), F.count(F.when(known.isin("block", "allow"), 1)).alias("known"))
     counts = written(counts, "counts")
 
-    depth = (counts.agg(F.max(F.size(F.split("shape", "/")))).first()[0] or 1) - 1
-    tree = templates(counts, options, depth)
+    tree = templates(counts, options)
     whole = written(tree.groupBy("host", "template").agg(*(F.sum(c).alias(c) for c in ("n", "bad", "known"))), "whole")
-    base = whole.agg((F.sum("bad") / F.sum("known")).alias("base"))
-    groups = merged(whole, options, depth)
+    base = whole.agg(F.try_divide(F.sum("bad"), F.sum("known")).alias("base"))
+    groups = merged(whole, options)
     sums = groups.groupBy("host", "grp").agg(F.sum("bad").alias("x"), F.sum("known").alias("k"))
     purity = (F.col("x") + options.weight * F.col("base")) / (F.col("k") + options.weight)
     judged = sums.crossJoin(F.broadcast(base)).select("host", "grp", F.when((F.col("k") > 0) & (purity >= options.purity), "block").otherwise("allow").alias("learned"))  # one row

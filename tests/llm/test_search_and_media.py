@@ -13,7 +13,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from larkspur.llm import decontaminate, html, langid, registry, tiff, url_filter
+from larkspur.llm import common, decontaminate, html, langid, registry, tiff, url_filter
 
 
 # Decontamination
@@ -409,6 +409,19 @@ def test_deep_paths_and_labels_by_rule(spark):
     assert got[5] == ("allow", f"/{deep}") and got[0] == ("block", "/b/*")
 
 
+def test_depth_costs_no_rounds(spark, monkeypatch):
+    """A chain of 300 segments, a trap of 60 paths each of which goes on from the one before, and branches below both."""
+    rounds = []
+    monkeypatch.setattr(url_filter, "written", lambda df, name: rounds.append(name) or common.written(df, name))
+    chain = "/".join(f"c{chr(97 + i % 26)}" for i in range(300))
+    rows = [(f"http://h.io/{chain}/x{chr(97 + i % 26)}{chr(97 + i // 26)}", None) for i in range(60)]
+    rows += [("http://t.io" + "/a" * i, None) for i in range(1, 61)] + [(f"http://t.io{'/a' * 30}/b{chr(97 + i)}", None) for i in range(26)]
+    got = judged(spark, rows)
+    assert {got[i][1] for i in range(60)} == {f"/{chain}/*"} and got[60 + 59][1] == "/a" * 60
+    assert {got[i][1] for i in range(120, 146)} == {"/a" * 30 + "/*"}
+    assert rounds.count("tree") == 2 and rounds.count("merged") == 0
+
+
 def test_none_of_the_tables_unruled_pages_has_evidence(spark):
     """No template holds both labelled and other pages there, so nothing is rejected but by rule."""
     got = url_filter.judge(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"), registry.URL_RULES).collect()
