@@ -233,7 +233,7 @@ def without_redundant(df: DataFrame, keys: list[str], item: str, score: str, vec
     rows = written(rows, "distinct")
 
     angle, n = float(np.arccos(least)), rows.count()
-    made = cell_centres(rows, "_id", "v", min(MOST_CELLS, max(1, -(-n // BLOCK))))
+    made = cell_centres(rows, "_id", "v", min(MOST_CELLS, max(1, -(-n // CELL))))
     centres = spark.sparkContext.broadcast(made)
     placed = rows.select("*", _cell(centres)("v").alias("c")).select("*", "c.cell", "c.angle").drop("c")
     placed = written(placed, "placed")
@@ -245,15 +245,18 @@ def without_redundant(df: DataFrame, keys: list[str], item: str, score: str, vec
     def compare(homes: pd.DataFrame, visitors: pd.DataFrame) -> pd.DataFrame:
         a, b = (np.stack(x["v"].to_list()).astype(float) for x in (visitors, homes))
         a, b = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12) for x in (a, b))
-        like = a @ b.T >= least
-        at, item_, id_ = ((visitors[c].to_numpy()[:, None], homes[c].to_numpy()[None]) for c in ("_at", "_item", "_id"))
-        earlier = (at[1] < at[0]) | ((at[1] == at[0]) & ((item_[1] < item_[0]) | ((item_[1] == item_[0]) & (id_[1] < id_[0]))))
-        return visitors.loc[(like & earlier).any(axis=1), ["_id"]]
+        found = np.zeros(len(a), bool)
+        for i in range(0, len(a), BLOCK):
+            for j in range(0, len(b), BLOCK):
+                u, w = np.nonzero(a[i : i + BLOCK] @ b[j : j + BLOCK].T >= least)
+                (at, own_at), (item_, own), (id_, own_id) = ((homes[c].to_numpy()[j + w], visitors[c].to_numpy()[i + u]) for c in ("_at", "_item", "_id"))
+                found[i + u[(at < own_at) | ((at == own_at) & ((item_ < own) | ((item_ == own) & (id_ < own_id))))]] = True
+        return visitors.loc[found, ["_id"]]
 
     need = ["_id", "_g", "_at", "_item", "v"]
 
     def blocked(visitors: DataFrame, homes: DataFrame) -> DataFrame:
-        return meet(homes.select(*need, "cell"), visitors.select(*need, F.explode(reached("v")).alias("cell")), ["_g", "cell"], "_id", compare, "_id long")
+        return meet(homes.select(*need, "cell"), visitors.select(*need, F.explode(reached("v")).alias("cell")), ["_g", "cell"], "_id", compare, "_id long", CELL)
 
     def one_by_one(left: DataFrame) -> DataFrame:
         kept = _one_by_one(left.select("_g", F.struct("_item", "_id").alias("_i"), (-F.col("_at")).alias("_s"), "v"), ["_g"], "_i", "_s", "v", least)
@@ -264,6 +267,8 @@ def without_redundant(df: DataFrame, keys: list[str], item: str, score: str, vec
 
 #: Cells of a join by angles; their centres and radii are broadcast.
 MOST_CELLS = 4096
+#: Rows of a cell, and of a side of a comparison: each row is sent to every cell within reach, so large ones save shuffle.
+CELL = 8192
 
 
 def _cell(centres: Broadcast) -> Callable:

@@ -71,6 +71,7 @@ def test_unions_of_nothing(spark):
 def test_redundancy_in_rounds(spark, monkeypatch, rest):
     """Many cells, a group that holds most rows, a third of which are one vector, zero vectors, tied, null and NaN scores."""
     monkeypatch.setattr(similarity, "BLOCK", 40)
+    monkeypatch.setattr(similarity, "CELL", 90)
     r = random.Random(7)
     hot = [1.0, 2.0, 3.0]
     rows = [("big" if i % 5 else None, i, r.choice([0.5, r.random(), None, float("nan")]), hot if i % 3 == 0 else [r.gauss(0, 1) for _ in range(3)]) for i in range(500)]
