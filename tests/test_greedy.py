@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 import numpy as np
@@ -88,6 +89,18 @@ def test_redundancy_in_rounds(spark, monkeypatch, rest):
     assert similarity.without_redundant(df.limit(0), ["k"], "id", "score", "v").count() == 0
 
 
+def test_simhashes_of_a_batch_are_those_of_each_text(monkeypatch):
+    r = random.Random(2)
+    texts = ["", "ab", "abc", "ää😀x"] + ["".join(r.choice("abcdé中") for _ in range(n)) for n in (4, 5, 90, 300)]
+    alone = [dedup._simhashes([t])[0] for t in texts]
+    monkeypatch.setattr(dedup, "GRAM_CHUNK", 50)
+    assert dedup._simhashes(texts) == alone
+    for t, h in zip(texts[1:], alone[1:], strict=True):
+        grams = [t[i : i + 3] for i in range(len(t) - 2)] if len(t) > 3 else [t]
+        hashes = [int.from_bytes(hashlib.blake2b(g.encode(), digest_size=8).digest(), "big") for g in grams]
+        assert h & (1 << 64) - 1 == sum(1 << i for i in range(64) if 2 * sum(x >> i & 1 for x in hashes) >= len(grams))
+
+
 def variants(r, words, n):
     base = [r.choice(words) for _ in range(150)]
     for _ in range(n):
@@ -101,7 +114,7 @@ def loop_templates(rows, threshold):
     known, out = {}, {}
     for i, block, t in sorted(rows):
         own = known.setdefault(block, [])
-        h, best, at = dedup._simhash(t) & (1 << 64) - 1 if t else 0, 0, len(own)
+        h, best, at = dedup._simhashes([t])[0] & (1 << 64) - 1 if t else 0, 0, len(own)
         for c, (other, g) in enumerate(own):
             if (h ^ g).bit_count() <= dedup.TEMPLATE_BITS and any((h ^ g) >> p & 0xFF == 0 for p in range(0, 64, 8)) and (x := dedup.ratio(t, other)) >= threshold and x > best:
                 best, at = x, c
@@ -155,7 +168,7 @@ def test_no_near_duplicate_is_lost(spark, monkeypatch, block):
     for i, block_, t in rows:
         if (f := first.setdefault((block_, t), i)) != i:
             expected[f, i] = 1.0
-    own = [(i, b, t, dedup._simhash(t) & (1 << 64) - 1) for (b, t), i in first.items()]
+    own = [(i, b, t, dedup._simhashes([t])[0] & (1 << 64) - 1) for (b, t), i in first.items()]
     for i, b, t, h in own:
         for j, c, u, g in own:
             if i < j and b == c and (s := 0.55 * (1 - (h ^ g).bit_count() / 64) + 0.45 * dedup.ratio(t, u)) >= 0.97:
