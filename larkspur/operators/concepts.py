@@ -138,18 +138,6 @@ def complete_mapping(rows: DataFrame, mapping: DataFrame, key: str) -> DataFrame
     return missing.union(twice)
 
 
-def longest_contained(titles: DataFrame, title: str, dictionary: DataFrame, alias: str, name: str, least: int = 4) -> DataFrame:
-    """``titles`` with the name of the longest alias, of ``least`` characters at least, within the title.
-
-    The dictionary is a controlled list of a few hundred rows, whatever the table.
-    """
-    words = dictionary.select(F.col(alias).alias("_alias"), F.col(name).alias("_name")).where(F.length("_alias") >= least)
-    distinct = titles.select(title).distinct()
-    hits = distinct.join(F.broadcast(words), F.lower(F.col(title)).contains(F.lower("_alias")))
-    best = hits.groupBy(title).agg(F.max_by("_name", F.struct(F.length("_alias").alias("n"), F.col("_alias"))).alias(name))
-    return titles.join(best, title, "left")
-
-
 def approved(df: DataFrame, pairs: set[tuple[str, str]], match: str = "match_type", status: str = "status") -> DataFrame:
     """Rows whose match type and status are one of the allowed pairs."""
     if not pairs:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.functions.text import normalize_text
+from larkspur.operators.dictionary import matcher, simple_lower
 
 #: Words of a preferred rather than required skill.
 PREFERRED = re.compile("优先|加分|最好|更佳|preferred|nice to have|a plus", re.I)
@@ -50,19 +51,28 @@ def requirement(text: str, at: int) -> str:
 
 
 def extract(docs: DataFrame, skills: tuple[Skill, ...], *, key: str = "doc_id", text_column: str = "text", confidence: float = 0.96) -> DataFrame:
-    """One row for each document and skill whose alias occurs in the text: quote, requirement and confidence."""
+    """One row for each document and skill whose alias occurs in the text: quote, requirement and confidence.
+
+    As ``find_alias`` has it, of a skill's aliases in a text the longest counts, where it
+    first occurs.  All aliases of all skills are found in one pass over a text.
+    """
     kind = dict(docs.dtypes)[key]
-    words = re.compile("|".join(sorted({re.escape(a) for s in skills for a in s.aliases}, key=len, reverse=True)) or r"(?!)", re.I)
+    of: dict[str, list[int]] = {}
+    for i, s in enumerate(skills):
+        for alias in {simple_lower(a) for a in s.aliases}:
+            of.setdefault(alias, []).append(i)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        aliases = matcher(tuple(of))
         for pdf in batches:
             rows = []
             for k, text in zip(pdf["key"], pdf["text"], strict=True):
-                if not text or not words.search(text):
-                    continue
-                for s in skills:
-                    if hit := find_alias(text, s.aliases):
-                        rows.append((k, s.skill_id, hit[0], s.category, requirement(text, hit[1]), quote(text, hit[1], len(hit[0])), confidence))
+                hits: dict[int, tuple[str, int]] = {}
+                for alias, at in sorted((aliases.first(text) if text else {}).items(), key=lambda h: (-len(h[0]), h[0])):
+                    for i in of[alias]:
+                        hits.setdefault(i, (text[at : at + len(alias)], at))
+                for i, (raw, at) in sorted(hits.items()):
+                    rows.append((k, skills[i].skill_id, raw, skills[i].category, requirement(text, at), quote(text, at, len(raw)), confidence))
             yield pd.DataFrame(rows, columns=["key", "skill_id", "raw_term", "category", "requirement", "evidence_quote", "confidence"])
 
     schema = f"key {kind}, skill_id string, raw_term string, category string, requirement string, evidence_quote string, confidence double"

@@ -9,6 +9,7 @@ from larkspur.functions import text as X
 from larkspur.operators import cluster as CL
 from larkspur.operators import concepts as C
 from larkspur.operators import dedup as D
+from larkspur.operators import dictionary as DI
 from larkspur.operators import greedy as G
 from larkspur.operators import similarity as S
 from larkspur.operators import versions as V
@@ -20,6 +21,8 @@ from larkspur.plans.adapters import CTES
 FIELDS = ["event_type", "value"]
 
 CTES |= {
+    "phrases": "SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN p_name || ' ' || p_type ELSE p_name || p_type END AS phrase FROM part",
+    "registry": "SELECT DISTINCT 'N:' || p_name AS name, lower(p_name) AS alias FROM part WHERE p_partkey % 2 = 0 AND p_size % 2 = 0 UNION SELECT 'W:' || regexp_extract(p_name, '(\\w+)$', 1), lower(regexp_extract(p_name, '(\\w+)$', 1)) FROM part UNION SELECT 'T:' || p_type, lower(p_type) FROM part",
     "docs": "SELECT doc_id, coalesce(text, '') AS text, lang AS role, source AS company FROM documents",
     "normal": "SELECT doc_id, role, company, text, regexp_replace(lower(text), '[^0-9a-z一-鿿+#.]', '', 'g') AS t FROM docs",
     "pass1": "SELECT *, nullif(min(doc_id) OVER (PARTITION BY company, role, text), doc_id) AS dup1 FROM normal",
@@ -57,6 +60,21 @@ def _rounded_knn(df):
     return df.select("query", "neighbour", F.round("similarity", 6).alias("similarity"))
 
 
+def _phrases(s, d):
+    """Names of parts, alone, with their kind, and run together with it."""
+    form = F.when(F.col("p_partkey") % 3 == 0, F.col("p_name")).when(F.col("p_partkey") % 3 == 1, F.concat_ws(" ", "p_name", "p_type")).otherwise(F.concat("p_name", "p_type"))
+    return A.table(s, d, "part").select("p_partkey", form.alias("phrase"))
+
+
+def _registry(s, d):
+    """Names of parts of an even key and size, the last words of all, and the kinds."""
+    part, own = A.table(s, d, "part"), "p_partkey % 2 = 0 AND p_size % 2 = 0"
+    names = part.where(own).select(F.concat(F.lit("N:"), "p_name").alias("name"), F.lower("p_name").alias("alias"))
+    words = part.select(F.regexp_extract("p_name", r"(\w+)$", 1).alias("w")).select(F.concat(F.lit("W:"), "w").alias("name"), F.lower("w").alias("alias"))
+    kinds = part.select(F.concat(F.lit("T:"), "p_type").alias("name"), F.lower("p_type").alias("alias"))
+    return names.union(words).union(kinds).distinct()
+
+
 def _scores(s, d):
     return C.role_scores(PQ.accepted(s, d), PQ.weighted(s, d))
 
@@ -207,8 +225,16 @@ QUERIES = {
         """SELECT a.role, a.time_window, a.skill_id, a.jd_count, a.company_count, a.verified_jd_count, a.final_score, coalesce(round(a.final_score - b.final_score, 6), 0) AS delta, CASE WHEN b.final_score IS NULL THEN 'emerging' WHEN round(a.final_score - b.final_score, 6) >= 0.05 THEN 'rising' WHEN round(a.final_score - b.final_score, 6) <= -0.05 THEN 'falling' ELSE 'stable' END AS trend FROM quarters a LEFT JOIN quarters b ON a.role = b.role AND a.skill_id = b.skill_id AND a.place = b.place + 1""",
     ),
     "contained_alias": (
-        lambda s, d: C.longest_contained(A.table(s, d, "part").select("p_partkey", "p_name"), "p_name", A.table(s, d, "part").select(F.regexp_extract("p_name", r"(\w+)$", 1).alias("alias")).distinct().withColumn("name", F.upper("alias")), "alias", "name"),
-        "SELECT p_partkey, p_name, CASE WHEN length(regexp_extract(p_name, '(\\w+)$', 1)) >= 4 THEN upper(regexp_extract(p_name, '(\\w+)$', 1)) END AS name FROM part",
+        lambda s, d: DI.longest_contained(_phrases(s, d), "phrase", _registry(s, d), "alias", "name").select("p_partkey", "phrase", "name"),
+        """SELECT p_partkey, p.phrase, l.name FROM phrases p LEFT JOIN (SELECT phrase, arg_max(name, (length(alias), alias)) AS name FROM (SELECT DISTINCT phrase FROM phrases), (SELECT alias, min(name) AS name FROM registry GROUP BY alias) WHERE length(alias) >= 4 AND contains(lower(phrase), alias) GROUP BY phrase) l USING (phrase)""",
+    ),
+    "phrase_registry": (
+        lambda s, d: DI.resolved_phrases(_phrases(s, d), "phrase", _registry(s, d), "name", "alias").select("phrase", "name", F.round("coverage", 6).alias("coverage")),
+        """SELECT phrase, coalesce(e.name, b.name) AS name, CASE WHEN e.name IS NOT NULL THEN 1 ELSE round(b.coverage, 6) END::DOUBLE AS coverage FROM (SELECT DISTINCT phrase, regexp_replace(lower(phrase), '[^0-9a-z+#.]', '', 'g') AS n FROM phrases)
+           LEFT JOIN (SELECT regexp_replace(alias, '[^0-9a-z+#.]', '', 'g') AS n, min(name) AS name FROM registry GROUP BY ALL) e USING (n)
+           LEFT JOIN (SELECT phrase, arg_min(name, (-c, -k, name)) AS name, max(c) AS coverage FROM (SELECT phrase, name, k, k::DOUBLE / length(n) AS c FROM (
+               SELECT phrase, name, regexp_replace(lower(phrase), '[^0-9a-z+#.]', '', 'g') AS n, length(regexp_replace(arg_min(alias, (-length(alias), alias)), '[^0-9a-z+#.]', '', 'g')) AS k
+               FROM (SELECT DISTINCT phrase FROM phrases), registry WHERE regexp_matches(phrase, '(?i)(^|[^A-Za-z0-9+#])' || alias || '([^A-Za-z0-9+#]|$)') GROUP BY phrase, name)) WHERE c >= 0.5 GROUP BY phrase) b USING (phrase)""",
     ),
     "set_operations": (
         lambda s, d: EQ.records(s, d).where("period = 'baseline'").select("role", "title").distinct().union(EQ.records(s, d).where("period = 'current'").select("role", "title").distinct()).distinct().subtract(EQ.records(s, d).where("period = 'historical'").select("role", "title")),
