@@ -12,6 +12,7 @@ from larkspur.operators import cluster as CL
 from larkspur.operators import concepts as C
 from larkspur.operators import consolidation as N
 from larkspur.operators import discovery as DS
+from larkspur.operators import editjoin as EJ
 from larkspur.operators import evidence as EV
 from larkspur.operators import evolution as E
 from larkspur.operators import matching as M
@@ -146,9 +147,8 @@ def _rollup(s, d):
 
 
 def _title_pairs(titles: DataFrame) -> DataFrame:
-    """Titles of one place, each with the first."""
-    first = titles.groupBy(F.substring_index("title", "/", 1).alias("place")).agg(F.min("title").alias("a"))
-    return titles.select(F.col("title").alias("b"), F.substring_index("title", "/", 1).alias("place")).join(first, "place").where("a != b").select("a", "b")
+    """Titles of one place that are alike."""
+    return EJ.similar_texts(titles.withColumn("place", F.substring_index("title", "/", 1)), "title", 0.78, "place").select("a", "b")
 
 
 def _concept_records(s, d):

@@ -10,6 +10,7 @@ from larkspur.operators import cluster as CL
 from larkspur.operators import concepts as C
 from larkspur.operators import dedup as D
 from larkspur.operators import dictionary as DI
+from larkspur.operators import editjoin as EJ
 from larkspur.operators import greedy as G
 from larkspur.operators import similarity as S
 from larkspur.operators import versions as V
@@ -98,16 +99,15 @@ def _near_clusters(s, d):
     return rows.select("node", F.coalesce("component", "node").alias("component"))
 
 
+def _titles(s, d):
+    """Names and kinds of parts, with a number of two digits: many texts that differ a little."""
+    return A.table(s, d, "part").select(F.concat_ws(" ", "p_name", "p_type", F.lpad((F.col("p_partkey") % 97).cast("string"), 2, "0")).alias("title"), F.col("p_brand").alias("brand"))
+
+
 def _title_clusters(s, d):
-    """Company names whose rarest bigrams meet and that are alike."""
-    names = A.table(s, d, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("title")).distinct()
-    grams = names.select("title", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("title") - 1), lambda i: F.substring("title", i, F.lit(2))))).alias("g"))
-    counts = grams.groupBy("g").agg(F.count("*").alias("df"))
-    w = Window.partitionBy("title").orderBy("df", "g")
-    rare = grams.join(counts, "g").withColumn("n", F.row_number().over(w)).where("n <= 4").select("title", "g")
-    pairs = rare.select(F.col("title").alias("a"), "g").join(grams.select(F.col("title").alias("b"), "g"), "g").where("a < b").select("a", "b").distinct()
-    pairs = pairs.where(F.least(F.length("a"), F.length("b")) / F.greatest(F.length("a"), F.length("b")) >= 0.72)
-    return CL.components(pairs.withColumn("r", D.sequence_ratio("a", "b")).where("r >= 0.92").select("a", "b"))
+    """Clusters of names that are alike."""
+    names = A.table(s, d, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("title"))
+    return CL.components(EJ.similar_texts(names, "title", 0.92).select("a", "b"))
 
 
 def _capped(s, d):
@@ -191,6 +191,7 @@ QUERIES = {
     "near_dup_clusters": (_near_clusters, None),
     "greedy_templates": (lambda s, d: D.greedy_templates(docs(s, d), "role", "doc_id", F.col("text")), None),
     "title_clusters": (_title_clusters, None),
+    "similar_titles": (lambda s, d: EJ.similar_texts(_titles(s, d), "title", 0.9, "brand").select("brand", "a", "b", F.round("ratio", 6).alias("ratio")), None),
     "capped_clusters": (_capped, None),
     "centroid_clusters": (_centroid, None),
     "cosine_topk": (lambda s, d: neighbours(s, d).select("query", "rank", F.round("similarity", 5).alias("similarity")), "SELECT query, rank, round(similarity, 5) AS similarity FROM knn"),

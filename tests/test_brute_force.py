@@ -66,18 +66,22 @@ def test_near_duplicates_and_clusters(spark, sf, documents):
 
 def test_title_clusters(spark, sf):
     parts = {f"{r.p_name} {r.p_type}" for r in spark.read.parquet(f"{sf}/part.parquet").collect()}
-    grams = {t: {t[i : i + 2] for i in range(len(t) - 1)} for t in parts}
-    df = defaultdict(int)
-    for g in grams.values():
-        for x in g:
-            df[x] += 1
-    rare = {t: set(sorted(g, key=lambda x: (df[x], x))[:4]) for t, g in grams.items()}
-    links = [(a, b) for a in parts for b in parts if a < b and rare[a] & grams[b] and min(len(a), len(b)) / max(len(a), len(b)) >= 0.72 and difflib.SequenceMatcher(None, a, b, autojunk=False).ratio() >= 0.92]
+    links = [(a, b) for a in parts for b in parts if a < b and difflib.SequenceMatcher(None, a, b, autojunk=False).ratio() >= 0.92]
     expected = {n: c for n, c in smallest(parts, links).items() if n != c}
     got = {r.node: r.component for r in rows_of(spark, sf, "title_clusters")}
     assert {n: c for n, c in got.items() if n != c} == expected
 
 
+def test_similar_titles(spark, sf):
+    """All pairs of a brand's titles."""
+    titles = defaultdict(set)
+    for r in spark.read.parquet(f"{sf}/part.parquet").collect():
+        titles[r.p_brand].add(f"{r.p_name} {r.p_type} {r.p_partkey % 97:02d}")
+    like = lambda a, b: difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
+    expected = {(k, a, b): round(x, 6) for k, own in titles.items() for a in own for b in own if a < b and (x := like(a, b)) >= 0.9}
+    assert {(r.brand, r.a, r.b): r.ratio for r in rows_of(spark, sf, "similar_titles")} == expected and expected
+
+
 def test_selection_by_relevance_and_novelty(spark, sf, vectors):
     got = defaultdict(dict)
     for r in rows_of(spark, sf, "mmr_select"):

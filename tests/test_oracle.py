@@ -36,7 +36,7 @@ def test_matches_sql(spark, sf, duck, name):
 
 #: Tested by brute force in test_brute_force.py or on small tables in test_operators.py.
 OTHERWISE_TESTED = {
-    "skill_changes", "review_budget", "simhash_dups", "near_duplicates", "near_dup_clusters", "greedy_templates", "title_clusters", "capped_clusters", "centroid_clusters", "ann_topk", "mmr_select", "redundancy_filter",
+    "skill_changes", "review_budget", "simhash_dups", "near_duplicates", "near_dup_clusters", "greedy_templates", "title_clusters", "similar_titles", "capped_clusters", "centroid_clusters", "ann_topk", "mmr_select", "redundancy_filter",
     "rule_extraction", "verified_evidence", "processing_status", "nearest_skills", "nearest_roles", "title_relevance",
 }
 
