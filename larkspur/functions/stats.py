@@ -22,11 +22,22 @@ def two_proportion(x1: int, n1: int, x2: int, n2: int) -> float:
     return 1.0 if v <= 0 else min(1.0, math.erfc(abs(x2 / n2 - x1 / n1) / math.sqrt(2 * v)))
 
 
+#: One part in so many by which likelihoods may differ, and observations up to which they are whole numbers.
+TIE, EXACT = 10**12, 5000
+
+
 def fisher_exact(x1: int, n1: int, x2: int, n2: int) -> float:
-    """Two-sided p-value: the tables no likelier than the observed one, under fixed margins."""
+    """Two-sided p-value: the tables no likelier than the observed one, under fixed margins.
+
+    Tables whose likelihoods differ by less than ``TIE`` of them count as equally likely;
+    up to ``EXACT`` observations that is decided with whole numbers.
+    """
     if n1 <= 0 or n2 <= 0:
         return 1.0
     hits = x1 + x2
+    if n1 + n2 <= EXACT:
+        ways = {k: math.comb(n1, k) * math.comb(n2, hits - k) for k in range(max(0, hits - n2), min(n1, hits) + 1)}
+        return min(1.0, sum(w for w in ways.values() if w * TIE <= ways[x1] * (TIE + 1)) / math.comb(n1 + n2, hits))
     lgamma = np.frompyfunc(math.lgamma, 1, 1)
     k = np.arange(max(0, hits - n2), min(n1, hits) + 1)
 

@@ -30,9 +30,14 @@ def non_capability(skill: Column) -> Column:
 
 
 def evidence_ids(answer: Column, field: str = "evidence_jd_ids") -> Column:
-    """All strings of the arrays named ``field`` anywhere in a JSON text, in order, each once."""
-    arrays = F.regexp_extract_all(F.coalesce(answer, F.lit("")), F.lit(rf'"{field}"\s*:\s*\[([^\]]*)\]'), F.lit(1))
-    return F.array_distinct(F.flatten(F.transform(arrays, lambda a: F.regexp_extract_all(a, F.lit(r'"([^"]*)"'), F.lit(1)))))
+    """All strings of the arrays named ``field`` anywhere in a JSON text, in order, each once.
+
+    A string may hold brackets and escaped characters; an array that isn't closed is left out.
+    """
+    string = r'"(?:[^"\\]|\\.)*+"'
+    arrays = F.regexp_extract_all(F.coalesce(answer, F.lit("")), F.lit(rf'"{field}"\s*:\s*(\[(?:[^\]"]|{string})*+\])'), F.lit(1))
+    strings = F.flatten(F.transform(arrays, lambda a: F.regexp_extract_all(a, F.lit(f"({string})"), F.lit(1))))
+    return F.array_distinct(F.transform(strings, lambda x: F.from_json(F.concat(F.lit("["), x, F.lit("]")), "array<string>")[0]))
 
 
 def compacted(items: Column, budget: int, steps: tuple[tuple[int, int], ...] = ((12, 500), (10, 350), (6, 250), (3, 250))) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larkspur.operators.profile import ACCEPTED, status_rank
+from larkspur.session import written
 
 
 def health(tables: dict[str, DataFrame]) -> DataFrame:
@@ -109,13 +110,24 @@ def quality(mentions: DataFrame) -> DataFrame:
     return mentions.groupBy("status").agg(F.count("*").alias("amount"), F.count(F.when(F.col("requirement") == "preferred", 1)).alias("preferred"))
 
 
-def descend(spark: SparkSession, relations: DataFrame, root: str, limit: int = 80) -> DataFrame:
-    """``node, depth`` of everything below ``root``, itself included (``parent, child``)."""
-    relations.createOrReplaceTempView("_relations")
-    return spark.sql(
-        f"""WITH RECURSIVE tree(node, depth) AS (SELECT '{root}', 0 UNION ALL SELECT r.child, t.depth + 1 FROM _relations r JOIN tree t ON r.parent = t.node)
-        SELECT node, min(depth) AS depth FROM tree GROUP BY node"""
-    )
+def descend(spark: SparkSession, relations: DataFrame, root: str, limit: int | None = None) -> DataFrame:
+    """``node, depth`` of everything below ``root``, itself included (``parent, child``), down to ``limit`` levels (null: all).
+
+    A round a level: the children of the newest nodes that were not met before, so a cycle
+    ends.  Each node has its least depth.
+    """
+    edges = written(relations.select(F.col("parent").cast("string").alias("parent"), F.col("child").cast("string").alias("child")).where("parent is not null and child is not null").distinct(), "relations")
+    newest = spark.range(1).select(F.lit(root).cast("string").alias("node"), F.lit(0).alias("depth"))
+    met, depth = written(newest, "met"), 0
+    newest = met
+    while limit is None or depth < limit:
+        depth += 1
+        below = newest.join(edges, newest["node"] == edges["parent"]).select(F.col("child").alias("node")).distinct()
+        newest = written(below.join(met.select("node"), "node", "left_anti").select("node", F.lit(depth).alias("depth")), "level")
+        if newest.isEmpty():
+            break
+        met = written(met.union(newest), "met")
+    return met
 
 
 def projection(df: DataFrame, allowed: list[str], forbidden: tuple[str, ...] = ("description", "raw_text", "text")) -> DataFrame:

@@ -25,8 +25,8 @@ def distinct_versions(observed: DataFrame, key: str, columns: list[str]) -> Data
 
 def current(observed: DataFrame, key: str) -> DataFrame:
     """The version each key points at: the newest; of equal times the later arrival."""
-    newest = observed.groupBy(key).agg(F.max(F.struct("observed_epoch", "seq")).alias("_p"))
-    return observed.join(newest, key).where((F.col("observed_epoch") == F.col("_p.observed_epoch")) & (F.col("seq") == F.col("_p.seq"))).drop("_p")
+    row = F.max_by(F.struct(*(F.col(c) for c in observed.columns)), F.struct("observed_epoch", "seq")).alias("_row")
+    return observed.groupBy(F.col(key).alias("_key")).agg(row).where(F.col("_key").isNotNull()).select("_row.*")
 
 
 def late(observed: DataFrame, key: str) -> DataFrame:

@@ -117,8 +117,8 @@ def _columns(s, d):
 QUERIES = {
     "ingest_csv": (
         _csv,
-        """SELECT job_id, title, company, location, salary, platform, observed_epoch, uid AS raw_uid, uid || ':' || substr(sha256(company || chr(31) || '' || chr(31) || '' || chr(31) || '' || chr(31) || location || chr(31) || salary || chr(31) || title), 1, 32) AS version_id, extra FROM (
-           SELECT *, substr(sha256('' || chr(31) || platform || chr(31) || job_id), 1, 40) AS uid FROM (SELECT jd_id::VARCHAR AS job_id, CASE WHEN jd_id % 6 = 0 THEN '' ELSE role END AS title, company_name AS company, location, printf('%.2f', salary) AS salary, CASE WHEN jd_id % 2 = 0 THEN 'liepin' ELSE 'boss' END AS platform, epoch(posted_at)::BIGINT AS observed_epoch, level AS extra FROM postings WHERE jd_id % 6 <> 0))""",
+        """SELECT job_id, title, company, location, salary, platform, observed_epoch, uid AS raw_uid, uid || ':' || substr(sha256(concat_ws(chr(31), '', company, '', '', '', '', '', '', '', '', location, posted, '', salary, '', '', '', '', title)), 1, 32) AS version_id, extra FROM (
+           SELECT *, substr(sha256('' || chr(31) || platform || chr(31) || job_id), 1, 40) AS uid FROM (SELECT jd_id::VARCHAR AS job_id, CASE WHEN jd_id % 6 = 0 THEN '' ELSE role END AS title, company_name AS company, location, printf('%.2f', salary) AS salary, CASE WHEN jd_id % 2 = 0 THEN 'liepin' ELSE 'boss' END AS platform, epoch(posted_at)::BIGINT AS observed_epoch, CASE WHEN jd_id % 2 = 0 THEN strftime(posted_at, '%Y/%-m/%-d') ELSE strftime(posted_at, '%Y-%m-%d %H:%M:%S') END AS posted, level AS extra FROM postings WHERE jd_id % 6 <> 0))""",
     ),
     "source_preflight": (
         _preflight,

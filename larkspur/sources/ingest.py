@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import codecs
+import re
 from fnmatch import translate
 
 import pandas as pd
@@ -11,15 +12,41 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.text import clean_value, parse_datetime, stable_hash
 
-#: Header aliases of the canonical fields, the first that holds a value wins.
+#: Header aliases of the canonical fields.
 ALIASES: dict[str, tuple[str, ...]] = {
-    "job_id": ("job_id", "jobID", "职位ID", "id"), "title": ("job_name", "title", "原始职位名称", "职位名称", "岗位名称"), "description": ("jd", "description", "JD全文", "职位描述"),
-    "company": ("company", "company_name", "公司全称", "公司名称"), "industry": ("industry", "公司行业", "行业类型"), "experience": ("experience", "工作经验", "经验要求"),
-    "education": ("education", "学历", "学历要求"), "salary": ("salary", "薪水", "薪资"), "salary_min": ("salary_min", "最低工资"), "salary_max": ("salary_max", "最高工资"),
-    "location": ("location", "city", "工作地区", "工作地点"), "posted_at": ("publish_time", "posted_at", "发布日期", "时间"), "collected_at": ("collected_at", "采集时间"),
-    "url": ("job_link", "url", "职位详情链接"), "keyword": ("search_keyword", "搜索关键词", "岗位关键词"), "search_city": ("search_city", "搜索城市"), "source": ("source", "platform", "来源"),
-    "tags": ("tags", "职位标签"), "ability": ("ability", "能力提取结果", "能力分析结果"), "company_id": ("company_id", "companyID"),
-}
+    "job_id": ("职位ID", "jobID", "job_id", "jobId", "position_id", "positionId", "id"),
+    "company_id": ("companyID", "company_id", "companyId"),
+    "title": ("原始职位名称", "职位名称", "job_name", "job_title", "title", "position_name"),
+    "normalized_role": ("岗位名称", "归一化岗位名称", "normalized_role", "canonical_role"),
+    "declared_role": ("岗位关键词", "declared_role", "source_role", "source_job_category"),
+    "description": ("JD全文", "职位描述", "jd", "job_description", "description", "content"),
+    "salary_max": ("最高工资", "salary_max", "max_salary"),
+    "salary_min": ("最低工资", "salary_min", "min_salary"),
+    "salary": ("薪水", "salary", "salary_text"),
+    "location": ("工作地区", "location", "city", "work_location"),
+    "city": ("城市", "job_city"),
+    "tags": ("职位标签", "tags", "tags_list", "job_tags"),
+    "company": ("公司全称", "company", "company_name"),
+    "company_type": ("公司类型", "company_type"),
+    "company_size": ("公司规模", "company_size"),
+    "company_qualification": ("公司资历", "company_qualification"),
+    "industry": ("公司行业", "行业类型", "industry", "industry_name"),
+    "province": ("省份", "province"),
+    "education": ("学历要求", "education", "education_requirement"),
+    "experience": ("工作经验", "经验要求", "experience", "experience_requirement"),
+    "posted_at": ("发布日期", "时间", "publish_time", "posted_at", "publishDate", "update_time"),
+    "collected_at": ("采集时间", "collected_at", "crawled_at", "scraped_at"),
+    "ability": ("能力提取结果", "能力分析结果", "ability_analysis", "analysis_result", "extracted_abilities"),
+    "url": ("职位详情链接", "job_link", "link", "url", "job_url"),
+    "search_city": ("搜索城市", "search_city"),
+    "keyword": ("搜索关键词", "search_keyword"),
+    "skill_tags": ("skill_tags", "skills"),
+    "source": ("source_platform", "platform", "source", "site"),
+}
+#: The fields whose change makes a new version.
+VERSIONED = ("title", "description", "company_id", "company", "company_type", "company_size", "company_qualification", "industry", "province", "city", "location", "education", "experience", "salary", "salary_min", "salary_max", "tags", "posted_at", "skill_tags")
+#: Names beyond those, which come after them.
+FURTHER: dict[str, tuple[str, ...]] = {"company": ("公司名称",), "education": ("学历",), "salary": ("薪资",), "location": ("工作地点",), "source": ("来源",), "ability": ("ability",)}
 ENVELOPES = ("data", "jobs", "items", "results", "list")
 
 
@@ -77,13 +104,17 @@ def read_json(spark: SparkSession, paths: list[str], lines: bool = False) -> Dat
 
 
 def canonical(df: DataFrame, aliases: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
-    """The canonical fields, cleaned, and all other columns as JSON in ``extra_json``; fields without a column are empty."""
-    aliases = aliases or ALIASES
-    present = {clean_header(c): c for c in df.columns}
+    """The canonical fields, cleaned, and all other columns as JSON in ``extra_json``; fields without a column are empty.
+
+    The first alias that holds a value wins, in the order of the table; headers are compared
+    by ``folded``, and of headers that fold to one the last counts.
+    """
+    aliases = aliases or {f: names + FURTHER.get(f, ()) for f, names in ALIASES.items()}
+    present = {folded(c): c for c in df.columns}
     used: set[str] = {"source_file", "file_time"}
     out: list[Column] = []
     for field, names in aliases.items():
-        found = [present[n] for n in names if n in present]
+        found = list(dict.fromkeys(present[folded(n)] for n in names if folded(n) in present))
         used.update(found)
         values = [F.nullif(clean_value(F.col(f"`{c}`")), F.lit("")) for c in found]
         out.append(F.coalesce(*values, F.lit("")).alias(field))
@@ -94,17 +125,18 @@ def canonical(df: DataFrame, aliases: dict[str, tuple[str, ...]] | None = None)
     return df.select(*out, extra.alias("extra_json"), *keep)
 
 
-def clean_header(name: str) -> str:
-    return name.lstrip("﻿").strip()
+def folded(name: str) -> str:
+    """A header without marks, white space, underscores, hyphens and case."""
+    return re.sub(r"[\s_\-]+", "", name.replace("\ufeff", "")).lower()
 
 
-def with_identity(df: DataFrame, namespace: str = "", default_platform: str = "unknown", business: tuple[str, ...] = ("title", "description", "company", "salary", "location", "experience", "education")) -> DataFrame:
+def with_identity(df: DataFrame, namespace: str = "", default_platform: str = "unknown", business: tuple[str, ...] = VERSIONED) -> DataFrame:
     """``platform``, ``raw_uid``, ``version_id`` and ``observed_epoch`` of canonical rows.
 
     The platform is explicit, or told by the path, or the default; the version is of the
     business fields alone; the time is the collection's, the posting's or the file's.
     """
-    path = F.lower(F.coalesce("source_file", F.lit("")))
+    path = F.lower(F.coalesce("source_file", F.lit(""))) if "source_file" in df.columns else F.lit("")
     told = F.when(path.contains("liepin"), "liepin").when(path.contains("boss"), "boss").when(path.contains("51job"), "51job").when(path.contains("lagou"), "lagou")
     platform = F.coalesce(F.nullif("source", F.lit("")), told, F.lit(default_platform))
     key = F.coalesce(F.nullif("job_id", F.lit("")), F.nullif("url", F.lit("")), F.concat_ws("|", "company", "title", "location"))

@@ -3,13 +3,14 @@ from __future__ import annotations
 import difflib
 import hashlib
 import json
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from larkspur.functions import text
-from larkspur.operators import cluster, concepts, dedup, domain, evidence, greedy, serve, similarity, versions
+from larkspur.functions import stats, text
+from larkspur.operators import cluster, concepts, dedup, domain, evidence, greedy, review, serve, similarity, versions
 from larkspur.plans import catalog
 from larkspur.sources import ingest, sinks
 from larkspur.streaming import streams
@@ -262,3 +263,36 @@ def test_approval_and_status(spark):
     rows = spark.createDataFrame([("a", True), ("a", False), ("b", True), ("c", False)], "s string, m boolean")
     got = {r.s: r.status for r in concepts.normalization_status(rows, "s", F.col("m")).collect()}
     assert got == {"a": "MIXED_STANDARDIZED_AND_RAW", "b": "STANDARDIZED_CONCEPT", "c": "RAW_SKILL_FALLBACK"}
+
+
+def test_descend_ends_in_a_cycle_and_takes_any_root(spark):
+    edges = [("o'r", "b"), ("b", "c"), ("c", "o'r"), ("o'r", "c"), ("x", "y"), (None, "z"), ("c", None), *((f"n{i}", f"n{i + 1}") for i in range(12)), ("c", "n0")]
+    df = spark.createDataFrame(edges, "parent string, child string")
+    got = {r.node: r.depth for r in serve.descend(spark, df, "o'r").collect()}
+    assert got == {"o'r": 0, "b": 1, "c": 1, **{f"n{i}": i + 2 for i in range(13)}}
+    assert {r.node for r in serve.descend(spark, df, "o'r", limit=2).collect()} == {"o'r", "b", "c", "n0"}
+    assert [tuple(r) for r in serve.descend(spark, df.limit(0), "a").collect()] == [("a", 0)]
+
+
+def test_evidence_ids_with_brackets_and_escapes(spark):
+    ids = ["a]b", 'q"u', "back\\", "[x", "é", "a]b"]
+    texts = [json.dumps({"evidence_jd_ids": ids, "note": '"evidence_jd_ids": ["no"]', "in": [{"evidence_jd_ids": ["z"]}]}), json.dumps({"evidence_jd_ids": []}), None, '{"evidence_jd_ids": ["open"', "no json"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.ids for r in df.select("i", review.evidence_ids(F.col("t")).alias("ids")).collect()}
+    assert got == {0: [*ids[:-1], "z"], 1: [], 2: [], 3: [], 4: []}
+
+
+def test_headers_fold_and_the_version_has_all_business_fields(spark):
+    row = spark.createDataFrame([("1", "Dev", "PM", "kw", "10-20", "S")], "`Job-ID` string, `JOB NAME` string, `岗位名称` string, `岗位关键词` string, `Company_Size` string, `skill tags` string")
+    got = ingest.canonical(row).first()
+    assert (got.job_id, got.title, got.normalized_role, got.declared_role, got.company_size, got.skill_tags, got.keyword, got.extra_json) == ("1", "Dev", "PM", "kw", "10-20", "S", "", "{}")
+    both = spark.createDataFrame([("", "later"), ("first", "later")], "`职位名称` string, job_name string")
+    assert [r.title for r in ingest.canonical(both).collect()] == ["later", "first"]
+    ids = [ingest.with_identity(ingest.canonical(spark.createDataFrame([("1", "Dev", c, k)], "job_id string, title string, company_size string, search_keyword string")), default_platform="p").first().version_id for c, k in (("1", "a"), ("2", "a"), ("2", "b"))]
+    assert ids[0] != ids[1] == ids[2]
+
+
+def test_fisher_counts_equal_tables_as_equal():
+    assert stats.fisher_exact(3, 10, 7, 10) == pytest.approx(0.178895, abs=1e-6)
+    assert stats.fisher_exact(0, 5, 5, 5) == pytest.approx(2 / math.comb(10, 5)) and stats.fisher_exact(50, 100, 50, 100) == 1.0
+    assert stats.fisher_exact(2400, 5000, 2500, 5000) == pytest.approx(0.0476, abs=2e-3)
