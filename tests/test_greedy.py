@@ -33,7 +33,7 @@ def loop_unions(edges, nodes, most=0, near=None):
     return {n: min(s)[1] for n, s in of.items()}
 
 
-@pytest.mark.parametrize(("seed", "most", "rest"), [(1, 0, 30), (2, 3, 20), (3, 8, 0), (5, 4, 10_000)])
+@pytest.mark.parametrize(("seed", "most", "rest"), [(2, 3, 20), (3, 8, 0), (5, 4, 10_000)])
 def test_unions_are_those_of_the_loop(spark, seed, most, rest):
     """Random graphs with tied scores, repeated edges, two blocks that share names, and families of which some are unknown."""
     r = random.Random(seed)
@@ -124,7 +124,7 @@ def loop_templates(rows, threshold):
     return out
 
 
-@pytest.mark.parametrize(("rest", "block"), [(0, 7), (0, 1024), (10_000, 1024)])
+@pytest.mark.parametrize(("rest", "block"), [(0, 7), (10_000, 1024)])
 def test_templates_are_those_of_the_loop(spark, monkeypatch, rest, block):
     """Drifting near copies, so that which text is a template depends on the order, copies far apart, and empty texts."""
     monkeypatch.setattr(dedup, "meet", lambda *a, **k: blocks.meet(*a, **k | {"block": block}))
