@@ -99,11 +99,36 @@ def _stream_counts(s, d):
     return ST.latest(s, f"{root}/out", "day string, event_type string, n long")
 
 
-def _stream_current(s, d):
-    root = scratch(s, "current")
+def _events(s, d):
+    return ST.file_stream(s, d, "events.parquet").where("ts is not null")
+
+
+def _to_table(s, stream, name):
+    root = scratch(s, name)
+    return ST.run_to_table(stream, f"{root}/table", f"{root}/check")
+
+
+ORDER = ("observed_epoch", "seq")
+
+
+def _changes(s, d):
+    """The log of what each batch of events changes."""
     rows = ST.file_stream(s, d, "events.parquet").select(F.col("user_id").alias("raw_uid"), F.unix_timestamp("ts").alias("observed_epoch"), F.col("event_id").alias("seq"), "event_type")
-    ST.write_current(rows, f"{root}/table", "raw_uid", ["observed_epoch", "seq"], f"{root}/check").awaitTermination()
-    return ST.latest(s, f"{root}/table")
+    return _to_table(s, ST.version_changes(rows, "raw_uid", ORDER), "changes")
+
+
+def _stream_current(s, d):
+    """The log, compacted."""
+    return ST.current_rows(_changes(s, d), "raw_uid", ORDER).select("raw_uid", "observed_epoch", "seq", "event_type")
+
+
+def _closed(start, end):
+    """Windows whose end the watermark has passed, with their times as text."""
+    return f"strftime({start}, '%Y-%m-%d %H:%M:%S') AS \"start\", strftime({end}, '%Y-%m-%d %H:%M:%S') AS \"end\""
+
+
+def _shown(df):
+    return df.withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss")).withColumn("end", F.date_format("end", "yyyy-MM-dd HH:mm:ss"))
 
 
 QUERIES = {
@@ -143,4 +168,24 @@ QUERIES = {
     ),
     "stream_day_counts": (_stream_counts, "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY ALL"),
     "stream_current_version": (_stream_current, "SELECT raw_uid, observed_epoch, seq, event_type FROM (SELECT *, row_number() OVER (PARTITION BY raw_uid ORDER BY observed_epoch DESC, seq DESC) AS n FROM versions) WHERE n = 1"),
+    "stream_observations": (
+        lambda s, d: _changes(s, d).groupBy("raw_uid").agg(F.max("observations").alias("observations")),
+        "SELECT raw_uid, count(*) AS observations FROM versions WHERE raw_uid IS NOT NULL GROUP BY raw_uid",
+    ),
+    "stream_sliding": (
+        lambda s, d: _shown(_to_table(s, ST.window_counts(_events(s, d), "event_type", "6 hours", "2 hours", grace="1 day"), "sliding")),
+        f"""SELECT {_closed("b", "b + INTERVAL 6 HOUR")}, event_type, count(*) AS n, round(sum(round(value, 2)), 2) AS total
+            FROM (SELECT *, time_bucket(INTERVAL 2 HOUR, ts) - INTERVAL 2 HOUR * k AS b FROM events, (VALUES (0), (1), (2)) AS o(k) WHERE ts IS NOT NULL)
+            WHERE b + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY b, event_type""",
+    ),
+    "stream_sessions": (
+        lambda s, d: _shown(_to_table(s, ST.sessions(_events(s, d), "user_id", "6 hours", grace="1 day"), "sessions")),
+        f"""SELECT {_closed("a", "z")}, user_id, n FROM (SELECT user_id, min(ts) AS a, max(ts) + INTERVAL 6 HOUR AS z, count(*) AS n FROM (
+            SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS new FROM events WHERE ts IS NOT NULL))
+            GROUP BY user_id, session) WHERE z <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""",
+    ),
+    "stream_distinct": (
+        lambda s, d: _to_table(s, ST.deduplicated(_events(s, d), ["user_id", "event_type"]).select("user_id", "event_type"), "distinct"),
+        "SELECT DISTINCT user_id, event_type FROM events WHERE ts IS NOT NULL",
+    ),
 }
