@@ -39,12 +39,15 @@ def status_rank(status: Column) -> Column:
     return out
 
 
+def weight_of(size: Column, floor: float) -> Column:
+    return F.when(size < 2, 1.0).otherwise(F.round(F.greatest(F.lit(floor), 1 / F.sqrt(size)), 6))
+
+
 def template_weights(postings: DataFrame, key: Column, floor: float = 0.35) -> DataFrame:
     """``postings`` with ``template_size`` and ``template_weight``: one over the root of the size, not below ``floor``."""
     keyed = postings.withColumn("template_key", key)
     sizes = keyed.groupBy("template_key").agg(F.count("*").alias("template_size"))
-    weight = F.when(F.col("template_size") < 2, 1.0).otherwise(F.round(F.greatest(F.lit(floor), 1 / F.sqrt("template_size")), 6))
-    return keyed.join(sizes, "template_key").withColumn("template_weight", weight)
+    return keyed.join(sizes, "template_key").withColumn("template_weight", weight_of(F.col("template_size"), floor))
 
 
 def weighted(postings: DataFrame, key: Column, config: Config = Config()) -> DataFrame:  # noqa: B008
@@ -78,6 +81,11 @@ def roles(postings: DataFrame) -> DataFrame:
 def profiles(weighted: DataFrame) -> DataFrame:
     """Role by industry by level by quarter, each linked to the one before it that exists."""
     out = weighted.groupBy(*PROFILE).agg(F.min("window_start").alias("window_start"), F.count("*").alias("jd_count"), F.countDistinct("company_id").alias("company_count"))
+    return linked(out)
+
+
+def linked(out: DataFrame) -> DataFrame:
+    """Profiles with their id and that of the one before."""
     out = out.withColumn("profile_id", stable_id("profile", *(F.col(c) for c in PROFILE)))
     w = Window.partitionBy("role", "industry", "level").orderBy("window_start")
     return out.withColumn("previous_profile_id", F.coalesce(F.lag("profile_id").over(w), F.lit("")))
@@ -97,6 +105,11 @@ def support(weighted: DataFrame, accepted: DataFrame, config: Config = Config())
         F.sum(vote).alias("jd_vote"), F.max(vote).alias("company_vote"), F.max("template_weight").alias("company_template"),
         F.count("*").alias("hits"), F.count(F.when(F.col("requirement") == "preferred", 1)).alias("preferred"),
     )
+    return tiered(one, whole, config)
+
+
+def tiered(one: DataFrame, whole: DataFrame, config: Config = Config()) -> DataFrame:  # noqa: B008
+    """Support and tier from the votes of each profile, skill and company (``one``) and all that each profile could have (``whole``)."""
     out = one.groupBy(*PROFILE, "skill_id").agg(
         F.sum("jd_vote").alias("jd_vote"), F.sum("company_vote").alias("company_vote"), F.sum("company_template").alias("effective"),
         F.count("*").alias("company_count"), F.sum("hits").alias("evidence_count"), F.sum("preferred").alias("preferred_mentions"),
@@ -161,7 +174,12 @@ def cooccurrence(accepted: DataFrame, config: Config = Config()) -> DataFrame:
     skills = accepted.select("jd_id", "skill_id")
     totals = skills.groupBy("skill_id").agg(F.count("*").alias("n"))
     a, b = skills.withColumnRenamed("skill_id", "source"), skills.withColumnRenamed("skill_id", "target")
-    pairs = a.join(b, "jd_id").where("source < target").groupBy("source", "target").agg(F.count("*").alias("cooccurrence")).where(F.col("cooccurrence") >= config.related_pairs)
+    return strongest(a.join(b, "jd_id").where("source < target").groupBy("source", "target").agg(F.count("*").alias("cooccurrence")), totals, config)
+
+
+def strongest(pairs: DataFrame, totals: DataFrame, config: Config = Config()) -> DataFrame:  # noqa: B008
+    """The pairs (``source, target, cooccurrence``) with the best score, ``totals`` being ``skill_id, n``."""
+    pairs = pairs.where(F.col("cooccurrence") >= config.related_pairs)
     out = pairs.join(totals.select(F.col("skill_id").alias("source"), F.col("n").alias("n1")), "source").join(totals.select(F.col("skill_id").alias("target"), F.col("n").alias("n2")), "target")
     score = F.round(F.col("cooccurrence") / (F.col("n1") + F.col("n2") - F.col("cooccurrence")), 6)
     out = out.select("source", "target", "cooccurrence", score.alias("jaccard_score")).where(F.col("jaccard_score") >= config.related_score)
