@@ -51,8 +51,12 @@ def ranked_skills(snapshots: DataFrame, *, time_window: str = "", min_support: f
 
 
 def panorama(ranked: DataFrame, skills: DataFrame, roles: DataFrame) -> DataFrame:
-    """Nodes and edges ``kind, id, label, source, target`` of roles, skill groups and skills."""
+    """Nodes and edges ``kind, id, label, source, target`` of roles, skill groups and skills.
+
+    The ranked skills, a few tens a role, are written once, as five branches read them.
+    """
     rows = ranked.join(skills.select("skill_id", "competency_category"), "skill_id").withColumn("grp", F.coalesce(F.nullif("competency_category", F.lit("")), F.lit("other")))
+    rows = written(rows.select("role", "skill_id", "tier", "grp"), "ranked")
     none = F.lit(None).cast("string")
     group_id, skill_id = F.concat_ws(":", F.lit("category"), "role", "grp"), F.concat_ws(":", F.lit("skill"), "role", "skill_id")
     used = roles.join(rows.select("role").distinct(), "role", "left_semi")

@@ -22,6 +22,7 @@ from larkspur.operators import similarity as S
 from larkspur.plans import adapters as A
 from larkspur.plans import evolution_queries as EQ
 from larkspur.plans.adapters import CTES
+from larkspur.session import written
 
 _HEADS = ("高级", "资深 ", "急招", "", "初级", "（北京）", "P6 ", "【校招】")
 _CORES = ("Java开发工程师", "大模型应用", "自然语言处理", "数据产品经理", "软件测试", "网络运维", "嵌入式软件工程师", "硬件开发", "go语言开发", "财务主管", "ETL工程师", "前端负责人", "算法研究", "客服")
@@ -157,10 +158,10 @@ def _concept_records(s, d):
 
 
 def _discovery(s, d):
-    r = _concept_records(s, d)
+    r = written(_concept_records(s, d), "records")
     template = F.floor(F.col("salary") / 500)
-    stats_of = E.title_stats(r, template)
-    concepts = DS.title_concepts(stats_of, _title_pairs(stats_of))
+    stats_of = written(E.title_stats(r, template), "title_stats")
+    concepts = written(DS.title_concepts(stats_of, _title_pairs(stats_of)), "concepts")
     rolled = DS.rolled_up(r, concepts, template)
     known = s.createDataFrame([("FRANCE-BUILDING/F",), ("CHINA-BUILDING/O",)], "title string")
     aliases = s.createDataFrame([("PERU-BUILDING/F", "FRANCE-BUILDING/F"), ("INDIA-BUILDING/F", "ZZ")], "title string, alias string")

@@ -8,6 +8,7 @@ from larkspur.operators import incremental as I
 from larkspur.operators import profile as P
 from larkspur.plans import adapters as A
 from larkspur.plans.adapters import CTES
+from larkspur.session import written
 
 
 def template():
@@ -60,11 +61,17 @@ def profiles(spark, d):
 
 
 def support(spark, d):
-    return P.support(weighted(spark, d), accepted(spark, d))
+    return chain(spark, d)[1]
+
+
+def chain(spark, d):
+    """Profiles and support over postings that are weighted once."""
+    rows = written(weighted(spark, d), "weighted")
+    return P.profiles(rows), P.support(rows, accepted(spark, d))
 
 
 def snapshots(spark, d):
-    return P.snapshots(profiles(spark, d), support(spark, d))
+    return P.snapshots(*chain(spark, d))
 
 
 def _time_weight(spark, d):
@@ -72,7 +79,7 @@ def _time_weight(spark, d):
 
 
 def _summary(spark, d):
-    p, w = A.postings(spark, d), weighted(spark, d)
+    p, w = A.postings(spark, d), written(weighted(spark, d), "weighted")
     return P.run_summary(p, w, P.support(w, accepted(spark, d)))
 
 
@@ -102,7 +109,7 @@ QUERIES = {
     "role_profiles": (profiles, "SELECT * FROM profiles"),
     "role_skill_snapshots": (snapshots, "SELECT * FROM snapshots"),
     "skill_evolution": (
-        lambda s, d: P.evolution(profiles(s, d), support(s, d)),
+        lambda s, d: P.evolution(*chain(s, d)),
         """SELECT * FROM (SELECT current_profile_id, previous_profile_id, skill_id, coalesce(a.s, 0) AS current_support, coalesce(b.s, 0) AS previous_support, round(coalesce(a.s, 0) - coalesce(b.s, 0), 6) AS delta,
            CASE WHEN coalesce(a.s, 0) >= 0.2 AND coalesce(b.s, 0) < 0.1 THEN 'ADDED' WHEN coalesce(b.s, 0) >= 0.2 AND coalesce(a.s, 0) < 0.1 THEN 'REMOVED' WHEN round(coalesce(a.s, 0) - coalesce(b.s, 0), 6) >= 0.15 THEN 'STRENGTHENED' WHEN round(coalesce(a.s, 0) - coalesce(b.s, 0), 6) <= -0.15 THEN 'WEAKENED' END AS change_type
            FROM (SELECT p.profile_id AS current_profile_id, p.previous_profile_id, s.skill_id, s.adjusted_support AS s FROM profiles p JOIN support s USING (role, industry, level, time_window) WHERE p.previous_profile_id <> '') a

@@ -9,6 +9,7 @@ from larkspur.operators import serve as S
 from larkspur.plans import adapters as A
 from larkspur.plans import profile_queries as PQ
 from larkspur.plans.adapters import CTES
+from larkspur.session import written
 
 CTES |= {
     "ranked": """SELECT * FROM (SELECT s.*, row_number() OVER (PARTITION BY s.role ORDER BY adjusted_support DESC, evidence_count DESC, skill_id) AS skill_rank FROM snapshots s
@@ -18,7 +19,7 @@ CTES |= {
 
 
 def ranked(s, d):
-    return S.ranked_skills(PQ.snapshots(s, d))
+    return S.ranked_skills(written(PQ.snapshots(s, d), "snapshots"))
 
 
 def _panorama(s, d):
@@ -68,7 +69,7 @@ QUERIES = {
         "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY role, time_window ORDER BY adjusted_support DESC, skill_id) AS skill_rank FROM snapshots) WHERE skill_rank <= 12",
     ),
     "latest_summary": (
-        lambda s, d: S.latest_summary(PQ.profiles(s, d), PQ.support(s, d)),
+        lambda s, d: S.latest_summary(*PQ.chain(s, d)),
         """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY role ORDER BY summary_support DESC, evidence_count DESC, skill_id) AS summary_rank FROM (
            SELECT s.role, s.skill_id, round(sum(adjusted_support * jd_count) / sum(jd_count) + 1e-10::DOUBLE, 6) AS summary_support, sum(evidence_count)::BIGINT AS evidence_count FROM support s JOIN (SELECT p.* FROM profiles p JOIN (SELECT role, max(window_start) AS newest FROM profiles GROUP BY ALL) n USING (role) WHERE window_start = newest) p USING (role, industry, level, time_window) GROUP BY ALL)) WHERE summary_rank <= 20""",
     ),
