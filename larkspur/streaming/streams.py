@@ -144,10 +144,11 @@ def version_changes(stream: DataFrame, key: str, order: tuple[str, str], *, late
 def current_rows(changes: DataFrame, key: str, order: tuple[str, str]) -> DataFrame:
     """The current row of each key by a log of ``version_changes``, in one aggregation; a key that expired last has none.
 
-    What changes later is later in ``order`` or has more observations.
+    What changes later is later in ``order`` or, at the same place, has more observations;
+    a key that comes back after it expired counts from one again, but lies behind.
     """
     rows = changes.where("kind != 'late'")
-    at = F.struct("observations", *(F.coalesce(F.col(c).cast("long"), F.lit(_LEAST)) for c in order), (F.col("kind") == "expired").alias("_gone"))
+    at = F.struct(*(F.coalesce(F.col(c).cast("long"), F.lit(_LEAST)) for c in order), "observations", (F.col("kind") == "expired").alias("_gone"))
     last = rows.groupBy(F.col(key).alias("_key")).agg(F.max_by(F.struct(*(F.col(c) for c in rows.columns)), at).alias("_row"))
     return last.select("_row.*").where("kind = 'current'")
 

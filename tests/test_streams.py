@@ -71,13 +71,14 @@ def test_changes_are_those_of_each_batch(spark, tmp_path, late):
 
 def test_idle_keys_expire_and_come_back(spark, tmp_path):
     day = 86_400  # a watermark starts at the epoch, and what is no later is late
-    batches = [[("a", 1000 * day, 1, "x"), ("b", 1000 * day, 2, "y")], [("b", 1005 * day, 3, "z")], [("b", 1009 * day, 4, "w"), ("c", None, 5, "n")], [("a", 1010 * day, 6, "v")]]
+    batches = [[("a", 999 * day, 0, "u"), ("a", 1000 * day, 1, "x"), ("b", 1000 * day, 2, "y")], [("b", 1005 * day, 3, "z")], [("b", 1009 * day, 4, "w"), ("c", None, 5, "n")], [("a", 1010 * day, 6, "v")]]
     stream = _files(spark, str(tmp_path / "in"), batches)
     changes = ST.version_changes(stream, "uid", ORDER, idle_ms=3 * day * 1000, time="ts", grace="1 day")
     log = ST.run_to_table(changes, str(tmp_path / "log"), str(tmp_path / "check"))
     got = sorted((r.uid, r.kind, r.body) for r in log.collect())
     assert ("a", "expired", "x") in got and ("a", "current", "v") in got and ("c", "current", "n") not in got
     assert [g for g in got if g[0] == "b" and g[1] == "current"] == [("b", "current", "w"), ("b", "current", "y"), ("b", "current", "z")]
+    assert sorted(r.body for r in ST.current_rows(log, "uid", ORDER).collect()) == ["v", "w"]  # a came back with fewer observations than it had
 
 
 def test_changes_of_nothing_and_clashing_columns(spark, tmp_path):
