@@ -8,15 +8,15 @@ unmatched characters.  Texts meet in what their segments and substrings have in
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.operators.blocks import meet
-from larkspur.operators.dedup import ratio_from
+from larkspur.operators.dedup import _codes, ratio_from
 from larkspur.session import written
 
 
@@ -54,6 +54,23 @@ def probes_of(text: str, least: float) -> set[str]:
     return out
 
 
+#: Buckets in which characters are counted before texts are compared.
+BUCKETS = 64
+
+
+def _may_be_alike(own: list[str], other: list[str], least: float) -> np.ndarray:
+    """Whether lengths and characters allow the ratio, for all pairs at once; characters of one bucket count as equal."""
+    bags = [np.stack([np.bincount(_codes(t) % BUCKETS, minlength=BUCKETS) for t in texts]).astype(np.int32) for texts in (own, other)]
+    m, n = (bag.sum(axis=1) for bag in bags)
+    total = m[:, None] + n[None]
+    common = np.zeros(total.shape, np.int32)
+    for k in range(BUCKETS):
+        x, y = bags[0][:, k], bags[1][:, k]
+        if x.any() and y.any():
+            common += np.minimum(x[:, None], y[None])
+    return (2 * common >= least * total - 1e-9) & (2 * np.minimum(m[:, None], n[None]) >= least * total - 1e-9)
+
+
 def similar_texts(df: DataFrame, text: str, least: float, block: str | None = None) -> DataFrame:
     """``a, b, ratio`` of all pairs of distinct texts, ``a < b``, whose ratio, as that of ``a`` to ``b``, is ``least`` or more.
 
@@ -64,7 +81,8 @@ def similar_texts(df: DataFrame, text: str, least: float, block: str | None = No
     if not 0.5 < least <= 1:
         raise ValueError("least must lie above 0.5")
     of_block = F.coalesce(F.col(block).cast("string"), F.lit("\0")) if block else F.lit("")
-    texts = written(df.where(F.col(text).isNotNull()).select(of_block.alias("_b"), F.col(text).alias("t")).distinct(), "texts")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a text has hundreds of keys: small files are much work
+    texts = written(df.where(F.col(text).isNotNull()).select(of_block.alias("_b"), F.col(text).alias("t")).distinct().repartition(parts), "texts")
 
     def keyed(probe: bool) -> DataFrame:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -77,18 +95,18 @@ def similar_texts(df: DataFrame, text: str, least: float, block: str | None = No
 
     def compare(homes: pd.DataFrame, visitors: pd.DataFrame) -> pd.DataFrame:
         out, key = [], homes["k"].iloc[0]
-        bags = [(t, Counter(t)) for t in homes["t"]]
-        for u in visitors["t"]:
-            bag, probes = Counter(u), None
-            for t, own in bags:
-                n = len(t) + len(u)
-                if t == u or (len(t) == len(u) and t > u) or 2 * min(len(t), len(u)) < least * n - 1e-9 or 2 * (own & bag).total() < least * n - 1e-9:
-                    continue
-                probes = probes_of(u, least) if probes is None else probes
-                if min(keys_of(t, least) & probes) == key:
-                    a, b = min(t, u), max(t, u)
-                    if (r := ratio_from(a, b, least)) >= least:
-                        out.append((a, b, r, homes["_b"].iloc[0]))
+        own, other = homes["t"].tolist(), visitors["t"].tolist()
+        keys, probes = [keys_of(t, least) for t in own], {}
+        for i, j in zip(*np.nonzero(_may_be_alike(own, other, least)), strict=True):
+            t, u = own[i], other[j]
+            if t == u or (len(t) == len(u) and t > u):
+                continue
+            if j not in probes:
+                probes[j] = probes_of(u, least)
+            if min(keys[i] & probes[j]) == key:
+                a, b = min(t, u), max(t, u)
+                if (r := ratio_from(a, b, least)) >= least:
+                    out.append((a, b, r, homes["_b"].iloc[0]))
         return pd.DataFrame(out, columns=["a", "b", "ratio", "_b"])
 
     found = meet(keyed(False), keyed(True), ["_b", "k"], "t", compare, "a string, b string, ratio double, _b string")

@@ -41,3 +41,11 @@ def test_no_pair_is_lost(spark, monkeypatch, least, block):
     assert dict(got) == expected and len(got) == len(expected) > 0
     everything = {(a, b) for a in own["q"] | own[None] for b in own["q"] | own[None] if a < b and ratio(a, b) >= least}
     assert {(x.a, x.b) for x in editjoin.similar_texts(df, "t", least).collect()} == everything
+
+
+def test_many_keys_are_not_broadcast(spark):
+    """The files of repeated titles are tiny, their keys are millions: the join of the cells' sizes mustn't go by the files."""
+    df = spark.range(200).selectExpr("concat('cold plate ', lpad(cast(id % 97 as string), 2, '0')) as t", "'x' as b")
+    plan = editjoin.similar_texts(df, "t", 0.9, "b")._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
+    assert "SortMergeJoin" in plan
