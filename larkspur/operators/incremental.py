@@ -8,6 +8,9 @@ that a vote reaches or leaves are computed again; what a later reference does to
 of another profile cancels out.
 
 The rows are those of ``profile`` over the new tables.
+
+Tables of a state are columns that repeat, and their files a small part of what they hold:
+joins of such tables are by sort and merge, as Spark would broadcast them by their files.
 """
 
 from __future__ import annotations
@@ -32,10 +35,22 @@ class State:
     postings: DataFrame  # with template_key
     accepted: DataFrame  # jd_id, skill_id, confidence, requirement
     templates: DataFrame  # template_key, n
-    votes: DataFrame  # _VOTE and n
-    support: DataFrame
-    skills: DataFrame  # skill_id, n
-    pairs: DataFrame  # source, target, n
+    votes: DataFrame | None  # _VOTE and n
+    support: DataFrame | None
+    skills: DataFrame | None  # skill_id, n
+    pairs: DataFrame | None  # source, target, n
+
+    @property
+    def parts(self) -> tuple[str, ...]:
+        return tuple(p for p in PARTS if getattr(self, p) is not None)
+
+
+#: What a state can be kept for: the support of profiles, and the pairs of skills.
+PARTS = ("support", "pairs")
+
+
+def _met(a: DataFrame, b: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    return a.hint("merge").join(b.hint("merge"), key, how)
 
 
 def _summed(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -48,9 +63,9 @@ def _evidence(mentions: DataFrame) -> DataFrame:
 
 def _votes(postings: DataFrame, accepted: DataFrame, templates: DataFrame, floor: float, sign: int) -> DataFrame:
     """What postings vote, once for themselves and once for each skill, ``sign`` times."""
-    rows = postings.join(templates.withColumnRenamed("n", "_size"), "template_key").withColumn("template_weight", P.weight_of(F.col("_size"), floor))
+    rows = _met(postings, templates.withColumnRenamed("n", "_size"), "template_key").withColumn("template_weight", P.weight_of(F.col("_size"), floor))
     own = rows.select("*", F.lit(False).alias("hit"), F.lit(None).cast(accepted.schema["skill_id"].dataType).alias("skill_id"), F.lit(None).cast(accepted.schema["confidence"].dataType).alias("confidence"), F.lit(False).alias("preferred"))
-    hits = rows.join(accepted, "jd_id").withColumn("hit", F.lit(True)).withColumn("preferred", F.coalesce(F.col("requirement") == "preferred", F.lit(False)))
+    hits = _met(rows, accepted, "jd_id").withColumn("hit", F.lit(True)).withColumn("preferred", F.coalesce(F.col("requirement") == "preferred", F.lit(False)))
     return own.select(*_VOTE).union(hits.select(*_VOTE)).withColumn("n", F.lit(sign).cast("long"))
 
 
@@ -60,7 +75,7 @@ def _skills(accepted: DataFrame, sign: int) -> DataFrame:
 
 def _pairs(accepted: DataFrame, sign: int) -> DataFrame:
     a, b = accepted.select("jd_id", F.col("skill_id").alias("source")), accepted.select("jd_id", F.col("skill_id").alias("target"))
-    return a.join(b, "jd_id").where("source < target").select("source", "target", F.lit(sign).cast("long").alias("n"))
+    return _met(a, b, "jd_id").where("source < target").select("source", "target", F.lit(sign).cast("long").alias("n"))
 
 
 def _reference(votes: DataFrame) -> DataFrame:
@@ -92,17 +107,23 @@ def _support(dated: DataFrame, config: P.Config) -> DataFrame:
     return P.tiered(one, whole, config)
 
 
-def built(postings: DataFrame, mentions: DataFrame, key: Column, config: P.Config = P.Config()) -> State:  # noqa: B008
-    """The state of whole tables; ``key`` is the template's, over columns of ``postings``; a null key is no posting's."""
+def built(postings: DataFrame, mentions: DataFrame, key: Column, config: P.Config = P.Config(), parts: tuple[str, ...] = PARTS) -> State:  # noqa: B008
+    """The state of whole tables; ``key`` is the template's, over columns of ``postings``; a null key is no posting's.
+
+    Without one of the ``parts`` (``PARTS``) its tables, and their updates, are left out.
+    """
     own = ["jd_id", *_PLACE, "posted_at", "company_id"]
     rows = written(postings.withColumn("template_key", key).where("template_key is not null").select(*own, "template_key"), "postings")
     evidence = written(_evidence(mentions), "accepted")
     templates = written(rows.groupBy("template_key").agg(F.count("*").alias("n")), "templates")
-    votes = written(_summed(_votes(rows, evidence, templates, config.template_floor, 1), _VOTE), "votes")
-    return State(
-        rows, evidence, templates, votes, written(_support(_dated(votes, _reference(votes)), config), "support"),
-        written(_summed(_skills(evidence, 1), ["skill_id"]), "skills"), written(_summed(_pairs(evidence, 1), ["source", "target"]), "pairs"),
-    )
+    votes = support = skills = pairs = None
+    if "support" in parts:
+        votes = written(_summed(_votes(rows, evidence, templates, config.template_floor, 1), _VOTE), "votes")
+        support = written(_support(_dated(votes, _reference(votes)), config), "support")
+    if "pairs" in parts:
+        skills = written(_summed(_skills(evidence, 1), ["skill_id"]), "skills")
+        pairs = written(_summed(_pairs(evidence, 1), ["source", "target"]), "pairs")
+    return State(rows, evidence, templates, votes, support, skills, pairs)
 
 
 def updated(state: State, changed: DataFrame, postings: DataFrame, mentions: DataFrame, key: Column, config: P.Config = P.Config()) -> State:  # noqa: B008
@@ -113,20 +134,36 @@ def updated(state: State, changed: DataFrame, postings: DataFrame, mentions: Dat
     one of ``built``.
     """
     ids = written(changed.select("jd_id").where("jd_id is not null").distinct(), "changed")
-    old, old_evidence = state.postings.join(ids, "jd_id", "left_semi"), state.accepted.join(ids, "jd_id", "left_semi")
+    of_ids = lambda df, how="left_semi": _met(df, ids, "jd_id", how)
+    old, old_evidence = of_ids(state.postings), of_ids(state.accepted)
     mine = postings.withColumn("template_key", key).where("template_key is not null").select(*state.postings.columns)
-    new, new_evidence = written(mine.join(ids, "jd_id", "left_semi"), "new"), written(_evidence(mentions.join(ids, "jd_id", "left_semi")), "new_accepted")
+    new, new_evidence = written(of_ids(mine), "new"), written(_evidence(of_ids(mentions)), "new_accepted")
 
     of = lambda df, sign: df.select("template_key", F.lit(sign).cast("long").alias("n"))
     moved = _summed(of(old, -1).union(of(new, 1)), ["template_key"])
-    sizes = moved.withColumnRenamed("n", "_d").join(state.templates, "template_key", "left").fillna(0, ["n"])
+    templates = written(_summed(state.templates.union(moved), ["template_key"]), "templates")
+    staying = of_ids(state.postings, "left_anti")
+    votes = support = skills = pairs = None
+    if state.votes is not None:
+        votes, support = _revoted(state, staying, moved, templates, (old, old_evidence), (new, new_evidence), config)
+    if state.pairs is not None:
+        skills = written(_summed(state.skills.union(_skills(old_evidence, -1)).union(_skills(new_evidence, 1)), ["skill_id"]), "skills")
+        pairs = written(_summed(state.pairs.union(_pairs(old_evidence, -1)).union(_pairs(new_evidence, 1)), ["source", "target"]), "pairs")
+    return State(
+        written(staying.select(*new.columns).union(new), "postings"), written(of_ids(state.accepted, "left_anti").select(*new_evidence.columns).union(new_evidence), "accepted"), templates,
+        votes, support, skills, pairs,
+    )
+
+
+def _revoted(state: State, staying: DataFrame, moved: DataFrame, templates: DataFrame, was: tuple[DataFrame, DataFrame], now: tuple[DataFrame, DataFrame], config: P.Config) -> tuple[DataFrame, DataFrame]:
+    """Votes and support after a change of postings and their evidence from ``was`` to ``now``."""
+    (old, old_evidence), (new, new_evidence) = was, now
+    sizes = _met(moved.withColumnRenamed("n", "_d"), state.templates, "template_key", "left").fillna(0, ["n"])
     weight = lambda size: P.weight_of(size, config.template_floor)
     # Mates: postings that stay as they are in a template that weighs something else now.
     reweighed = written(sizes.where((F.col("n") > 0) & (weight(F.col("n")) != weight(F.col("n") + F.col("_d")))).select("template_key"), "reweighed")
-    templates = written(_summed(state.templates.union(moved), ["template_key"]), "templates")
-    staying = state.postings.join(ids, "jd_id", "left_anti")
-    mates = written(staying.join(reweighed, "template_key", "left_semi").select(*state.postings.columns), "mates")
-    mates_evidence = state.accepted.join(mates.select("jd_id").distinct(), "jd_id", "left_semi")
+    mates = written(_met(staying, reweighed, "template_key", "left_semi").select(*state.postings.columns), "mates")
+    mates_evidence = _met(state.accepted, mates.select("jd_id").distinct(), "jd_id", "left_semi")
 
     floor = config.template_floor
     before = _votes(old.select(*mates.columns).union(mates), old_evidence.union(mates_evidence), state.templates, floor, -1)
@@ -136,21 +173,16 @@ def updated(state: State, changed: DataFrame, postings: DataFrame, mentions: Dat
     place = F.xxhash64(*(F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in _PLACE)).alias("_place")
     places = delta.select(place).distinct()
     held = state.votes.withColumn("_place", place)
-    merged = _summed(held.join(places, "_place", "left_semi").drop("_place").union(delta), _VOTE)
-    votes = written(merged.union(held.join(places, "_place", "left_anti").drop("_place").select(*merged.columns)), "votes")
+    merged = _summed(_met(held, places, "_place", "left_semi").drop("_place").union(delta), _VOTE)
+    votes = written(merged.union(_met(held, places, "_place", "left_anti").drop("_place").select(*merged.columns)), "votes")
 
-    then, now = _reference(state.votes), _reference(votes)
+    then, now_ = _reference(state.votes), _reference(votes)
     undated = state.votes.where("posted_at is null").union(votes.where("posted_at is null"))  # these go with the reference
-    reached = _dated(delta, now).select(_cell()).union(_dated(delta, then).select(_cell())).union(_dated(undated, now).select(_cell())).union(_dated(undated, then).select(_cell()))
+    reached = _dated(delta, now_).select(_cell()).union(_dated(delta, then).select(_cell())).union(_dated(undated, now_).select(_cell())).union(_dated(undated, then).select(_cell()))
     cells = written(reached.distinct(), "cells")
-    again = _support(_dated(votes, now).withColumn("_cell", _cell()).join(cells, "_cell", "left_semi"), config)
-    kept = state.support.withColumn("_cell", _cell()).join(cells, "_cell", "left_anti").select(*again.columns)
-    return State(
-        written(staying.select(*new.columns).union(new), "postings"), written(state.accepted.join(ids, "jd_id", "left_anti").select(*new_evidence.columns).union(new_evidence), "accepted"), templates, votes,
-        written(kept.union(again), "support"),
-        written(_summed(state.skills.union(_skills(old_evidence, -1)).union(_skills(new_evidence, 1)), ["skill_id"]), "skills"),
-        written(_summed(state.pairs.union(_pairs(old_evidence, -1)).union(_pairs(new_evidence, 1)), ["source", "target"]), "pairs"),
-    )
+    again = _support(_met(_dated(votes, now_).withColumn("_cell", _cell()), cells, "_cell", "left_semi"), config)
+    kept = _met(state.support.withColumn("_cell", _cell()), cells, "_cell", "left_anti").select(*again.columns)
+    return votes, written(kept.union(again), "support")
 
 
 def profiles(state: State) -> DataFrame:

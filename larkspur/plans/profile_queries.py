@@ -83,14 +83,14 @@ def _summary(spark, d):
     return P.run_summary(p, w, P.support(w, accepted(spark, d)))
 
 
-def _refreshed(spark, d):
+def _refreshed(spark, d, *parts):
     """A state of other postings, updated to these: some are new, some were of another role and time, some are gone."""
     p, m = A.postings(spark, d), A.mentions(spark, d)
     late = F.col("jd_id") % 7 == 0
     moved = F.col("jd_id") % 11 == 0
     stale = p.where(~late).withColumn("role", F.when(moved, "other").otherwise(F.col("role"))).withColumn("posted_at", F.when(moved, F.add_months("posted_at", 14).cast(p.schema["posted_at"].dataType)).otherwise(F.col("posted_at")))
     gone = lambda df: df.where("jd_id % 13 = 0").withColumn("jd_id", -F.col("jd_id") - 1)
-    state = I.built(stale.union(gone(p)), m.where(~late).union(gone(m)), template())
+    state = I.built(stale.union(gone(p)), m.where(~late).union(gone(m)), template(), parts=parts)
     changed = p.where(late | moved).select("jd_id").union(gone(p).select("jd_id"))
     return I.updated(state, changed, p, m, template())
 
@@ -99,9 +99,9 @@ _COOCCURRENCE = """SELECT * FROM (SELECT source, target, cooccurrence, round(coo
            JOIN (SELECT skill_id, count(*) AS n FROM accepted GROUP BY ALL) a ON a.skill_id = source JOIN (SELECT skill_id, count(*) AS n FROM accepted GROUP BY ALL) b ON b.skill_id = target) WHERE jaccard_score >= 0.001 ORDER BY jaccard_score DESC, cooccurrence DESC, source, target LIMIT 2000"""
 
 QUERIES = {
-    "incremental_support": (lambda s, d: _refreshed(s, d).support, "SELECT * FROM support"),
-    "incremental_snapshots": (lambda s, d: I.snapshots(_refreshed(s, d)), "SELECT * FROM snapshots"),
-    "incremental_cooccurrence": (lambda s, d: I.cooccurrence(_refreshed(s, d), P.Config(related_score=0.001)), _COOCCURRENCE),
+    "incremental_support": (lambda s, d: _refreshed(s, d, "support").support, "SELECT * FROM support"),
+    "incremental_snapshots": (lambda s, d: I.snapshots(_refreshed(s, d, "support")), "SELECT * FROM snapshots"),
+    "incremental_cooccurrence": (lambda s, d: I.cooccurrence(_refreshed(s, d, "pairs"), P.Config(related_score=0.001)), _COOCCURRENCE),
     "role_skill_support": (support, "SELECT * FROM support"),
     "posting_weights": (_time_weight, "SELECT jd_id, time_window, window_start, round(time_weight, 6) AS time_weight, template_size, template_weight, round(base, 6) AS base FROM weighted"),
     "accepted_evidence": (accepted, "SELECT * FROM accepted"),

@@ -67,3 +67,14 @@ def test_all_gone_and_back_again(spark):
     empty = I.updated(I.built(*full, _key()), ids, *none, _key())
     _same(spark, empty, {}, {})
     _same(spark, I.updated(empty, ids, *full, _key()), postings, mentions)
+
+
+def test_tables_are_not_broadcast_by_their_files(spark):
+    """The files of a state are small, what they hold is not."""
+    rng = random.Random(5)
+    postings, mentions = _frames(spark, {jd: _posting(rng, jd) for jd in range(20)}, {jd: _mentions(rng, jd) for jd in range(20)})
+    state = I.built(postings, mentions, _key(), parts=("pairs",))
+    assert state.parts == ("pairs",) and state.votes is None and state.support is None
+    assert _rows(state.pairs) == _rows(I.built(postings, mentions, _key()).pairs)
+    for df in (I._votes(state.postings, state.accepted, state.templates, 0.35, 1), I._pairs(state.accepted, 1)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
