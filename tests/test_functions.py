@@ -96,3 +96,23 @@ def test_wilson(spark):
 
 def test_display_title(spark):
     assert one(spark, T.display_title(F.col("t")), t="java与c++开发工程师 (devops)") == "Java与C++开发工程师 (DevOps)"
+
+
+def test_a_text_is_gone_through_once(spark):
+    """Grams and normalized text as by rule, and no use of the text is normalized anew."""
+    import re
+
+    from larkspur.functions import text as X
+
+    texts = ["", None, " NaN﻿\n", "n﻿a", "N/A", "- ", "nan.", "none x", "İa工程 b#", "abc", "ab", "x" * 5 + "😀y"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+
+    def plain(t):
+        t = (t or "").replace("﻿", "").strip().lower()
+        return "" if t in X.BLANKS else re.sub("[^0-9a-z一-鿿+#.]", "", t)
+
+    got = df.select("i", X.normalize_text(df.t).alias("n"), X.shingles(df.t).alias("g")).orderBy("i").collect()
+    expected = [plain(t) for t in texts]
+    assert [r.n for r in got] == expected
+    assert [r.g for r in got] == [[n[i : i + 3] for i in range(len(n) - 2)] if len(n) > 3 else [n] * bool(n) for n in expected]
+    assert str(X.shingles(df.t)).lower().count("regexp_replace") == 1
