@@ -47,15 +47,24 @@ def _blocks(df: DataFrame, key: str, vector: str, n: int) -> DataFrame:
     return df.select(F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("blk"), F.col(key).alias("key"), F.col(vector).alias("v"))
 
 
+#: Blocks of a side of ``top_k`` while they hold no more than ``MOST_BLOCK`` rows.
+PARTS, MOST_BLOCK = 16, 16384
+
+
+def _parts(rows: int) -> int:
+    return max(1, min(PARTS, -(-rows // BLOCK)), -(-rows // MOST_BLOCK))
+
+
 def top_k(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: int, least: float = 0.0) -> DataFrame:
     """``query, neighbour, similarity, rank``: the ``k`` most similar rows of each query, itself left out.
 
     Queries and rows are cut into blocks; a task multiplies two blocks and keeps the best
     ``k`` of each query there, so what is shuffled on is ``k`` rows for each query and
-    block.  Equal similarities are ordered by key.
+    block.  A row is sent to every block of the other side: up to ``PARTS * MOST_BLOCK``
+    rows these are no more than ``PARTS``, so the shuffle grows with the rows; the products are
+    quadratic.  Equal similarities are ordered by key.
     """
-    n = max(1, -(-rows.count() // BLOCK))
-    m = max(1, -(-queries.count() // BLOCK))
+    n, m = _parts(rows.count()), _parts(queries.count())
     left = _blocks(queries, key, vector, m).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).select("blk", "other", F.lit(0).alias("side"), "key", "v")
     right = _blocks(rows, key, vector, n).withColumn("mine", F.explode(F.sequence(F.lit(0), F.lit(m - 1)))).select(F.col("mine").alias("blk"), F.col("blk").alias("other"), F.lit(1).alias("side"), "key", "v")
     kind = dict(rows.dtypes)[key]
@@ -66,12 +75,16 @@ def top_k(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: int, le
             return pd.DataFrame({"query": [], "neighbour": [], "similarity": []})
         a, b = (np.stack(x["v"].to_list()).astype(np.float64) for x in (q, r))
         a, b = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) for x in (a, b))
-        s = np.round(np.clip(a @ b.T, 0, 1), 9)
-        s[q["key"].to_numpy()[:, None] == r["key"].to_numpy()[None, :]] = -1
-        best = np.argsort(-s, axis=1, kind="stable")[:, :k]
-        at = np.repeat(np.arange(len(q)), best.shape[1])
-        found = s[at, best.ravel()]
-        return pd.DataFrame({"query": q["key"].to_numpy()[at], "neighbour": r["key"].to_numpy()[best.ravel()], "similarity": found})[found >= max(least, 0.0)]
+        mine, other, out = q["key"].to_numpy(), r["key"].to_numpy(), []
+        step = max(1, BLOCK * BLOCK // len(r))  # as many similarities at a time as two small blocks have
+        for i in range(0, len(q), step):
+            s = np.round(np.clip(a[i : i + step] @ b.T, 0, 1), 9)
+            s[mine[i : i + step, None] == other[None, :]] = -1
+            best = np.argsort(-s, axis=1, kind="stable")[:, :k]
+            at = np.repeat(np.arange(len(s)), best.shape[1])
+            found = s[at, best.ravel()]
+            out.append(pd.DataFrame({"query": mine[i + at], "neighbour": other[best.ravel()], "similarity": found})[found >= max(least, 0.0)])
+        return pd.concat(out)
 
     part = left.union(right).groupBy("blk", "other").applyInPandas(run, f"query {kind}, neighbour {kind}, similarity double")
     w = Window.partitionBy("query").orderBy(F.col("similarity").desc(), "neighbour")

@@ -116,3 +116,10 @@ def test_a_text_is_gone_through_once(spark):
     assert [r.n for r in got] == expected
     assert [r.g for r in got] == [[n[i : i + 3] for i in range(len(n) - 2)] if len(n) > 3 else [n] * bool(n) for n in expected]
     assert str(X.shingles(df.t)).lower().count("regexp_replace") == 1
+
+
+def test_blocks_of_the_exact_search_stay_few():
+    """A row is sent to every block of the other side, so blocks grow before they multiply."""
+    from larkspur.operators.similarity import MOST_BLOCK, PARTS, _parts
+
+    assert [_parts(n) for n in (0, 1, 1025, 51_282, PARTS * MOST_BLOCK, PARTS * MOST_BLOCK + 1)] == [1, 1, 2, 16, 16, 17]
