@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larkspur.functions import stats, text
-from larkspur.operators import cluster, concepts, dedup, domain, evidence, greedy, review, serve, similarity, versions
+from larkspur.operators import cluster, concepts, consolidation, dedup, domain, evidence, greedy, matching, review, serve, similarity, versions
 from larkspur.plans import catalog
 from larkspur.sources import ingest, sinks
 from larkspur.streaming import streams
@@ -296,3 +296,25 @@ def test_fisher_counts_equal_tables_as_equal():
     assert stats.fisher_exact(3, 10, 7, 10) == pytest.approx(0.178895, abs=1e-6)
     assert stats.fisher_exact(0, 5, 5, 5) == pytest.approx(2 / math.comb(10, 5)) and stats.fisher_exact(50, 100, 50, 100) == 1.0
     assert stats.fisher_exact(2400, 5000, 2500, 5000) == pytest.approx(0.0476, abs=2e-3)
+
+
+def test_overlap_of_names_normalizes_each_once(spark):
+    """A name was normalized anew for each bigram, and all pairs of one small file were one task's."""
+    made = str(matching.meaningful_overlap(F.col("a"), F.col("b")))
+    assert made.count("[^0-9a-z") == 2
+
+
+def test_cluster_edges_spread_their_pairs(spark, sf):
+    plan = catalog.QUERIES["cluster_edges"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" in plan
+
+
+def test_cluster_edges_by_bounds_and_names(spark):
+    """Overlap decides only between the bounds; other words or years keep a pair apart."""
+    rows = [
+        (1, 2, "data model", "data models", 0.97, 0.94, 0.0, False), (1, 3, "data model", "hot bolt", 0.97, 0.94, 0.0, False), (1, 4, "data model", "hot bolt", 0.99, 0.99, 0.0, False),
+        (1, 5, "数据模型", "数据建模", 0.97, 0.94, 0.0, False), (1, 6, "数据模型", "财务", 0.97, 0.94, 0.0, False), (1, 7, "数据模型", "财务", 0.99, 0.99, 0.0, False),
+        (1, 8, "数据3年", "数据5年", 0.99, 0.99, 0.0, False), (1, 9, "数据3年", "数据3年", 0.99, 0.99, 0.0, False), (1, 10, "a", "b", 0.97, 0.97, 0.97, True), (1, 11, "a", "b", 0.97, None, 0.97, False),
+    ]
+    df = spark.createDataFrame(rows, "a int, b int, a_name string, b_name string, phrase double, context double, lexical double, by_name boolean")
+    assert sorted(r.b for r in consolidation.cluster_edges(df).collect()) == [2, 5, 7, 9, 10]
