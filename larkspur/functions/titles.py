@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larkspur.functions.text import clean_value, first_rule, normalize_text, strip
+from larkspur.functions.text import bound, clean_value, first_rule, normalize_text, strip
 
 #: Title patterns by precedence.
 ROLE_RULES = [
@@ -31,7 +31,8 @@ def role_title(title: Column, fallback: Column) -> Column:
     """The first rule's role; else the title without brackets and degree words; else the fallback."""
     rest = F.regexp_replace(F.regexp_replace(clean_value(title), "[（(].*?[）)]", ""), r"高级|资深|初级|中级|专家|实习|急聘|诚聘|招聘|\s+", "")
     rest = F.regexp_replace(rest, "^[-_/·,，。 ]+|[-_/·,，。 ]+$", "")
-    return first_rule(normalize_text(title), ROLE_RULES, F.when(F.length(rest).between(2, 24), rest).otherwise(fallback))
+    rest = bound(rest, lambda t: F.when(F.length(t).between(2, 24), t).otherwise(fallback))
+    return bound(normalize_text(title), lambda t: first_rule(t, ROLE_RULES, rest))
 
 
 def evolution_title(title: Column) -> Column:

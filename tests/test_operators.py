@@ -9,7 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from larkspur.functions import stats, text
+from larkspur.functions import stats, text, titles
 from larkspur.operators import cluster, concepts, consolidation, dedup, domain, evidence, greedy, matching, review, serve, similarity, versions
 from larkspur.plans import catalog
 from larkspur.sources import ingest, sinks
@@ -318,3 +318,12 @@ def test_cluster_edges_by_bounds_and_names(spark):
     ]
     df = spark.createDataFrame(rows, "a int, b int, a_name string, b_name string, phrase double, context double, lexical double, by_name boolean")
     assert sorted(r.b for r in consolidation.cluster_edges(df).collect()) == [2, 5, 7, 9, 10]
+
+
+def test_role_title_normalizes_once(spark):
+    """Each rule normalized the title anew, and all titles of one small file were one task's."""
+    assert str(titles.role_title(F.col("t"), F.lit("none"))).count("[^0-9a-z") == 1
+
+
+def test_role_titles_spread_their_rows(spark, sf):
+    assert "Repartition" in catalog.QUERIES["role_titles"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
