@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.functions.stats import distinctiveness
+from larkspur.session import all_tasks
 
 
 @dataclass(frozen=True)
@@ -49,13 +50,31 @@ def with_thresholds(roles: DataFrame, final: bool, c: Config = Config()) -> Data
     return roles.withColumn("least_jds", F.when(small, up("jds", share, 3 if final else 2)).otherwise(up("jds", big[1], big[0]))).withColumn("least_companies", F.when(small, up("companies", share, 2)).otherwise(up("companies", big[3], big[2])))
 
 
-def candidate_groups(mentions: DataFrame, postings: DataFrame) -> DataFrame:
-    """Skills by category: distinct postings, companies, roles, and postings with verified evidence."""
-    rows = mentions.where(~F.col("status").startswith("REJECTED")).join(postings.select("jd_id", "company_id", "role"), "jd_id")
-    return rows.groupBy("skill_id", "category").agg(
-        F.countDistinct("jd_id").alias("jds"), F.countDistinct("company_id").alias("companies"), F.countDistinct("role").alias("roles"),
-        F.countDistinct(F.when(F.col("status") == "VERIFIED", F.col("jd_id"))).alias("verified_jds"),
-    )
+def distinct_counts(rows: DataFrame, keys: list[str], counts: dict[str, str], flagged: tuple[str, str, Column], many: tuple[str, ...] = ()) -> DataFrame:
+    """``keys`` and for each name in ``counts`` the distinct values of its column; ``flagged`` is a further name, one of the columns, and a condition that a row of a value must meet.
+
+    Each column is made distinct by itself: several distinct counts in one aggregate would
+    hold every row once for each of them.  A column of ``many`` values is dealt to all tasks
+    of a shuffle, as tasks merged by their compressed size would hold millions of values.
+    """
+    name, of, condition = flagged
+    parts = []
+    for own, column in counts.items():
+        met = F.max(F.coalesce(condition, F.lit(False))) if column == of else F.lit(False)
+        dealt = all_tasks(rows.select(*keys, column), *keys, column) if column in many else rows
+        one = dealt.groupBy(*keys, column).agg(met.alias("_met")).groupBy(*keys).agg(F.count(column).alias("_n"), F.count(F.when(F.col("_met"), F.col(column))).alias("_m"))
+        parts.append(one.select(*keys, *(F.col("_n" if c == own else "_m") if c == own or (c == name and column == of) else F.lit(0).cast("long").alias(c) for c in (*counts, name))).toDF(*keys, *counts, name))
+    every = parts[0]
+    for more in parts[1:]:
+        every = every.union(more)
+    return every.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in (*counts, name)))
+
+
+def candidate_groups(mentions: DataFrame, postings: DataFrame, roles: bool = True) -> DataFrame:
+    """Skills by category: distinct postings, companies, roles (if asked for), and postings with verified evidence."""
+    rows = all_tasks(mentions.where(~F.col("status").startswith("REJECTED")).select("skill_id", "category", "jd_id", "status"), "jd_id").join(postings.select("jd_id", "company_id", "role"), "jd_id")
+    counts = {"jds": "jd_id", "companies": "company_id"} | ({"roles": "role"} if roles else {})
+    return distinct_counts(rows, ["skill_id", "category"], counts, ("verified_jds", "jd_id", F.col("status") == "VERIFIED"), ("company_id",))
 
 
 def harmonized(groups: DataFrame) -> DataFrame:

@@ -327,3 +327,19 @@ def test_role_title_normalizes_once(spark):
 
 def test_role_titles_spread_their_rows(spark, sf):
     assert "Repartition" in catalog.QUERIES["role_titles"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_candidate_groups_without_expanded_rows(spark):
+    """One aggregate with four distinct counts held every row four times; nulls are a group, but no value."""
+    m = spark.createDataFrame([("s", "c", 1, "VERIFIED"), ("s", "c", 1, "LOW"), ("s", "c", 2, "LOW"), ("s", None, 3, "VERIFIED"), ("s", None, 4, "REJECTED"), ("s", "c", 5, "VERIFIED")], "skill_id string, category string, jd_id int, status string")
+    p = spark.createDataFrame([(1, 7, "r"), (2, 7, "q"), (3, None, "r"), (4, 8, "r"), (5, 9, None), (5, 10, "r")], "jd_id int, company_id int, role string")
+    out = concepts.candidate_groups(m, p)
+    assert sorted((r.category or "", r.jds, r.companies, r.roles, r.verified_jds) for r in out.collect()) == [("", 1, 0, 1, 1), ("c", 3, 3, 2, 2)]
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rolled_up_without_expanded_rows(spark):
+    facts = spark.createDataFrame([("a", "m", 1, 1, True), ("a", "n", 1, 1, False), ("a", "n", 2, 2, False), (None, "m", 1, 1, None)], "concept string, member string, company_id int, jd_id int, verified boolean")
+    out = consolidation.rolled_up(facts, F.col("concept") == "a")
+    assert sorted((r.concept or "", r.members, r.companies, r.jds, r.verified_rate, r.status) for r in out.collect()) == [("", 1, 1, 1, 0.0, "CANDIDATE"), ("a", 2, 2, 2, 0.5, "STANDARD")]
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
