@@ -81,7 +81,7 @@ def _scores(s, d):
 
 
 def _categories(s, d):
-    return C.harmonized(C.candidate_groups(A.mentions(s, d), A.postings(s, d)))
+    return C.harmonized(C.candidate_groups(A.mentions(s, d), A.postings(s, d), roles=False))
 
 
 def _quota(s, d):
