@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import difflib
 import hashlib
 import random
 
@@ -175,3 +176,34 @@ def test_no_near_duplicate_is_lost(spark, monkeypatch, block):
                 expected[i, j] = s
     got = {(x.a, x.b): x.similarity for x in dedup.near_duplicates(df, "id", "role", F.col("t")).collect()}
     assert got.keys() == expected.keys() and all(abs(got[p] - s) < 1e-12 for p, s in expected.items()) and len(expected) > 20
+
+
+def test_pairs_out_of_reach_go_before_their_texts_are_fetched(spark, monkeypatch):
+    """Texts of the same trigrams have close hashes whatever their lengths; only pairs that lengths and counts allow are fetched."""
+    fetched, real = [], dedup.with_texts
+
+    def counting(pairs, *args):
+        fetched.append(pairs.count())
+        return real(pairs, *args)
+
+    monkeypatch.setattr(dedup, "with_texts", counting)
+    # A word over and over: the same hash at any length.  The last one is like the first.
+    texts = ["abcdefghij" * k for k in (20, 25, 30, 40, 50)] + ["abcdefghij" * 20 + "a"]
+    df = spark.createDataFrame([(i, "r", t) for i, t in enumerate(texts)], "id int, role string, t string")
+    got = {(x.a, x.b) for x in dedup.near_duplicates(df, "id", "role", F.col("t")).collect()}
+    assert got == {(0, 5)} and fetched == [1]
+
+
+@pytest.mark.parametrize("area", [0, 2000])
+def test_ratio_of_long_texts_is_that_of_difflib(monkeypatch, area):
+    """Over listed blocks: moved and repeated parts, many kinds of characters, grams that repeat too often to be listed."""
+    monkeypatch.setattr(dedup, "AREA", area)
+    r = random.Random(4)
+    for k, alphabet in enumerate(["ab", "abcdefgh", "".join(map(chr, range(0x4E00, 0x4E00 + 400))), "a"] * 6):
+        a = "".join(r.choice(alphabet) for _ in range(r.randint(300, 700)))
+        b = "".join(r.choice((c,) * (8, 30, 200)[k % 3] + ("", "x")) for c in a)
+        a, b = (a, b[99:] + b[:99]) if k % 5 == 0 else (a[:200] * 3, b[:210] * 3) if k % 5 == 1 else (a, b)
+        expected = difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
+        assert dedup.ratio(a, b) == expected
+        for least in (0.5, 0.9, 0.97):
+            assert dedup.ratio_from(a, b, least) in ((expected,) if expected >= least else (expected, 0.0))
