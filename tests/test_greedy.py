@@ -207,3 +207,22 @@ def test_ratio_of_long_texts_is_that_of_difflib(monkeypatch, area):
         assert dedup.ratio(a, b) == expected
         for least in (0.5, 0.9, 0.97):
             assert dedup.ratio_from(a, b, least) in ((expected,) if expected >= least else (expected, 0.0))
+
+
+def test_templates_fetch_only_texts_within_reach(spark, monkeypatch):
+    """Long texts of few syllables have nearly the same characters; their trigrams tell them apart before they are fetched."""
+    fetched, real = [], dedup.with_texts
+
+    def counting(pairs, *args):
+        fetched.append(pairs.count())
+        return real(pairs, *args)
+
+    monkeypatch.setattr(dedup, "with_texts", counting)
+    r = random.Random(2)
+    syllables = ["".join(r.choices("aeinorst", k=r.randint(2, 4))) for _ in range(300)]
+    often = [1 / (i + 1) ** 0.8 for i in range(300)]
+    rows = [(i, "r", "".join(r.choices(syllables, often, k=1500))) for i in range(8)]
+    rows.append((99, "r", rows[0][2] + "x"))
+    df = spark.createDataFrame(rows, "id int, role string, t string")
+    got = {x.id: x.template for x in dedup.greedy_templates(df, "role", "id", F.col("t")).collect()}
+    assert got == {i: i for i in range(8)} | {99: 0} and max(fetched) <= 1
