@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larkspur.operators import blocks, dedup, greedy, similarity
+from larkspur.plans import entity_queries
 
 
 def loop_unions(edges, nodes, most=0, near=None):
@@ -226,3 +227,19 @@ def test_templates_fetch_only_texts_within_reach(spark, monkeypatch):
     df = spark.createDataFrame(rows, "id int, role string, t string")
     got = {x.id: x.template for x in dedup.greedy_templates(df, "role", "id", F.col("t")).collect()}
     assert got == {i: i for i in range(8)} | {99: 0} and max(fetched) <= 1
+
+
+def test_clusters_fetch_only_texts_within_reach(spark, monkeypatch):
+    """The clusters of all documents: copies and near copies together, texts of equal hashes and other lengths apart and never fetched."""
+    fetched, real = [], dedup.with_texts
+
+    def counting(pairs, *args):
+        fetched.append(pairs.count())
+        return real(pairs, *args)
+
+    monkeypatch.setattr(dedup, "with_texts", counting)
+    texts = ["abcdefghij" * k for k in (20, 25, 30, 40, 50)] + ["abcdefghij" * 20 + "a", "ABCDEFGHIJ" * 30, None]
+    df = spark.createDataFrame([(i, t, "en", "src") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    monkeypatch.setattr(entity_queries, "docs", lambda s, d: df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("lang").alias("role")))
+    got = {x.node: x.component for x in entity_queries._near_clusters(spark, "").collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 0, 6: 2, 7: 7} and fetched == [1]
