@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from larkspur.operators import blocks, dedup, greedy, similarity
+from larkspur.operators import blocks, cluster, dedup, greedy, similarity
 from larkspur.plans import entity_queries
 
 
@@ -243,3 +243,45 @@ def test_clusters_fetch_only_texts_within_reach(spark, monkeypatch):
     monkeypatch.setattr(entity_queries, "docs", lambda s, d: df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("lang").alias("role")))
     got = {x.node: x.component for x in entity_queries._near_clusters(spark, "").collect()}
     assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 0, 6: 2, 7: 7} and fetched == [1]
+
+
+def test_clusters_compare_no_pair_within_a_cluster(spark, monkeypatch):
+    """Near copies that are all alike are compared with the nearest earlier one alone, not all with all; a copy and another block stay as they were."""
+    fetched, real = [], dedup.with_texts
+
+    def counting(pairs, *args):
+        fetched.append(pairs.count())
+        return real(pairs, *args)
+
+    monkeypatch.setattr(dedup, "with_texts", counting)
+    r = random.Random(8)
+    base = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3000))
+    texts = [base[: 200 * i] + "z" + base[200 * i :] for i in range(12)]
+    rows = [*((i, "en", t) for i, t in enumerate(texts)), (20, "en", texts[3].upper()), (21, "de", texts[0]), (22, None, texts[1]), (23, "en", "")]
+    df = spark.createDataFrame(rows, "id long, role string, t string")
+    got = {x.node: x.component for x in dedup.near_clusters(df, "id", "role", F.col("t")).collect()}
+    assert got == {i: 0 for i in (*range(12), 20)} | {21: 21, 22: 22, 23: 23} and fetched[0] == 11 and sum(fetched) < 30
+
+
+def test_unlike_texts_of_frequent_grams_are_bounded(monkeypatch):
+    """Grams that repeat too often to be listed: the longest common subsequence tells such texts apart before they are matched."""
+    r = random.Random(6)
+    one, other = ("".join(r.choice(("the", "of", "an")) for _ in range(1200)) for _ in range(2))
+    monkeypatch.setattr(dedup, "PLACES", 0)
+    expected = difflib.SequenceMatcher(None, one, one[:-3] + "xyz", autojunk=False).ratio()
+    assert dedup.ratio_from(one, one[:-3] + "xyz", 0.93) == expected
+    monkeypatch.setattr(dedup, "_matched_between", lambda a, b: pytest.fail("matched"))
+    assert dedup.ratio_from(one, other, 0.93) == 0.0
+
+
+def test_edges_are_computed_once(spark):
+    """Components look at the edges in both directions, and compute them once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    edges = spark.createDataFrame([(1, 2), (2, 3), (7, 9), (4, 4)], "a int, b int").mapInPandas(run, "a int, b int")
+    assert {x.node: x.component for x in cluster.components(edges).collect()} == {1: 1, 2: 1, 3: 1, 7: 7, 9: 7} and seen.value == 4
