@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.functions.stats import distinctiveness
-from larkspur.session import all_tasks
+from larkspur.session import all_tasks, written
 
 
 @dataclass(frozen=True)
@@ -93,11 +93,13 @@ def role_scores(accepted: DataFrame, weighted: DataFrame, c: Config = Config())
     A posting counts once for a skill, with its most confident mention.  Skills below the
     role's thresholds are left out after the distinctiveness is counted.
     """
+    weighted = written(weighted.select("jd_id", "company_id", "role", "base"), "weighted")
     votes = accepted.join(weighted.select("jd_id", "company_id", "role", "base"), "jd_id")
     agg = votes.groupBy("role", "skill_id").agg(
         F.countDistinct("company_id").alias("company_count"), F.count("*").alias("jd_count"), F.count(F.when(F.col("status") == "VERIFIED", 1)).alias("verified_jd_count"),
         F.sum(F.when(F.col("requirement") == "required", 1.0).otherwise(0.4)).alias("rs"), F.sum("confidence").alias("es"), F.sum("base").alias("ts"),
     )
+    agg = written(agg, "role-skills")  # read twice, of other columns each time: Spark would go through the mentions twice
     spread = agg.groupBy("skill_id").agg(F.count("*").alias("roles_with"))
     totals = with_thresholds(role_totals(weighted), True, c)
     n = totals.agg(F.count("*").alias("role_count"))  # one row

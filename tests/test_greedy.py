@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from larkspur.operators import blocks, cluster, dedup, greedy, similarity
+from larkspur.operators import blocks, cluster, concepts, dedup, greedy, similarity
 from larkspur.plans import entity_queries
 
 
@@ -285,3 +285,19 @@ def test_edges_are_computed_once(spark):
 
     edges = spark.createDataFrame([(1, 2), (2, 3), (7, 9), (4, 4)], "a int, b int").mapInPandas(run, "a int, b int")
     assert {x.node: x.component for x in cluster.components(edges).collect()} == {1: 1, 2: 1, 3: 1, 7: 7, 9: 7} and seen.value == 4
+
+
+def test_role_scores_read_the_mentions_once(spark):
+    """The counts of a role's skills are used twice, of other columns each time; the mentions behind them are gone through once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    kind = "jd_id int, skill_id string, status string, requirement string, confidence double"
+    accepted = spark.createDataFrame([(i, "s", "VERIFIED", "required", 1.0) for i in range(4)], kind).mapInPandas(run, kind)
+    weighted = spark.createDataFrame([(i, i, "r", 1.0) for i in range(4)], "jd_id int, company_id int, role string, base double")
+    got = concepts.role_scores(accepted, weighted).collect()
+    assert [(x.role, x.skill_id, x.company_count, x.jd_count, x.verified_jd_count) for x in got] == [("r", "s", 4, 4, 4)] and seen.value == 4
