@@ -134,7 +134,7 @@ def _shown(df):
 QUERIES = {
     "text_functions": (
         _functions,
-        "SELECT doc_id, length(regexp_replace(lower(regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g')), '[^0-9a-z一-鿿+#.]', '', 'g'))::INT AS kept_chars, CASE WHEN n = 0 THEN 0 WHEN n <= 3 THEN 1 ELSE n - 2 END::INT AS grams, len(regexp_extract_all(coalesce(text, ''), '[0-9]+'))::INT AS numbers, '' AS blank FROM (SELECT *, length(substr(regexp_replace(lower(regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g')), '[^0-9a-z一-鿿+#.]', '', 'g'), 1, 12000)) AS n FROM documents)",
+        "SELECT doc_id, length(regexp_replace(lower(regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g')), '[^0-9a-z一-鿿+#.]', '', 'g'))::INT AS kept_chars, CASE WHEN n = 0 THEN 0 WHEN n <= 3 THEN 1 ELSE n - 2 END::INT AS grams, len(regexp_extract_all(coalesce(text, ''), '[0-9]+'))::INT AS numbers, '' AS blank FROM (SELECT *, length(regexp_replace(lower(regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g')), '[^0-9a-z一-鿿+#.]', '', 'g')) AS n FROM documents)",
     ),
     "date_functions": (
         _dates,

@@ -123,3 +123,21 @@ def test_blocks_of_the_exact_search_stay_few():
     from larkspur.operators.similarity import MOST_BLOCK, PARTS, _parts
 
     assert [_parts(n) for n in (0, 1, 1025, 51_282, PARTS * MOST_BLOCK, PARTS * MOST_BLOCK + 1)] == [1, 1, 2, 16, 16, 17]
+
+
+def test_all_of_a_long_text_is_cut_into_grams(spark, tmp_path):
+    """Two texts that differ behind 12,000 characters have different grams, and the query and its SQL count all of them."""
+    import duckdb
+
+    from larkspur.plans import catalog
+
+    texts = ["a" * 12_000 + "bcd", "a" * 12_000 + "efgh 1", "ab, " * 40_000, "x" * 12_002, "ab", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    last = df.where("doc_id < 2").orderBy("doc_id").select(F.element_at(X.shingles(df.text), -1).alias("g"), F.size(X.shingles(df.text)).alias("n")).collect()
+    assert [(r.g, r.n) for r in last] == [("bcd", 12_001), ("gh1", 12_003)]
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    expected = {r[0]: r[2] for r in con.sql(catalog.ORACLE_SQL["text_functions"]).fetchall()}
+    got = {r.doc_id: r.grams for r in catalog.QUERIES["text_functions"](spark, str(tmp_path)).collect()}
+    assert got == expected == {0: 12_001, 1: 12_003, 2: 79_998, 3: 12_000, 4: 1, 5: 0, 6: 0}
