@@ -301,3 +301,56 @@ def test_role_scores_read_the_mentions_once(spark):
     weighted = spark.createDataFrame([(i, i, "r", 1.0) for i in range(4)], "jd_id int, company_id int, role string, base double")
     got = concepts.role_scores(accepted, weighted).collect()
     assert [(x.role, x.skill_id, x.company_count, x.jd_count, x.verified_jd_count) for x in got] == [("r", "s", 4, 4, 4)] and seen.value == 4
+
+
+def test_long_texts_of_few_syllables_are_not_fetched(spark, monkeypatch):
+    """All their trigrams are alike, so that trigrams leave every pair; grams of six tell them apart, and the near copy stays."""
+    fetched, real = [], dedup.with_texts
+
+    def counting(pairs, *args):
+        fetched.append(pairs.count())
+        return real(pairs, *args)
+
+    monkeypatch.setattr(dedup, "with_texts", counting)
+    r = random.Random(3)
+    syllables = ["".join(r.choices("aeinorst", k=r.randint(2, 4))) for _ in range(30)]
+    texts = ["".join(r.choices(syllables, k=2500)) for _ in range(6)]
+    alike = [dedup._common(*(dedup._trigrams(dedup._codes(t)) for t in pair)) for pair in zip(texts, texts[1:], strict=False)]
+    assert min(alike) > 0.85 * max(map(len, texts)) - 4
+    rows = [*((i, "r", t) for i, t in enumerate(texts)), (99, "r", texts[0] + "x")]
+    df = spark.createDataFrame(rows, "id int, role string, t string")
+    got = {x.id: x.template for x in dedup.greedy_templates(df, "role", "id", F.col("t")).collect()}
+    assert got == {i: i for i in range(6)} | {99: 0} and max(fetched) <= 1
+
+
+def test_a_text_is_dealt_once_for_many_pairs(spark):
+    """A group of near copies has a pair for each two; its texts are sent once a side, not once a pair, and every pair has its ratio."""
+    r = random.Random(4)
+    base = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400))
+    texts = [base[: 9 * i] + "z" * (i % 3) + base[9 * i :] for i in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "key int, t string")
+    pairs = spark.createDataFrame([(i, j, 0.5 + i / 100) for i in range(30) for j in range(i)], "v int, h int, w double")
+    assert dedup.with_texts(pairs, df, "v", "h").count() <= 60
+    got = dedup.with_ratio(pairs, df, "v", "h", F.lit(0.97)).collect()
+    assert sorted((x.v, x.h, x.w, x.ratio) for x in got) == [(i, j, 0.5 + i / 100, dedup.ratio_from(texts[i], texts[j], 0.97)) for i in range(30) for j in range(i)]
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "abcdefghijklmnop", "一丁七万😀"])
+def test_counts_bound_what_texts_have_in_common(alphabet):
+    """Short and long texts, of few and of many buckets, counts that a byte can't hold: no pair within reach goes, and unlike texts do."""
+    import pandas as pd
+
+    r = random.Random(7)
+    texts = ["", "a", alphabet * 150, (alphabet * 9000)[: 9000]]
+    for n in (40, 300, 1000, 1030, 5000):
+        t = "".join(r.choice(alphabet) for _ in range(n))
+        texts += [t, t[: n // 2] + "x" + t[n // 2 :], t[: n - n // 50], "".join(r.choice(alphabet) for _ in range(n))]
+    codes = [dedup._codes(t) for t in texts]
+    df = pd.DataFrame({"n": list(map(len, texts)), "bag": [dedup._counts(c % dedup.BAG, dedup.BAG, "<u2") for c in codes], "grams": [dedup._gram_counts(c) for c in codes]})
+    i, j = (x.ravel() for x in np.indices((len(texts), len(texts))))
+    n = df["n"].to_numpy()[i] + df["n"].to_numpy()[j]
+    kept = dedup._within(dedup._counted(df), dedup._counted(df), n, i, j, np.full(len(i), 0.97))
+    within = {(p, q) for p, q in zip(i[kept].tolist(), j[kept].tolist(), strict=True)}
+    near = {(p, q) for p, q in zip(i.tolist(), j.tolist(), strict=True) if p == q or dedup.ratio(texts[p], texts[q]) >= 0.97}
+    assert near <= within and len(within) < len(i) and len(near) > len(texts) + 10
+
