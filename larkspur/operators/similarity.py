@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,13 +49,45 @@ def _blocks(df: DataFrame, key: str, vector: str, n: int) -> DataFrame:
 
 
 #: Blocks of a side of ``top_k`` while they hold no more than ``MOST_BLOCK`` rows.
-PARTS, MOST_BLOCK = 16, 16384
+PARTS, MOST_BLOCK = 16, 32768
 
 
 def _parts(rows: int) -> int:
     return max(1, min(PARTS, -(-rows // BLOCK)), -(-rows // MOST_BLOCK))
 
 
+#: Queries and rows that ``top_k`` multiplies at a time: few enough for their products to stay in a cache.
+STRIP, ROWS = 256, 2048
+
+
+def _best(a: np.ndarray, b: np.ndarray, mine: np.ndarray, other: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in ``a`` and ``b`` and the rounded similarities of the ``k`` best of each row of ``a``, ordered; equal ones by place in ``b``, and no key with itself.
+
+    Single precision tells which products may be among them, less a margin for its error; these
+    are computed anew.
+    """
+    x, y, margin = a.astype(np.float32), b.astype(np.float32), (a.shape[1] + 8) * 1.2e-7 + 1e-9
+    held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+    bar = np.full(len(a), -np.inf, np.float32)  # what a product must reach: none less than it can be among the best
+    for j in range(0, len(b), ROWS):
+        s = x @ y[j : j + ROWS].T
+        if not j and s.shape[1] > k:
+            least = np.partition(s, -k - 1, axis=1)[:, -k - 1]  # one of the k + 1 may be the row itself
+            bar = np.where(least > 2 * margin, least - 2 * margin, -np.inf).astype(np.float32)
+        at, to = np.nonzero(s >= bar[:, None])
+        apart = mine[at] != other[j + to]
+        at, to = at[apart], j + to[apart]
+        new = (at, to, np.round(np.clip(np.einsum("ij,ij->i", a[at], b[to]), 0, 1), 9))
+        at, to, found = (np.concatenate(p) for p in zip(held, new, strict=True))
+        order = np.lexsort((to, -found, at))
+        at, to, found = at[order], to[order], found[order]
+        rank = np.arange(len(at)) - np.searchsorted(at, at)
+        held = [p[rank < k] for p in (at, to, found)]
+        last = rank == k - 1
+        bar[at[last]] = np.where(found[last] > 0, found[last] - margin, -np.inf)
+    return held[0], held[1], held[2]
+
+
 def top_k(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: int, least: float = 0.0) -> DataFrame:
     """``query, neighbour, similarity, rank``: the ``k`` most similar rows of each query, itself left out.
 
@@ -62,31 +95,29 @@ def top_k(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: int, le
     ``k`` of each query there, so what is shuffled on is ``k`` rows for each query and
     block.  A row is sent to every block of the other side: up to ``PARTS * MOST_BLOCK``
     rows these are no more than ``PARTS``, so the shuffle grows with the rows; the products are
-    quadratic.  Equal similarities are ordered by key.
+    quadratic.  Equal similarities are ordered by key.  A product is looked at once, against
+    the ``k``-th best that its query has so far; few pass, and only these are rounded and ordered.
     """
     n, m = _parts(rows.count()), _parts(queries.count())
     left = _blocks(queries, key, vector, m).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).select("blk", "other", F.lit(0).alias("side"), "key", "v")
     right = _blocks(rows, key, vector, n).withColumn("mine", F.explode(F.sequence(F.lit(0), F.lit(m - 1)))).select(F.col("mine").alias("blk"), F.col("blk").alias("other"), F.lit(1).alias("side"), "key", "v")
     kind = dict(rows.dtypes)[key]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        q, r = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1].sort_values("key")
-        if not len(q) or not len(r):
-            return pd.DataFrame({"query": [], "neighbour": [], "similarity": []})
-        a, b = (np.stack(x["v"].to_list()).astype(np.float64) for x in (q, r))
+    def run(rows: pa.Table) -> pa.Table:
+        side, keys = rows["side"].to_numpy(), rows["key"].to_numpy()
+        v = rows["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(keys), -1)
+        q, r = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        r = r[np.argsort(keys[r], kind="stable")]
+        a, b = (v[x].astype(np.float64) for x in (q, r))
         a, b = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) for x in (a, b))
-        mine, other, out = q["key"].to_numpy(), r["key"].to_numpy(), []
-        step = max(1, BLOCK * BLOCK // len(r))  # as many similarities at a time as two small blocks have
-        for i in range(0, len(q), step):
-            s = np.round(np.clip(a[i : i + step] @ b.T, 0, 1), 9)
-            s[mine[i : i + step, None] == other[None, :]] = -1
-            best = np.argsort(-s, axis=1, kind="stable")[:, :k]
-            at = np.repeat(np.arange(len(s)), best.shape[1])
-            found = s[at, best.ravel()]
-            out.append(pd.DataFrame({"query": mine[i + at], "neighbour": other[best.ravel()], "similarity": found})[found >= max(least, 0.0)])
-        return pd.concat(out)
-
-    part = left.union(right).groupBy("blk", "other").applyInPandas(run, f"query {kind}, neighbour {kind}, similarity double")
+        mine, other, out = keys[q], keys[r], [(keys[:0], keys[:0], np.zeros(0))]
+        for i in range(0, len(q) if len(r) else 0, STRIP):
+            at, to, found = _best(a[i : i + STRIP], b, mine[i : i + STRIP], other, k)
+            near = found >= max(least, 0.0)
+            out.append((mine[i + at[near]], other[to[near]], found[near]))
+        return pa.table(dict(zip(("query", "neighbour", "similarity"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
+
+    part = left.union(right).groupBy("blk", "other").applyInArrow(run, f"query {kind}, neighbour {kind}, similarity double")
     w = Window.partitionBy("query").orderBy(F.col("similarity").desc(), "neighbour")
     return part.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
 

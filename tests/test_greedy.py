@@ -354,3 +354,26 @@ def test_counts_bound_what_texts_have_in_common(alphabet):
     near = {(p, q) for p, q in zip(i.tolist(), j.tolist(), strict=True) if p == q or dedup.ratio(texts[p], texts[q]) >= 0.97}
     assert near <= within and len(within) < len(i) and len(near) > len(texts) + 10
 
+
+def test_few_products_of_a_search_are_ordered(monkeypatch):
+    """The best of each query are those of a full order, with ties, zero and opposite vectors; only what can be among them is rounded and ordered."""
+    sorts, lexsort = [], np.lexsort
+    monkeypatch.setattr(similarity.np, "lexsort", lambda keys: (sorts.append(len(keys[0])), lexsort(keys))[1])
+    monkeypatch.setattr(similarity, "ROWS", 300)
+    r = np.random.default_rng(3)
+    for few in (False, True):
+        b = r.normal(size=(3000, 16))
+        b /= np.linalg.norm(b, axis=1, keepdims=True)
+        b[10:40] = b[5]
+        if few:
+            b[100:] = 0
+            b[50:100] = -b[5]
+        other, mine = np.arange(3000) * 2, np.arange(100) * 2
+        at, to, found = similarity._best(b[:100], b, mine, other, 7)
+        s = np.round(np.clip(b[:100] @ b.T, 0, 1), 9)
+        s[mine[:, None] == other[None]] = -1
+        best = np.argsort(-s, axis=1, kind="stable")[:, :7]
+        assert np.array_equal(to.reshape(100, 7), best) and np.array_equal(found.reshape(100, 7), np.take_along_axis(s, best, 1)) and np.array_equal(at, np.repeat(np.arange(100), 7))
+        if not few:
+            assert sum(sorts) < s.size / 10
+
