@@ -61,8 +61,9 @@ def unions(edges: DataFrame, nodes: DataFrame, block: str, *, most: int = 0, nea
     In a round, an edge that is the first at both its ends is decided: no earlier edge can
     still change either cluster.  Size, family and vectors lie on the clusters' roots; with
     ``near`` a root holds the vectors of its nodes, so ``most`` must bound them.  Edges
-    within a cluster or at a full one go, and without ``near`` all but the first between
-    two clusters: as clusters only grow, what was refused stays refused.  The rounds are as
+    within a cluster go, those that size or family refuse go before their turn, so that no
+    other waits for them, and without ``near`` all but the first between two clusters: as
+    clusters only grow, what was refused stays refused.  The rounds are as
     many as the longest chain of edges of which each waits for the one before; when no more
     than ``rest`` edges are left one task decides them in order.
     """
@@ -76,8 +77,8 @@ def unions(edges: DataFrame, nodes: DataFrame, block: str, *, most: int = 0, nea
     ids = known.select("_b", "node", "id")
     at = F.struct((-F.col("score")).alias("s"), F.col("a").alias("a"), F.col("b").alias("b"))
     live = edges.select(in_block, "a", "b", at.alias("at")).join(ids.select("_b", F.col("node").alias("a"), F.col("id").alias("x")), ["_b", "a"]).join(ids.select("_b", F.col("node").alias("b"), F.col("id").alias("y")), ["_b", "b"])
-    live = written(_apart(live.where("x != y"), near is None), "edges")
     state = known.select(F.col("id").alias("root"), F.lit(1).cast("long").alias("size"), "family", "vectors")
+    live = written(_apart(_open(live.where("x != y"), state, most), near is None), "edges")
     member = known.select("id", F.col("id").alias("root"))
     while (left := live.count()) > rest:
         first = live.select(F.col("x").alias("root"), "at").union(live.select("y", "at")).groupBy("root").agg(F.min("at").alias("at"))
@@ -87,16 +88,15 @@ def unions(edges: DataFrame, nodes: DataFrame, block: str, *, most: int = 0, nea
         merged = taken.select(F.col("x").alias("root"), (F.col("x_size") + F.col("y_size")).alias("size"), F.coalesce("x_family", "y_family").alias("family"), F.concat("x_vectors", "y_vectors").alias("vectors"))
         into = taken.select(F.col("y").alias("root"), F.col("x").alias("into"))
         state = written(state.join(taken.select(F.explode(F.array("x", "y")).alias("root")), "root", "left_anti").union(merged), "roots")
+        into = taken.select(F.col("y").alias("root"), F.col("x").alias("into"))
+        state = state.join(taken.select(F.explode(F.array("x", "y")).alias("root")), "root", "left_anti").union(merged)
         member = written(member.join(into, "root", "left").select("id", F.coalesce("into", "root").alias("root")), "members")
         open_ = live.join(ends.select("x", "y", "at"), ["x", "y", "at"], "left_anti")
         for end in ("x", "y"):
             open_ = open_.join(into.withColumnRenamed("root", end), end, "left").withColumn(end, F.coalesce("into", end)).drop("into")
-        open_ = open_.where("x != y")
-        if most:
-            full = state.where(F.col("size") >= most).select("root")
-            for end in ("x", "y"):
-                open_ = open_.join(full.withColumnRenamed("root", end), end, "left_anti")
-        live = written(_apart(open_, near is None), "edges")
+        live = written(_apart(_open(open_.where("x != y"), state, most), near is None), "edges")
+        # What no edge asks for any more goes, and most vectors with it after a few rounds.
+        state = state.join(live.select(F.explode(F.array("x", "y")).alias("root")).distinct(), "root", "left_semi")
     if left:
         member = member.join(_rest(live, state, most, near), "root", "left").select("id", F.coalesce("into", "root").alias("root"))
     own = known.join(member, "id")
@@ -110,6 +110,13 @@ def _apart(edges: DataFrame, first_only: bool) -> DataFrame:
     return ends.groupBy("x", "y").agg(F.min("at").alias("at")) if first_only else ends.distinct()
 
 
+def _open(edges: DataFrame, state: DataFrame, most: int) -> DataFrame:
+    """Edges that size and family don't refuse: clusters only grow and keep their family, so one that these refuse now is refused at its turn, too."""
+    for end in ("x", "y"):
+        edges = edges.join(_side(state, end).drop(f"{end}_vectors"), end)
+    return edges.where(_fits(most)).select("x", "y", "at")
+
+
 def _side(state: DataFrame, end: str) -> DataFrame:
     return state.select(F.col("root").alias(end), *(F.col(c).alias(f"{end}_{c}") for c in ("size", "family", "vectors")))
 
@@ -122,9 +129,13 @@ def together(vectors: np.ndarray, near: float) -> bool:
     return bool(norm > 1e-12 and (v @ centre).min() / norm >= near)
 
 
-def _allowed(most: int, near: float | None) -> Column:
+def _fits(most: int) -> Column:
     kin = F.coalesce(F.col("x_family") == F.col("y_family"), F.lit(True))
-    fits = kin & (F.col("x_size") + F.col("y_size") <= most) if most else kin
+    return kin & (F.col("x_size") + F.col("y_size") <= most) if most else kin
+
+
+def _allowed(most: int, near: float | None) -> Column:
+    fits = _fits(most)
     if near is None:
         return fits
 

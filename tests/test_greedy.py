@@ -355,6 +355,18 @@ def test_counts_bound_what_texts_have_in_common(alphabet):
     assert near <= within and len(within) < len(i) and len(near) > len(texts) + 10
 
 
+def test_refused_edges_hold_up_no_others(spark, monkeypatch):
+    """A chain of which each edge waits for the one before: those between two families go at once, and so no round is needed for each."""
+    rounds, real = [], greedy.written
+    monkeypatch.setattr(greedy, "written", lambda df, name: (rounds.append(name), real(df, name))[1])
+    edges = [("r", i, i + 1, 1 - i / 100) for i in range(24)]
+    nodes = {("r", i): ("ab"[i % 2] if i % 4 < 2 else "c", None) for i in range(25)}
+    e = spark.createDataFrame(edges, "block string, a long, b long, score double")
+    n = spark.createDataFrame([(b, i, f) for (b, i), (f, _) in nodes.items()], "block string, node long, family string")
+    got = {(x.block, x.node): x.cluster for x in greedy.unions(e, n, "block", most=3, rest=0).collect()}
+    assert got == loop_unions(edges, nodes, most=3) and rounds.count("ends") <= 2
+
+
 def test_few_products_of_a_search_are_ordered(monkeypatch):
     """The best of each query are those of a full order, with ties, zero and opposite vectors; only what can be among them is rounded and ordered."""
     sorts, lexsort = [], np.lexsort
