@@ -176,7 +176,9 @@ def capped(edges: DataFrame, block: str, most: int = 0, family: str | None = Non
     """``unions`` of the ends of ``edges``, at most ``most`` in a cluster.
 
     With ``family``, ``edges`` has columns ``a_<family>`` and ``b_<family>``, and clusters never hold two families.
+    The edges are computed once.
     """
+    edges = written(edges, "edges")
     ends = [edges.select(block, F.col(e).alias("node"), (F.col(f"{e}_{family}") if family else F.lit(None).cast("string")).alias("family")) for e in ("a", "b")]
     nodes = ends[0].union(ends[1]).groupBy(block, "node").agg(F.max("family").alias("family"))
     return unions(edges, nodes, block, most=most, rest=rest)

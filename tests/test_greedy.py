@@ -367,6 +367,20 @@ def test_refused_edges_hold_up_no_others(spark, monkeypatch):
     assert got == loop_unions(edges, nodes, most=3) and rounds.count("ends") <= 2
 
 
+def test_capped_computes_its_edges_once(spark):
+    """The ends of edges are the nodes; what is behind the edges is gone through once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    kind = "block string, a long, b long, score double"
+    edges = spark.createDataFrame([("r", 1, 2, 0.9), ("r", 2, 3, 0.8), ("r", 3, 4, 0.7)], kind).mapInPandas(run, kind)
+    assert {x.node: x.cluster for x in greedy.capped(edges, "block", most=2).collect()} == {1: 1, 2: 1, 3: 3, 4: 3} and seen.value == 3
+
+
 def test_few_products_of_a_search_are_ordered(monkeypatch):
     """The best of each query are those of a full order, with ties, zero and opposite vectors; only what can be among them is rounded and ordered."""
     sorts, lexsort = [], np.lexsort
